@@ -57,3 +57,10 @@ def small(df: DataFrame, row_bytes: int, limit_bytes: int = 8 << 20) -> tuple[bo
     """Whether df is known to stay under limit_bytes when broadcast, and its rows; reads no more rows than decide it."""
     n = df.limit(limit_bytes // row_bytes + 1).count()
     return n * row_bytes <= limit_bytes, n
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bounds the rows that enter Python at once, as texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))

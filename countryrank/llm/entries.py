@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, contamination, langid, maxent, pii, quality, sharding
+from . import bpe, contamination, jaccard, langid, maxent, pii, quality, sharding
 
 QUERIES = {
     "op1_bpe": bpe.op1,
     "op2_quality_rules": quality.op2,
     "op3_sharding": sharding.op3,
     "op4_lm_scores": maxent.op4,
+    "op5_jaccard_join": jaccard.op5,
     "op6_decontamination": contamination.op6,
     "op8_language_id": langid.op8,
     "op9_pii_pseudonyms": pii.op9,
