@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, contamination, jaccard, langid, maxent, pii, quality, sharding
+from . import bpe, contamination, jaccard, langid, maxent, pii, quality, sharding, suffix
 
 QUERIES = {
     "op1_bpe": bpe.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_decontamination": contamination.op6,
     "op8_language_id": langid.op8,
     "op9_pii_pseudonyms": pii.op9,
+    "op10_suffix_dedup": suffix.op10,
 }
 
 ORACLE_SQL = {"op2_quality_rules": quality.ORACLE, "op6_decontamination": contamination.ORACLE}
