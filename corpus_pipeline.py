@@ -1,7 +1,65 @@
-"""Stages over the documents table."""
-STAGES = []
+"""Stages that make a clean, tokenized corpus of the documents table.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept; run() writes what a stage returns as
+Parquet and reads it again for the next one. Rows with null ids are kept by the stages that tell documents by id.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from countryrank.llm import bpe, contamination, jaccard, langid, pii
+from countryrank.llm.common import small, table, written
+
+#: A document goes if its language is undetermined or less likely than this.
+LEAST_SURE = 0.4
+PSEUDONYM_KEY = "corpus-key-1"
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents whose language is told; the network learns from a bounded sample of the labelled ones."""
+    told = langid.predict(docs, langid.fit(docs), lang_out="_lang", score_out="_sure")
+    return told.filter((F.col("_lang") != langid.NONE) & (F.col("_sure") >= LEAST_SURE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of the smallest id of each component at Jaccard 0.75, and one row of each id."""
+    groups = written(jaccard.cluster(docs.select("doc_id", "text")), "groups")
+    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
+    fits, _ = small(gone, 16)
+    kept = docs.join(F.broadcast(gone) if fits else gone, "doc_id", "left_anti")
+    again = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    return kept if not again else kept.filter("doc_id IS NULL").unionByName(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents that hold no benchmark item at containment 0.75."""
+    return contamination.clean(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with pseudonyms in place of personal data."""
+    return pii.pseudonymize(docs, PSEUDONYM_KEY)
+
+
+def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of all documents: their number, and digests of the ids and of the text decoded from them."""
+    import public_tokenizers
+
+    out = bpe.digest_texts(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select("doc_id", "lang", "source", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+STAGES = [("language_id", language), ("ngram_jaccard_join", near_duplicates), ("benchmark_decontamination", decontaminated), ("pii", private), ("bpe", tokenized)]
+
+#: SQL can't express the network, the permutations or the tokens.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over the documents table."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, let, table, words, written
+from .common import fold, let, small, table, words, written
 
 SHINGLE = 5
 THRESHOLD = 75  # hundredths
@@ -101,9 +101,14 @@ def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the documents that hold an item."""
-    bad = search(docs, items, id_col, text_col).select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    """docs without the documents that hold an item, told by id and a hash of the text."""
+    both = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("cls"))
+    bad = search(docs.select(both.alias("_who"), F.col(text_col)), items, "_who", text_col).select("_who.id", "_who.cls").distinct()
+    bad = written(bad, "bad")
+    fits, _ = small(bad, 32)
+    bad = bad.select(F.col("id").alias("_id"), F.col("cls").alias("_cls"))
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_cls"))
+    return docs.join(F.broadcast(bad) if fits else bad, same, "left_anti")
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

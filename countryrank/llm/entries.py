@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, contamination, jaccard, langid, maxent, pii, quality, sharding, suffix
+from . import bpe, contamination, jaccard, langid, maxent, passages, pii, quality, sharding, suffix
 
 QUERIES = {
     "op1_bpe": bpe.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_lm_scores": maxent.op4,
     "op5_jaccard_join": jaccard.op5,
     "op6_decontamination": contamination.op6,
+    "op7_compact_windows": passages.op7,
     "op8_language_id": langid.op8,
     "op9_pii_pseudonyms": pii.op9,
     "op10_suffix_dedup": suffix.op10,
