@@ -1 +1 @@
-"""See the package README for the layout."""
+"""Column functions."""

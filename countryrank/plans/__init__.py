@@ -1 +1 @@
-"""See the package README for the layout."""
+"""The three workloads as compositions of operators."""
