@@ -51,7 +51,7 @@ def location_parts(raw: Column) -> Column:
 
 def distinct_candidates(parts: Column) -> Column:
     """Ordered distinct non-empty candidates of an array of parts whose marks are stripped."""
-    return F.array_distinct(F.filter(F.transform(parts, fold_location), lambda c: c != ""))
+    return F.array_distinct(F.filter(F.transform(parts, lambda x: fold_location(x)), lambda c: c != ""))
 
 
 def location_candidates(raw: Column) -> Column:
@@ -73,7 +73,7 @@ def name_variants(item: Column, fields: list[str], translations: Column | None =
     names = F.array(*[clean_term(item[f]) for f in fields])
     if translations is not None:
         more = F.coalesce(F.map_values(translations), F.array().cast("array<string>"))
-        names = F.concat(names, F.transform(more, clean_term))
+        names = F.concat(names, F.transform(more, lambda x: clean_term(x)))
     return F.array_distinct(F.filter(names, lambda x: x.isNotNull()))
 
 
@@ -89,12 +89,12 @@ def admin_codes(fields: list[Column], country: Column, longest: int = 16) -> Col
 def compound_terms(cities: Column, admins: Column, codes: Column) -> Column:
     """`city, admin` for every city name with every admin name and code."""
     pairs = F.flatten(F.transform(cities, lambda c: F.transform(F.concat(admins, codes), lambda a: F.concat_ws(", ", c, a))))
-    return F.array_distinct(F.filter(F.transform(pairs, clean_term), lambda x: x.isNotNull()))
+    return F.array_distinct(F.filter(F.transform(pairs, lambda x: clean_term(x)), lambda x: x.isNotNull()))
 
 
 def split_alternates(names: Column) -> Column:
     """Clean distinct terms of a comma list."""
-    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(names, F.lit("")), ","), clean_term), lambda x: x.isNotNull()))
+    return F.array_distinct(F.filter(F.transform(F.split(F.coalesce(names, F.lit("")), ","), lambda x: clean_term(x)), lambda x: x.isNotNull()))
 
 
 def sort_terms(pairs: Column) -> Column:

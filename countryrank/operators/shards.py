@@ -33,7 +33,7 @@ def split_star_ranges(histogram: DataFrame, low: int, high: int, cap: int = CAP)
     w = Window.orderBy("stars")
     known = histogram.filter(F.col("stars").between(low, high)).withColumn("up_to", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     ladder = known.agg(F.sort_array(F.collect_list(F.struct("stars", "up_to"))).alias("a"))  # distinct star values
-    under = lambda x: F.coalesce(F.element_at(F.filter("a", lambda p: p["stars"] <= x), -1)["up_to"], F.lit(0))
+    under = lambda x: F.coalesce(F.try_element_at(F.filter("a", lambda p: p["stars"] <= x), F.lit(-1))["up_to"], F.lit(0))
     todo = spark.range(1).select(F.lit(low).cast("bigint").alias("min_stars"), F.lit(high).cast("bigint").alias("max_stars")).join(F.broadcast(ladder))
     done, levels = None, max(1, (high - low + 1).bit_length() + 1)
     for _ in range(levels):

@@ -76,7 +76,7 @@ def index_terms(b) -> DataFrame:
     return b("raw_terms").distinct().withColumn("seq", F.row_number().over(Window.partitionBy("code", "kind").orderBy("term")))
 
 
-@register("config_terms", f"WITH {CONFIG}, f AS (SELECT code, kind, term, min((l, seq)) AS at FROM cfg GROUP BY ALL) SELECT code, kind, term, row_number() OVER (PARTITION BY code, kind ORDER BY at, term)::BIGINT AS seq FROM f")
+@register("config_terms", f"WITH {CONFIG}, f AS (SELECT code, kind, term, min((l, seq)) AS ord FROM cfg GROUP BY ALL) SELECT code, kind, term, row_number() OVER (PARTITION BY code, kind ORDER BY ord, term)::BIGINT AS seq FROM f")
 def _(b):
     return catalog.config_terms(catalogue(b), index_terms(b), overrides(b))
 
@@ -153,7 +153,7 @@ def _(b):
     return one.select("location", F.array_join(text.location_candidates(F.col("location")), "|").alias("candidates"))
 
 
-@register("contains_phrase", "SELECT doc_id, (' ' || trim(regexp_replace(lower(strip_accents(text)), '[^\\p{L}\\p{N}\\p{M}]+', ' ', 'g')) || ' ') LIKE '% of the %' AS held FROM {documents}")
+@register("contains_phrase", f"SELECT doc_id, (' ' || {norm('text')} || ' ') LIKE '% of the %' AS held FROM {{documents}}")
 def _(b):
     return b("documents").select("doc_id", text.contains_phrase(text.normalize_location(F.col("text")), F.lit("of the")).alias("held"))
 
@@ -345,17 +345,17 @@ def _config(b) -> DataFrame:
     return cfg.unionByName(bad)
 
 
-ATTRIBUTED = f"""WITH {CONFIG}, {ALIASES}, f AS (SELECT code, kind, term, {norm('term')} AS norm, min((l, seq)) AS at FROM cfg WHERE kind NOT IN ('search', 'geography') GROUP BY ALL),
+ATTRIBUTED = f"""WITH {CONFIG}, {ALIASES}, f AS (SELECT code, kind, term, {norm('term')} AS norm, min((l, seq)) AS ord FROM cfg WHERE kind NOT IN ('search', 'geography') GROUP BY ALL),
 amb AS (SELECT norm FROM f WHERE kind = 'place' GROUP BY norm HAVING count(DISTINCT code) > 1), pr AS (SELECT DISTINCT location, code, {norm('location')} AS n FROM {{pairs}}),
 sp AS (SELECT location, code, n, unnest(list_concat([location], string_split_regex(location, '[,/|;]+'))) AS p, generate_subscripts(list_concat([location], string_split_regex(location, '[,/|;]+')), 1) AS i FROM pr),
 cd AS (SELECT location, code, n, {norm('p')} AS norm, min(i) AS pos FROM sp WHERE {norm('p')} <> '' GROUP BY ALL),
-x AS (SELECT pr.*, (SELECT arg_min(term, (at, term)) FROM f WHERE f.code = pr.code AND kind = 'alias' AND (' ' || n || ' ') LIKE ('% ' || norm || ' %')) AS alias,
+x AS (SELECT pr.*, (SELECT arg_min(term, (ord, term)) FROM f WHERE f.code = pr.code AND kind = 'alias' AND (' ' || n || ' ') LIKE ('% ' || norm || ' %')) AS alias,
   (SELECT string_agg(DISTINCT al.code, ',' ORDER BY al.code) FROM al WHERE al.code <> pr.code AND (' ' || n || ' ') LIKE ('% ' || norm || ' %')
     AND NOT EXISTS (SELECT 1 FROM f WHERE f.code = pr.code AND f.kind = 'alias' AND (' ' || f.norm || ' ') LIKE ('% ' || al.norm || ' %') AND length(f.norm) > length(al.norm) AND (' ' || n || ' ') LIKE ('% ' || f.norm || ' %') AND NOT (' ' || replace(' ' || n || ' ', ' ' || f.norm || ' ', ' ~ ') || ' ') LIKE ('% ' || al.norm || ' %'))) AS foreign_codes,
   (SELECT min(term) FROM f WHERE f.code = pr.code AND kind = 'compound' AND norm = n) AS compound, (SELECT min(term) FROM f WHERE f.code = pr.code AND kind = 'exact' AND norm = n) AS exact,
   (SELECT min(term) FROM f WHERE f.code = pr.code AND kind = 'exact' AND norm <> n AND norm = split_part(n, ' ', -1) AND EXISTS (SELECT 1 FROM cd JOIN f g ON g.code = cd.code AND g.norm = cd.norm AND g.kind IN ('place', 'curated') WHERE cd.location = pr.location AND cd.code = pr.code AND cd.norm <> f.norm AND cd.norm <> n)) AS context,
   (SELECT arg_min([cd.norm, CASE WHEN cd.norm IN (SELECT norm FROM amb) THEN '1' ELSE '0' END], pos) FROM cd WHERE cd.location = pr.location AND cd.code = pr.code AND cd.norm IN (SELECT norm FROM f WHERE f.code = pr.code AND kind = 'place')) AS place,
-  (SELECT arg_min(term, (at, term)) FROM f WHERE f.code = pr.code AND kind = 'curated' AND (' ' || n || ' ') LIKE ('% ' || norm || ' %')) AS curated FROM pr)
+  (SELECT arg_min(term, (ord, term)) FROM f WHERE f.code = pr.code AND kind = 'curated' AND (' ' || n || ' ') LIKE ('% ' || norm || ' %')) AS curated FROM pr)
 SELECT location, code, v[1] IN ('high', 'medium') AS accepted, v[1] AS confidence, v[2] AS evidence, v[3] AS matched, v[4] AS conflicts FROM (SELECT location, code, CASE WHEN trim(location) = '' THEN ['unknown', 'missing-location', NULL, NULL]
   WHEN (alias IS NOT NULL OR exact IS NOT NULL) AND foreign_codes IS NOT NULL THEN ['ambiguous', 'multiple-countries', NULL, foreign_codes] WHEN foreign_codes IS NOT NULL THEN ['unknown', 'foreign-country', NULL, foreign_codes]
   WHEN alias IS NOT NULL THEN ['high', 'explicit-country', alias, NULL] WHEN compound IS NOT NULL THEN ['high', 'recognized-place-with-admin', n, NULL] WHEN context IS NOT NULL THEN ['high', 'country-code-with-place', coalesce(exact, context), NULL]
@@ -592,7 +592,7 @@ def _(b):
     return flat.filter(F.col("search_term").isin("view", "click", "purchase")).select("login", "search_term", "seq")
 
 
-@register("terms_union", "SELECT term, row_number() OVER (ORDER BY l, seq, term)::BIGINT AS seq FROM (SELECT term, min((l, seq)).l AS l, min((l, seq)).seq AS seq FROM (SELECT o_orderpriority AS term, {'l': 0, 'seq': min(o_orderkey)} AS x, 0 AS l, min(o_orderkey) AS seq FROM orders GROUP BY 1 UNION ALL SELECT o_orderstatus, {'l': 1, 'seq': min(o_orderkey)}, 1, min(o_orderkey) FROM orders GROUP BY 1) q GROUP BY term) p")
+@register("terms_union", "SELECT term, row_number() OVER (ORDER BY l, s, term)::BIGINT AS seq FROM (SELECT term, min(l) AS l, arg_min(s, (l, s)) AS s FROM (SELECT o_orderpriority AS term, 0 AS l, min(o_orderkey) AS s FROM orders GROUP BY 1 UNION ALL SELECT o_orderstatus, 1, min(o_orderkey) FROM orders GROUP BY 1) q GROUP BY term) p")
 def _(b):
     make = lambda c: b("orders").groupBy(F.col(c).alias("term")).agg(F.min("o_orderkey").alias("seq")).select(F.lit("x").alias("code"), F.lit("y").alias("kind"), "term", "seq")
     return catalog.ordered_terms(make("o_orderpriority"), make("o_orderstatus")).select("term", "seq")
