@@ -36,9 +36,9 @@ def read_geonames(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).filter(F.size(c) >= 19).select(c[1].alias("name"), c[2].alias("ascii_name"), c[3].alias("alternates"), code.alias("country_code"), F.trim(c[10]).alias("admin1"))
 
 
-def read_geo_indexes(spark: SparkSession, path: str) -> DataFrame:
-    """(code, kind, term, seq) of the XX.json files of a folder."""
-    df = _json(spark, path, INDEX, lines=False, glob="[A-Z][A-Z].json").filter("country.code IS NOT NULL")
+def read_geo_indexes(spark: SparkSession, path: str, glob: str | None = "[A-Z][A-Z].json") -> DataFrame:
+    """(code, kind, term, seq) of the XX.json files of a folder; glob names other files, or all with None."""
+    df = _json(spark, path, INDEX, lines=False, glob=glob).filter("country.code IS NOT NULL")
     kinds = {"attribution": "attributionTerms", "discovery": "discoveryTerms", "compound": "compoundTerms", "ambiguous": "ambiguousTerms"}
     lists = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("terms")) for k, c in kinds.items()]))
     return df.select("country.code", lists.alias("l")).select("code", "l.kind", F.posexplode("l.terms").alias("seq", "term"))

@@ -8,34 +8,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import certify, ranking
 
 
-def read_pool(spark: SparkSession, path: str, schema, country_col: str = "country") -> DataFrame:
-    """The newest version of each country's pool."""
-    from pyspark.errors import AnalysisException
-
+def read_pool(spark: SparkSession, path: str, schema: StructType, country_col: str = "country", before: int | None = None) -> DataFrame:
+    """The newest version of each country's pool, or the newest one before a batch. schema has the column `batch`."""
     try:
-        df = spark.read.schema(schema).parquet(path)
-        df.limit(0).count()
-    except AnalysisException:
+        df = spark.read.schema(schema).parquet(path).select(*schema.names)
+    except AnalysisException:  # no batch has been written yet
         return spark.createDataFrame([], schema)
+    df = df if before is None else df.filter(F.col("batch") < before)
     newest = df.groupBy(country_col).agg(F.max("batch").alias("batch"))
-    return df.join(newest, [country_col, "batch"], "left_semi")
+    return df.join(F.broadcast(newest), [country_col, "batch"], "left_semi")
 
 
-def fold(merge: Callable[[DataFrame, DataFrame], DataFrame], path: str, schema, country_col: str = "country") -> Callable[[DataFrame, int], None]:
+def fold(merge: Callable[[DataFrame, DataFrame], DataFrame], path: str, schema: StructType, country_col: str = "country") -> Callable[[DataFrame, int], None]:
     """A foreachBatch function that merges a batch into the pools of its countries and writes them as a new version."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = read_pool(spark, path, schema, country_col).filter(F.col("batch") < batch_id)
+        before = read_pool(batch.sparkSession, path, schema, country_col, batch_id)
         touched = certify.changed_countries(batch, country_col)
         merged = merge(before.join(F.broadcast(touched), country_col, "left_semi").drop("batch"), batch)
-        merged.withColumn("batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        merged.withColumn("batch", F.lit(batch_id).cast("bigint")).select(*schema.names).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
 
     return run
 
