@@ -1,10 +1,8 @@
-"""Text functions of columns. Only Unicode normalisation leaves the JVM, as one Arrow helper."""
+"""Text functions of columns. Only Unicode normalisation leaves the JVM, as one vectorised helper."""
 
 from __future__ import annotations
 
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -18,9 +16,7 @@ GLOBE = "🌐"
 @F.pandas_udf(StringType())
 def strip_marks(values: pd.Series) -> pd.Series:
     """NFKD, then without the marks U+0300 to U+036F, then NFC. Other marks, such as vowel signs, stay."""
-    flat = pc.utf8_normalize(pa.array(values, pa.string()), form="NFKD")
-    bare = pc.replace_substring_regex(flat, pattern="[̀-ͯ]", replacement="")
-    return pd.Series(pc.utf8_normalize(bare, form="NFC").to_pandas())
+    return values.str.normalize("NFKD").str.replace("[\u0300-\u036f]", "", regex=True).str.normalize("NFC")
 
 
 def fold_location(bare: Column) -> Column:
