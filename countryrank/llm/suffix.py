@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, small_batches, written
+from .common import small_batches, written
 from .jaccard import _A, _B, mix
 
 LENGTH = 200
@@ -343,11 +343,6 @@ def _keyed(df: DataFrame, id_col: str, text_col: str, keep: bool = False) -> Dat
     return df.select(*[F.col(id_col).alias("_id")] * keep, F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("id"), F.xxhash64(text).alias("cls"), text.alias("text"))
 
 
-def _with_texts(docs: DataFrame, wanted: DataFrame, row_bytes: int, how: str = "inner") -> DataFrame:
-    fits, _ = small(wanted.select("id"), row_bytes)
-    return docs.join(F.broadcast(wanted) if fits else wanted, ["id", "cls"], how)
-
-
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, cls, spans): spans of repeated bytes of each text that has some; they may touch and overlap."""
     small_batches(df.sparkSession, 500)
@@ -357,7 +352,7 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     met = written(long.mapInArrow(_occurrences, kind).repartition("key").mapInArrow(_meet, kind), "met")
     settled = met.filter("times = 0").select("id", "cls", F.greatest(F.col("place") - LEFT, F.lit(0)).alias("low"), F.least(F.col("place") + LENGTH, F.col("size")).alias("high"))
     wanted = met.filter("times > 0").groupBy("id", "cls").agg(F.collect_list(F.struct("key", "place", "times")).alias("wanted"))
-    bytes_ = _with_texts(long, written(wanted, "wanted"), 512).select("id", "cls", "text", "wanted")
+    bytes_ = long.join(wanted, ["id", "cls"]).select("id", "cls", "text", "wanted")
     found = bytes_.mapInArrow(_contexts, "key long, id long, cls long, place long, size long, times long, bytes binary").repartition("key").mapInArrow(_compare, "id long, cls long, low long, high long")
     return settled.unionByName(found).groupBy("id", "cls").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
 
@@ -396,7 +391,7 @@ def _cut(df: DataFrame, id_col: str, text_col: str, out: str, make) -> DataFrame
             yield pa.RecordBatch.from_arrays([b.column("_id"), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string() if out.endswith("string") else pa.binary())], [id_col, "n_bytes", "n_removed", "n_spans", out.split()[0]])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return _with_texts(docs, spans, 256, "left").select("_id", "text", "spans").mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, {out}")
+    return docs.join(spans, ["id", "cls"], "left").select("_id", "text", "spans").mapInArrow(run, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, {out}")
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
