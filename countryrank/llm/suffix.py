@@ -170,7 +170,11 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         key, mark, ids, cls, at, size = (np.concatenate(c) for c in zip(*cols, strict=True))
         first, times, settled = _same(key, mark, np.ones(len(key), dtype=np.int64))
-        out = [np.concatenate([x[first], x[settled]]) for x in (key, mark, ids, cls, at, size)]
+        own = key.copy()
+        with np.errstate(over="ignore"):  # settled spans meet nobody: they are spread over all partitions
+            key[settled] = mix(ids[settled].view(np.uint64) * _A + at[settled].view(np.uint64)).view(np.int64)
+        out = [np.concatenate([x[first], x[settled]]) for x in (own, mark, ids, cls, at, size)]
+        out[0] = np.concatenate([own[first], key[settled]])
         out.append(np.concatenate([np.minimum(times[first], 2), np.zeros(len(settled), dtype=np.int64)]))
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], list(ROW))
 
