@@ -7,7 +7,7 @@ Every byte covered by a string of LENGTH bytes that also starts anywhere else go
 * The context of an anchor is all bytes that LENGTH-byte strings around it can have. Occurrences with equal contexts
   repeat one another whole; tasks and buckets settle those by a fingerprint and send one occurrence of each context on.
 * Different contexts of one anchor are compared byte by byte: their right parts and their reversed left parts are
-  written as strings of 8-byte symbols, whose suffix arrays give the order of the parts and the bytes that neighbours
+  written as strings of SYMBOL-byte symbols, whose suffix arrays give the order of the parts and the bytes that neighbours
   share. Two contexts hold the same string at the same place exactly if both parts share enough.
 
 Null and short texts lose nothing. Repeated rows repeat each other. Ids may be null or repeat; extra columns are ignored.
@@ -30,6 +30,8 @@ LENGTH = 200
 GRAM = 32
 LEFT = LENGTH - GRAM
 WHOLE = LEFT + LENGTH
+#: Bytes of a symbol of the suffix arrays.
+SYMBOL = 24
 #: Right or left parts whose suffix array is built at once, unless one anchor has more.
 AT_ONCE = 20_000
 
@@ -247,9 +249,13 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
 def shared_order(key: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order of rows by key and bytes, bytes that each shares with the row before it, -1 at the first of a key)."""
     m, width = parts.shape
-    padded = np.zeros((m, -(-width // 8) * 8), dtype=np.uint8)
+    padded = np.zeros((m, -(-width // SYMBOL) * SYMBOL), dtype=np.uint8)
     padded[:, :width] = parts
-    symbols = np.unique(padded.view(">u8").astype(np.uint64), return_inverse=True)[1].reshape(m, -1)
+    words = padded.view(">u8").astype(np.uint64).reshape(-1, SYMBOL // 8)
+    by = np.lexsort(words.T[::-1])
+    symbols = np.zeros(len(words), dtype=np.int64)
+    symbols[by[1:]] = np.cumsum((words[by[1:]] != words[by[:-1]]).any(axis=1))
+    symbols = symbols.reshape(m, -1)
     text = np.ones((m, symbols.shape[1] + 2), dtype=np.int64)  # the key's rank, the symbols, and a 1 as the end
     text[:, 0] = np.unique(key, return_inverse=True)[1] + 2
     text[:, 1:-1] = symbols + 2
