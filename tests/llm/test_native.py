@@ -1,0 +1,145 @@
+"""Quality ledger, sharding, containment search and pseudonyms against brute force."""
+
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from countryrank.llm import contamination, pii, quality, sharding
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def measures(text):
+    w = WORD.findall(text or "")
+    n, seen = len(w), {}
+    for i in range(n - 2):
+        seen.setdefault(tuple(w[i : i + 3]), []).append(i)
+    covered = {p + k for at in seen.values() if len(at) > 1 for p in at for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return n, sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_measures_and_policies(spark):
+    rnd = random.Random(4)
+    texts = [None, "", " \t\n", "a", "a a", "a a a", "a a a a", "x\ny\nx\n\n \n \nx", "# * $ é 😀", "a b c a b c d a b"]
+    texts += [" ".join(rnd.choice("abcdé") for _ in range(rnd.randint(1, 400))) for _ in range(20)] + ["w " * 5000, "word" * 3000]
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_words int")
+    got = {r["doc_id"]: r for r in quality.apply_policy(quality.ledger(df)).collect()}
+    for i, t in enumerate(texts):
+        r, (n, chars, signs, lines, repeats) = got[i], measures(t)
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, signs, lines, repeats)
+        assert r["base_failed"] == (n < 50 or 100 * repeats > 50 * n)
+        assert not (r["kept"] and r["base_failed"])
+    book = quality.ledger(df)
+    bits = {r["doc_id"]: r["fail_bits"] for r in book.collect()}
+    for r in quality.ablations(book).collect():
+        assert r["failed"] == sum(b >> r["bit"] & 1 for b in bits.values())
+        assert r["failed_only_here"] == sum(b == 1 << r["bit"] for b in bits.values())
+    assert quality.ledger(df.limit(0)).count() == 0
+
+
+def test_sharding(spark):
+    rnd = random.Random(5)
+    rows = [(i, "é" * rnd.randint(0, 40)) for i in range(3000)] + [(None, None), (None, ""), (7, "same"), (7, "same")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, slot int")
+    records = sharding.sized(df)
+    mapping = sharding.slot_map(sharding.slot_stats(records))
+    got = sharding.place(records, mapping).collect()
+    assert len(got) == len(rows)
+    load, slots = {}, {}
+    for r in got:
+        load[r["shard"]] = load.get(r["shard"], 0) + r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert set(load) == set(range(16)) and max(load.values()) < 1.02 * sum(load.values()) / 16
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    want = sorted((repr(i), len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert sorted((repr(r["doc_id"]), r["size"], r["text_crc32"]) for r in got) == want
+    old, grown = ({r["virtual_slot"]: r for r in m.collect()} for m in (mapping, sharding.grow_map(mapping, 20)))
+    sizes = {}
+    for slot, r in grown.items():
+        assert r["shard"] == old[slot]["shard"] or r["shard"] >= 16
+        assert r["map_version"] == 2
+        sizes[r["shard"]] = sizes.get(r["shard"], 0) + r["bytes"]
+    assert set(sizes) == set(range(20)) and max(sizes.values()) < 1.5 * sum(sizes.values()) / 20
+    empty = sharding.sized(df.limit(0))
+    assert sharding.place(empty, sharding.slot_map(sharding.slot_stats(empty))).count() == 0
+
+
+def grams(text):
+    w = WORD.findall((text or "").translate({i: i + 32 for i in range(65, 91)}))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def test_containment(spark):
+    rnd = random.Random(6)
+    word = lambda: f"w{rnd.randint(0, 60)}"
+    items = [" ".join(word() for _ in range(rnd.choice([3, 5, 8, 20, 40]))) for _ in range(25)] + ["", None, "One Two", "one two", "a b c d e"]
+    docs = [" ".join(word() for _ in range(rnd.randint(0, 300))) for _ in range(40)]
+    for _ in range(60):
+        part = (rnd.choice(items[:25]) or "").split()
+        for _ in range(rnd.randint(0, 3)):
+            part[rnd.randrange(len(part))] = word()
+        own = [word() for _ in range(rnd.randint(0, 2000))]
+        at = rnd.randint(0, len(own))
+        docs.append(" ".join(own[:at] + part + own[at:]).upper())
+    docs += [None, "", "ONE two", "x one two", "a b c d e"]
+    want = set()
+    for i, d in enumerate(docs):
+        for j, t in enumerate(items):
+            q = grams(t)
+            shared = len(q & grams(d))
+            if q and 100 * shared >= 75 * len(q):
+                want.add((i, j, shared, len(q)))
+    a = spark.createDataFrame([(i, d, 1) for i, d in enumerate(docs)], "doc_id long, text string, item_id int")
+    b = spark.createDataFrame([(j, t, 1) for j, t in enumerate(items)], "item_id long, text string, doc_id int")
+    got = {tuple(r) for r in contamination.search(a.select("doc_id", "text"), b).select("doc_id", "item_id", "shared", "q").collect()}
+    assert got == want
+    kept = {r["doc_id"] for r in contamination.clean(a, b).collect()}
+    assert kept == set(range(len(docs))) - {i for i, *_ in want}
+    assert contamination.search(a, b.limit(0)).count() == 0
+    assert contamination.search(a.limit(0), b).count() == 0
+
+
+VALUES = ["4785380592391139", "+1 (743) 555-3824", "233.233.171.252", "thonnd.19@mail5.example.com", "2020-02-29", "123-45-6789", "1beb58b8af68854f0e01b4ad40cdbb6ae7f578ae", "4785 3805 9239 1139", "+49 1511 234567", "a@b.co"]
+NOT = ["1999-13-01", "000-12-3456", "4785380592391138", "300.1.1.1", "1.2.3.4.5", "12345", "word", "v1.2.3", "2020-02-30"]
+
+
+def luhn(s):
+    d = [int(c) for c in s if c.isdigit()]
+    return sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(reversed(d))) % 10 == 0
+
+
+def test_pseudonyms(spark):
+    texts = [f"see {v}, or {v}." for v in VALUES] + [f"see {v}!" for v in NOT] + [None, "", "x" * 20000, " ".join(VALUES) * 40]
+    df = spark.createDataFrame([(i, t, 3, "k") for i, t in enumerate(texts)], "doc_id long, text string, n_values int, _x string")
+    new = pii.pseudonymize(df, "secret", found_col="found")
+    got = {r["doc_id"]: r for r in new.collect()}
+    for i, v in enumerate(VALUES):
+        out = got[i]["text"]
+        assert v not in out and got[i]["found"] == 2
+        m = re.fullmatch(r"see (.*), or (.*)\.", out)
+        assert m[1] == m[2] and (len(m[1]) == len(v) or i == 2)  # octets vary in length
+        assert re.sub(r"\d", "9", re.sub(r"[a-z]", "a", m[1])) == re.sub(r"\d", "9", re.sub(r"[a-z]", "a", v)) or i in (2, 6)
+    assert luhn(got[0]["text"][4:20]) and luhn(got[7]["text"][4:23])
+    for i, v in enumerate(NOT, len(VALUES)):
+        assert got[i]["text"] == f"see {v}!" and got[i]["found"] == 0
+    assert got[len(texts) - 4]["text"] is None and got[len(texts) - 3]["text"] == ""
+    back = {r["doc_id"]: r["text"] for r in pii.pseudonymize(new.drop("found"), "secret", inverse=True).collect()}
+    assert back == dict(enumerate(texts))
+    assert pii.pseudonymize(df.limit(0), "secret").count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 19])
+def test_feistel_is_a_permutation(spark, n):
+    radices = [3, 2, 4, 2, 3][:n] if n < 6 else [2] * 9 + [1] * 10
+    size = 1
+    for r in radices:
+        size *= r
+    digits = lambda i: [i // int(__import__("math").prod(radices[:k])) % r for k, r in enumerate(radices)]
+    df = spark.createDataFrame([(digits(i), radices) for i in range(size)], "v array<int>, r array<int>")
+    out = df.select(pii.feistel(F.col("v"), F.col("r"), "k", "t").alias("w"), "r", "v").select("v", "w", pii.feistel(F.col("w"), F.col("r"), "k", "t", inverse=True).alias("b")).collect()
+    assert len({tuple(x["w"]) for x in out}) == size
+    assert all(x["b"] == x["v"] and all(0 <= a < r for a, r in zip(x["w"], radices, strict=True)) for x in out)
