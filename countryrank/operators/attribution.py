@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.scratch import settled
 
 #: Names of territories that decide before anything else.
 TERRITORIES = [
@@ -121,6 +122,7 @@ def resolve_locations(keys: DataFrame, catalogue: DataFrame, terms: DataFrame, n
     terms: (code, kind, norm) with attribution and compound places.
     """
     names = territories(keys.sparkSession) if names is None else names
+    keys = settled(keys)
     candidates = candidate_rows(keys)
     found = lookup_alias(lookup_terms(candidates, terms), alias_rows(catalogue))
     place = F.when(F.size("codes") == 1, F.struct(F.lit(2).alias("score"), F.element_at("codes", 1).alias("code"), F.lit("recognized-place").alias("evidence"), "norm"))
@@ -174,7 +176,7 @@ def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame,
     unless strict. Names come from the catalogue only.
     """
     wanted = pairs.select("location", "code").distinct()
-    keys = location_keys(wanted)
+    keys, config = settled(location_keys(wanted)), settled(config)
     told = wanted.join(keys, "location")
     candidates = candidate_rows(keys)
     kind = lambda *k: config.filter(F.col("kind").isin(*k))

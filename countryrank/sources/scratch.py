@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession) -> str:
@@ -15,3 +15,10 @@ def scratch(spark: SparkSession) -> str:
         root = "file://" + tempfile.mkdtemp(prefix="spark-country-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/country-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df as a written table: what reads it often doesn't make it anew, and lost executors don't either."""
+    path = scratch(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
