@@ -17,4 +17,4 @@ QUERIES = {
     "op10_suffix_dedup": suffix.op10,
 }
 
-ORACLE_SQL = {"op2_quality_rules": quality.ORACLE, "op6_decontamination": contamination.ORACLE}
+ORACLE_SQL = {"op2_quality_rules": quality.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op6_decontamination": contamination.ORACLE}

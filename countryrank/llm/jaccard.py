@@ -12,8 +12,9 @@ y shingles differ in at most H = floor((x + y) / 7) shingles.
   alone. The others (documents made mostly of wide-spread passages, or of large near-copy groups) also index the
   one-deletion neighbourhood of each segment, whose cold buckets count double as they tolerate one difference. Only what
   then still lacks a certain partner bucket uses hot buckets, among its likes.
-* In a bucket, members are first compared with its smallest member. Links make components; afterwards only pairs of the
-  same bucket that are in different components are compared. No bucket is cut, and no link between components is lost.
+* Members of a bucket are first compared with its smallest member. Links make components; then all pairs of a bucket
+  that are in different components are compared. A pair is compared only if enough of its segments are equal, which any
+  link implies. No bucket is cut, and no link between components is lost.
 
 Equal texts are one class. Links are decided on the shingles themselves. Texts with fewer than 5 words have the whole
 sequence as one shingle; texts without words, and null texts, have an empty set and link with nothing. Rows with a null
@@ -81,7 +82,7 @@ def shingle_sets(texts: list[bytes], width: int = SHINGLE) -> list[np.ndarray]:
     """Sorted distinct 64-bit hashes of the shingles of each text."""
     w, counts = word_hashes(texts)
     out, at = [], 0
-    mult = [np.uint64(2 * k + 1) * _C for k in range(width)]
+    mult = [np.uint64((2 * k + 1) * int(_C) & 0xFFFFFFFFFFFFFFFF) for k in range(width)]
     with np.errstate(over="ignore"):
         rolled = np.zeros(max(len(w) - width + 1, 0), dtype=np.uint64)
         for k in range(width):
@@ -293,21 +294,39 @@ def links(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
     )
     met = written(met.distinct(), "met")
 
-    first = met.join(met.groupBy("key").agg(F.min("node").alias("a")), "key").filter("node > a").select("a", F.col("node").alias("b")).distinct()
-    found = written(_checked(first, docs), "links")
-    parts = components(found)
-    label = met.join(parts, "node", "left").select("key", "node", F.coalesce("component", "node").alias("p"))
+    # each bucket's smallest member with the others, then all pairs of a bucket that links haven't joined
+    segments = shared.groupBy("node", "s").agg(F.collect_set("key").alias("keys")).join(filled.groupBy("node", "s").agg(F.min("filled").alias("filled")), ["node", "s"])
+    segments = written(segments.join(sizes.groupBy("node").agg(F.max("n").alias("n")), "node"), "segments")
+    led = met.join(met.groupBy("key").agg(F.min("node").alias("a")), "key").filter("node > a").select("a", F.col("node").alias("b")).distinct()
+    led = written(_plausible(led, segments), "led")
+    found = written(_checked(led, docs), "links")
+    label = met.join(components(found), "node", "left").select("key", "node", F.coalesce("component", "node").alias("p"))
     mixed = label.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).filter("lo < hi").select("key")
     left = written(label.join(mixed, "key", "left_semi"), "left")
     other = left.select("key", F.col("node").alias("b"), F.col("p").alias("q"))
     rest = left.select("key", F.col("node").alias("a"), "p").join(other, "key").filter("a < b AND p <> q").select("a", "b").distinct()
-    found = found.unionByName(_checked(rest.join(first, ["a", "b"], "left_anti"), docs))
-    found = written(found, "links")
+    rest = _plausible(rest, segments).join(led, ["a", "b"], "left_anti")
+    found = written(found.unionByName(_checked(rest, docs)).distinct(), "links")
     classes = docs.groupBy("h").agg(F.min("id").alias("rep")).withColumn("cls", F.xxhash64("h"))
     sized = sizes.withColumnRenamed("node", "rep")
     return classes.join(sized, ["cls", "rep"], "left").select("h", "rep", "n"), found, components(found)
 
 
+def _plausible(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """The pairs (a, b) that can link by what is known without their texts.
+
+    In the scheme of the smaller one's band, each shingle in which the two differ spoils one segment at most, so of the
+    segments that either fills all but floor((x + y) / 7) must be equal.
+    """
+    n = segments.groupBy("node").agg(F.max("n").alias("n"))
+    sized = pairs.join(n.select(F.col("node").alias("a"), F.col("n").alias("x")), "a").join(n.select(F.col("node").alias("b"), F.col("n").alias("y")), "b")
+    sized = sized.filter(100 * F.least("x", "y") >= 75 * F.greatest("x", "y"))
+    sized = sized.withColumn("s", F.floor(F.log2(F.least("x", "y").cast("double") + 0.5)).cast("int").bitwiseAND(F.lit(31)))
+    of = lambda c: segments.select(F.col("node").alias(c), "s", F.col("keys").alias(f"{c}_keys"), F.col("filled").alias(f"{c}_filled"))
+    both = sized.join(of("a"), ["a", "s"]).join(of("b"), ["b", "s"])
+    return both.filter(F.size(F.array_intersect("a_keys", "b_keys")) >= F.greatest("a_filled", "b_filled") - F.floor((F.col("x") + F.col("y")) / 7)).select("a", "b")
+
+
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, text) of some documents, one row for each id and text; the list of nodes is broadcast only while it is small."""
     fits, _ = small(nodes, 16)
@@ -324,17 +343,28 @@ def _checked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles, component_id and n_links, the links of its class to other classes."""
-    classes, found, parts = links(df, id_col, text_col)
-    ends = found.select(F.col("a").alias("rep")).union(found.select("b")).groupBy("rep").agg(F.count("*").alias("n_links"))
-    known = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left").join(ends, "rep", "left")
+    """One row per input row: id, n_shingles and component_id."""
+    classes, _, parts = links(df, id_col, text_col)
+    known = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
     text = F.coalesce(F.col(text_col), F.lit(""))
     bare = ~F.rlike(text, F.lit("[^\\x20\\x09-\\x0D]"))
     rows = df.select(F.col(id_col), bare.alias("_bare"), F.sha2(F.encode(text, "UTF-8"), 256).alias("h"))
     own = F.when(F.col("_bare"), F.col(id_col)).otherwise(F.coalesce("component", "rep")).cast("bigint")
-    return rows.join(known, "h").select(id_col, F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("n_shingles"), own.alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return rows.join(known, "h").select(id_col, F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("n_shingles"), own.alias("component_id"))
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
     """All documents with their components at Jaccard 0.75 over 5-word shingles."""
     return cluster(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
+ORACLE = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i : i + 4], ' ') END AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM t WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.x, r.c FROM r JOIN e ON e.y = r.doc_id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.c)::BIGINT AS component_id FROM documents d JOIN r ON r.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id
+"""
