@@ -39,7 +39,6 @@ CONTEXTS = 32
 ROWS = 1 << 15
 BLOCK = 256
 BATCH = 2048
-FEATURES = 6
 END = b"\n"  # no word holds white space
 UNITS = FREQUENT + SUFFIXES + 1  # the last one marks what precedes a text
 #: Slices of the training documents, in the order of the rounds: hash modulo SLICES below these bounds.
@@ -78,7 +77,7 @@ class Vocabulary:
         lists = [tokens(t) for t in texts]
         sizes = np.array([len(x) for x in lists], dtype=np.int64)
         flat = [w for x in lists for w in x]
-        r = np.array(list(map(ranks.get, flat, repeat(-1))), dtype=np.int64)
+        r = np.fromiter(map(ranks.get, flat, repeat(-1)), dtype=np.int32, count=len(flat))
         u = units[r] if len(units) else np.zeros(len(r), dtype=np.int32)
         for i in np.flatnonzero(r < 0).tolist():
             u[i] = suffix_unit(flat[i])
@@ -135,44 +134,51 @@ def _history(u: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def features(u: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Rows of the weight table that are active for each token; row 0 is the bias."""
+def features(u: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Rows of the weight table that are active for each token, an array for each feature; row 0 is the bias of all."""
     a, b, c = _history(u, sizes)
 
     def hashed(x: np.ndarray, salt: int) -> np.ndarray:
-        x = (x + np.int64(salt) * 1_000_003) * np.int64(0x9E3779B97F4A7C1) & np.int64(0x7FFFFFFFFFFFFFFF)
-        return 1 + ((x >> 20) % (ROWS - 1))
+        x = (x + np.int64(salt) * 1_000_003) * np.int64(0x9E3779B97F4A7C1)
+        return (x >> 28 & (ROWS - 1)).astype(np.int16)
 
-    return np.stack([np.zeros(len(u), dtype=np.int64), hashed(a, 1), hashed(a * UNITS + b, 2), hashed(b, 3), hashed(c, 4), hashed(a * UNITS + c, 5)], axis=1)
+    return [hashed(a, 1), hashed(a * UNITS + b, 2), hashed(b, 3), hashed(c, 4), hashed(a * UNITS + c, 5)]
 
 
-def class_log_probs(w: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Natural log of P(class | history) for each token."""
-    z = w[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        z += w[rows[:, k]]
+def class_scores(w: np.ndarray, rows: list[np.ndarray]) -> np.ndarray:
+    """Score of each class for each token."""
+    z = w.take(rows[0], axis=0)
+    for r in rows[1:]:
+        z += w.take(r, axis=0)
+    z += w[0]
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
     return z
 
 
-def sgd(w: np.ndarray, g2: np.ndarray, touched: np.ndarray, rows: np.ndarray, classes: np.ndarray, rate: float = 0.5) -> None:
-    """One pass of Adagrad over the tokens in minibatches; a step sums the gradients of a table row, then scales them."""
-    width = w.shape[1]
-    lanes = np.arange(width)
-    for i in range(0, len(rows), BATCH):
-        r, y = rows[i : i + BATCH], classes[i : i + BATCH]
-        g = np.exp(class_log_probs(w, r))
+def sgd(w: np.ndarray, g2: np.ndarray, touched: np.ndarray, rows: list[np.ndarray], classes: np.ndarray, rate: float = 0.5) -> None:
+    """One pass of Adagrad over the tokens in minibatches; a step sums the gradients of a table row, then scales them.
+
+    Rows are brought together by a radix sort of their 16-bit numbers; the bias, which every token has, is summed apart.
+    """
+    for i in range(0, len(classes), BATCH):
+        r, y = [x[i : i + BATCH] for x in rows], classes[i : i + BATCH]
+        g = class_scores(w, r)
+        np.exp(g, out=g)
+        g /= g.sum(axis=1, keepdims=True)
         g[np.arange(len(y)), y] -= 1
-        used, inverse = np.unique(r, return_inverse=True)
-        inverse = inverse.reshape(r.shape)
-        total = np.zeros(len(used) * width)
-        for k in range(r.shape[1]):
-            total += np.bincount((inverse[:, k, None] * width + lanes).ravel(), weights=g.ravel(), minlength=len(total))
-        total = total.reshape(len(used), width).astype(np.float32)
-        g2[used] += (total * total).mean(axis=1)
-        touched[used] += np.bincount(inverse.ravel(), minlength=len(used))
-        w[used] -= rate * total / np.sqrt(g2[used] + 1.0)[:, None]
+        flat = np.concatenate(r)
+        order = np.argsort(flat, kind="stable")
+        flat = flat[order]
+        first = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+        used = flat[first]
+        total = np.add.reduceat(g.take(order % len(y), axis=0), first, axis=0)
+        count = np.diff(np.append(first, len(flat)))
+        if used[0] == 0:
+            used, total, count = used[1:], total[1:], count[1:]
+        for at, t, n in ((used, total, count), (np.zeros(1, dtype=np.int64), g.sum(axis=0, keepdims=True), np.array([len(y)]))):
+            g2[at] += np.einsum("ij,ij->i", t, t) / t.shape[1]
+            touched[at] += n
+            w[at] -= rate * t / np.sqrt(g2[at] + 1.0)[:, None]
 
 
 def _unit_contexts(train: DataFrame, vocab: Vocabulary) -> np.ndarray:
@@ -266,9 +272,10 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
             y = label[u]
             lp = np.empty(len(u))
             rows = features(u, sizes)
-            for i in range(0, len(u), 1 << 14):
-                z = class_log_probs(weights, rows[i : i + (1 << 14)])
-                lp[i : i + (1 << 14)] = z[np.arange(len(z)), y[i : i + (1 << 14)]]
+            for i in range(0, len(u), 1 << 12):
+                z = class_scores(weights, [x[i : i + (1 << 12)] for x in rows])
+                own = z[np.arange(len(z)), y[i : i + (1 << 12)]]
+                lp[i : i + (1 << 12)] = own - np.log(np.exp(z, out=z).sum(axis=1))
             owner = np.repeat(np.arange(len(sizes)), sizes)
             sums = [np.bincount(owner, weights=x, minlength=len(sizes)) for x in (np.where(r >= 0, log_c[r], 0.0), r >= 0, lp / np.log(10) - log_z[y])]
             rare, tails = np.flatnonzero(r < 0), [Counter() for _ in range(len(sizes))]
