@@ -6,12 +6,14 @@ y shingles differ in at most H = floor((x + y) / 7) shingles.
 * Sizes fall in bands of ratio 2. The scheme of a band serves the pairs whose smaller set is in it. It hashes all shingles
   into m segments, m above the largest H of the band. A document takes part in the scheme of its own band and, if it
   may have partners in the band below, in that one.
-* A segment's key is a hash of its place and its shingles. Of more than H segments, one at least is equal in both
-  documents, so pairs meet in the bucket of a key. Empty segments are never indexed.
+* A segment's key is a hash of its place and its shingles. Empty segments are never indexed. Of more than H filled
+  segments, one at least is equal in both documents, so pairs meet in the bucket of a key.
 * Costs: a bucket of more than HOT documents is hot. A document whose cold segments outnumber H is found through those
-  alone. The others (documents made mostly of wide-spread passages, or of large near-copy groups) also index the
-  one-deletion neighbourhood of each segment, whose cold buckets count double as they tolerate one difference. Only what
-  then still lacks a certain partner bucket uses hot buckets, among its likes.
+  alone. The others (documents made mostly of wide-spread passages, or of large near-copy groups, and those whose
+  shingles fall in H segments or fewer) also index the one-deletion neighbourhood of each segment, whose cold buckets
+  count double as they tolerate one difference. Only what then still lacks a certain partner bucket uses hot buckets,
+  among its likes; and what even these can't make certain, the first n // 4 + 1 of its shingles in the order of their
+  hashes, of which similar sets share one.
 * Members of a bucket are first compared with its smallest member. Links make components; then all pairs of a bucket
   that are in different components are compared. A pair is compared only if enough of its segments are equal, which any
   link implies. No bucket is cut, and no link between components is lost.
@@ -194,6 +196,15 @@ def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], ["key", "node", "place", "size"])
 
 
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, node): the first n // 4 + 1 shingles of each document; of x shingles a link shares 3 x / 4 at least."""
+    for ids, texts in _text_batches(batches):
+        with np.errstate(over="ignore"):
+            keys = [mix(x[: len(x) // 4 + 1] ^ _POWER) for x in shingle_sets(texts)]
+        nodes = np.repeat(np.array(ids, dtype=np.int64), [len(k) for k in keys])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes)], ["key", "node"])
+
+
 def _buckets(columns: list[str], passes: str | None):
     """A partition's rows with the size of their bucket, single rows left out; rows with `passes` >= 0 pass as they are."""
 
@@ -275,10 +286,11 @@ def links(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
     filled = rows.filter("n >= 0 AND n % 4 = 1").select("node", scheme, F.expr("shiftright(n, 32)").alias("filled"), F.expr("shiftright(n & 4294967295L, 2)").alias("wide"))
     shared = rows.filter("n < 0").select("key", "node", "c", scheme)
 
-    # which documents need more than their cold segments
+    # which documents need more than their cold segments, be it that others are hot or that too few are filled
     hot = shared.filter(F.col("c") > HOT)
-    per = hot.groupBy("node", "s").agg(F.count("*").alias("hot")).join(sizes.select("node", "n"), "node").withColumn("need", _needed(F.col("n"), F.col("s")) + 1)
-    hard = written(per.join(filled, ["node", "s"]).filter("filled - hot < need").select("node", "s", "hot", "need", "filled", "wide"), "hard")
+    per = filled.join(sizes.select("node", "n"), "node").withColumn("need", _needed(F.col("n"), F.col("s")) + 1)
+    per = per.join(hot.groupBy("node", "s").agg(F.count("*").alias("hot")), ["node", "s"], "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
+    hard = written(per.filter("filled - hot < need").select("node", "s", "hot", "need", "filled", "wide"), "hard")
 
     # one-deletion neighbourhoods of those
     near = _texts(docs, hard.select("node").distinct()).mapInArrow(_deletions, "key long, node long, place int, size int").repartition("key")
@@ -286,16 +298,20 @@ def links(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
     near = near.withColumn("s", scheme).join(hard.select("node", "s"), ["node", "s"])
     lost = near.filter((F.col("c") > HOT) & (F.col("size") > 1)).groupBy("node", "s").agg(F.count_distinct("place").alias("lost"))
     # each hot segment loses its single count and, if wide, its double one; at worst the two sets of places are apart
-    hardest = hard.join(lost, ["node", "s"], "left").filter("filled - hot + wide - hot - coalesce(lost, 0) < need").select("node", "s")
+    hardest = hard.join(lost, ["node", "s"], "left").filter("filled - hot + wide - hot - coalesce(lost, 0) < need").withColumn("sure", F.expr("filled + wide - coalesce(lost, 0) >= need"))
+    hardest = written(hardest.select("node", "s", "sure"), "hardest")
+    first = _texts(docs, hardest.filter("NOT sure").select("node").distinct()).mapInArrow(_prefixes, "key long, node long")
     met = (
         shared.filter(F.col("c") <= HOT).select("key", "node")
         .unionByName(near.filter(F.col("c") <= HOT).select("key", "node"))
         .unionByName(hot.join(hardest, ["node", "s"]).select("key", "node"))
+        .unionByName(first)
     )
     met = written(met.distinct(), "met")
 
     # each bucket's smallest member with the others, then all pairs of a bucket that links haven't joined
-    segments = shared.groupBy("node", "s").agg(F.collect_set("key").alias("keys")).join(filled.groupBy("node", "s").agg(F.min("filled").alias("filled")), ["node", "s"])
+    segments = filled.groupBy("node", "s").agg(F.min("filled").alias("filled")).join(shared.groupBy("node", "s").agg(F.collect_set("key").alias("keys")), ["node", "s"], "left")
+    segments = segments.withColumn("keys", F.coalesce("keys", F.array().cast("array<bigint>")))  # a hard document may share no whole segment
     segments = written(segments.join(sizes.groupBy("node").agg(F.max("n").alias("n")), "node"), "segments")
     led = met.join(met.groupBy("key").agg(F.min("node").alias("a")), "key").filter("node > a").select("a", F.col("node").alias("b")).distinct()
     led = written(_plausible(led, segments), "led")

@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 
 from countryrank.llm import jaccard
 from countryrank.llm.components import components
+from countryrank.llm.passages import tokens
 
 
 def brute(texts):
@@ -60,6 +62,31 @@ def test_against_brute_force(spark, monkeypatch, hot):
     check(spark, list(enumerate(texts)))
 
 
+def test_few_filled_segments(spark):
+    """Shingles of short texts may fall in so few segments that one difference spoils them all."""
+    texts = []
+    for n in range(1, 65):
+        for seed in range(400 if n < 8 else 20):
+            w = [f"v{n}_{seed}_{i}" for i in range(n + 5)]
+            texts += [" ".join(w[:-1]), " ".join(w)]
+    check(spark, list(enumerate(texts)))
+
+
+def test_one_filled_segment(spark):
+    """8 shingles in one segment, and 6 of them: one deletion isn't enough."""
+    words = [f"q{i}" for i in range(500_000)]
+    x = tokens([" ".join(words).encode()])[0]
+    m = next(m for s, m, _ in jaccard.schemes(6) if s == 2)
+    with np.errstate(over="ignore"):
+        seg = jaccard.mix(x + np.uint64(3) * jaccard._A) % np.uint64(m)
+    same = np.convolve(seg[1:] == seg[:-1], np.ones(7), "valid")
+    texts = []
+    for i in np.flatnonzero(same == 7)[:10].tolist():
+        texts += [" ".join(words[i : i + 10]), " ".join(words[i : i + 12])]
+    assert texts
+    check(spark, list(enumerate(texts)))
+
+
 def test_sample_table(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
     check(spark, [(r[0], r[1]) for r in docs])
