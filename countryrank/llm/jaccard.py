@@ -8,32 +8,38 @@ y shingles differ in at most H = floor((x + y) / 7) shingles.
   may have partners in the band below, in that one.
 * A segment's key is a hash of its place and its shingles. Empty segments are never indexed. Of more than H filled
   segments, one at least is equal in both documents, so pairs meet in the bucket of a key.
-* Costs: a bucket of more than HOT documents is hot. A document whose cold segments outnumber H is found through those
-  alone. The others (documents made mostly of wide-spread passages, or of large near-copy groups, and those whose
-  shingles fall in H segments or fewer) also index the one-deletion neighbourhood of each segment, whose cold buckets
-  count double as they tolerate one difference. Only what then still lacks a certain partner bucket uses hot buckets,
-  among its likes; and what even these can't make certain, the first n // 4 + 1 of its shingles in the order of their
-  hashes, of which similar sets share one.
-* Members of a bucket are first compared with its smallest member. Links make components; then all pairs of a bucket
-  that are in different components are compared. A pair is compared only if enough of its segments are equal, which any
-  link implies. No bucket is cut, and no link between components is lost.
+* Costs are measured bucket sizes. A document takes its segments from the cheapest on until it has one more than H; a
+  segment that nobody shares costs nothing. Whoever gets there with such segments alone links with nothing in that
+  scheme and leaves it; whoever gets there with buckets of at most HOT documents is found through those.
+* The others (documents made mostly of wide-spread passages, or of large near-copy groups, and those whose shingles fall
+  in H segments or fewer) also take the one-deletion neighbourhoods of their segments. A segment whose neighbourhood
+  buckets are no larger than HOT counts twice, as it tolerates one difference.
+* Who still lacks segments meets others like it by single shingles, the segments of the finest partition. Of those that
+  two of them share, the cheapest come first: a document of x shingles with p cheaper ones before shares x - p at most, so
+  it takes the first x // 4 + 1 places, places of shingles that nobody shares included. Members of a group around one
+  origin, each with differences of its own, use these up on their own shingles and never meet.
+* The members of a bucket are first compared with the one that has the most in common with others. Links make components;
+  then all pairs of a bucket that are in different components are compared. A pair is compared only if its sizes and
+  places let it link and enough of its segments are equal. No bucket is cut, and no link between components is lost.
 
 Equal texts are one class. Links are decided on the shingles themselves. Texts with fewer than 5 words have the whole
-sequence as one shingle; texts without words, and null texts, have an empty set and link with nothing. Rows with a null
-id have a null component. Extra columns are ignored.
+sequence as one shingle; texts without words, and null texts, have an empty set and link with nothing. Several texts of
+one id are told apart: each has its own links, and its own component. Rows with a null id are documents like others, but
+their id labels no component: one without any other id is null. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, small_batches, written
+from .common import small, written
 from .components import components
 
 SHINGLE = 5
@@ -157,16 +163,29 @@ def _text_batches(batches: Iterator[pa.RecordBatch], size: int = 400) -> Iterato
                 yield ids[lo:], texts[lo:]
 
 
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes]]]:
+    """As _text_batches, with each node once in a task."""
+    seen: set[int] = set()
+    for nodes, texts in _text_batches(batches):
+        new = []
+        for k, node in enumerate(nodes):
+            if node not in seen:
+                seen.add(node)
+                new.append(k)
+        if new:
+            yield [nodes[k] for k in new], [texts[k] for k in new]
+
+
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, node, n): each segment's with n = -1, and a few for the document itself, told apart by n modulo 4.
 
-    0: 4 times the set size, the key being that of the class. 1: the scheme in the key's low bits has n >> 32 segments
-    that aren't empty, and (n & 0xFFFFFFFF) >> 2 of them hold more than one shingle.
+    0: 4 times the set size. 1: the scheme in the key's low bits has n >> 32 segments that aren't empty, and
+    (n & 0xFFFFFFFF) >> 2 of them hold more than one shingle.
     """
-    for ids, texts in _text_batches(batches):
+    for ids, texts in _once(batches):
         keys, nodes, sizes = [], [], []
-        for (node, cls), x in zip(((i["rep"], i["cls"]) for i in ids), shingle_sets(texts), strict=True):
-            own, n = [[cls]], [[4 * len(x)]]
+        for node, x in zip(ids, shingle_sets(texts), strict=True):
+            own, n = [[node]], [[4 * len(x)]]
             for s, m, _ in schemes(len(x)) if len(x) else []:
                 _, key, _, _, first = segment_keys(x, s, m)
                 wide = int((np.diff(np.append(first, len(x))) > 1).sum())
@@ -180,7 +199,7 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (key, node, place, size): each segment's own key and the keys of its one-deletion neighbourhood."""
-    for ids, texts in _text_batches(batches):
+    for ids, texts in _once(batches):
         parts = []
         for node, x in zip(ids, shingle_sets(texts), strict=True):
             for s, m, _ in schemes(len(x)) if len(x) else []:
@@ -196,43 +215,60 @@ def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], ["key", "node", "place", "size"])
 
 
-def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node): the first n // 4 + 1 shingles of each document; of x shingles a link shares 3 x / 4 at least."""
-    for ids, texts in _text_batches(batches):
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (key, node, x): the shingles of each document, and how many it has."""
+    for ids, texts in _once(batches):
+        sets = shingle_sets(texts)
+        size = np.array([len(x) for x in sets], dtype=np.int64)
         with np.errstate(over="ignore"):
-            keys = [mix(x[: len(x) // 4 + 1] ^ _POWER) for x in shingle_sets(texts)]
-        nodes = np.repeat(np.array(ids, dtype=np.int64), [len(k) for k in keys])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(nodes)], ["key", "node"])
+            key = mix(np.concatenate(sets) ^ _POWER).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.repeat(np.array(ids, dtype=np.int64), size)), pa.array(np.repeat(size, size))], ["key", "node", "x"])
 
 
-def _buckets(columns: list[str], passes: str | None):
-    """A partition's rows with the size of their bucket, single rows left out; rows with `passes` >= 0 pass as they are."""
+def _buckets(columns: list[str], info: str | None):
+    """Rows sorted by key, info and node, with the size c of their bucket, single rows left out.
+
+    Rows whose column info is 0 or more are no members of a bucket and pass as they are. Of a bucket no more than HOT
+    members are held at once: c is right up to HOT, and some number above it otherwise.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        t = pa.Table.from_batches(got)
-        cols = {c: t.column(c).to_numpy() for c in columns}
-        del got, t
-        keep = np.zeros(len(cols["key"]), dtype=bool)
-        count = np.zeros(len(keep), dtype=np.int64)
-        if passes:
-            keep |= cols[passes] >= 0
-        rows = np.flatnonzero(~keep)
-        order = rows[np.lexsort((cols["node"][rows], cols["key"][rows]))]
-        if len(order):
-            k = cols["key"][order]
-            new = np.concatenate([[True], k[1:] != k[:-1]])
-            again = ~new & np.concatenate([[False], cols["node"][order][1:] == cols["node"][order][:-1]])
+        held: list[np.ndarray] | None = None
+        hot, part, rows = None, [], 0
+        for b in chain(batches, [None]):
+            if b is not None:
+                part.append(b)
+                rows += b.num_rows
+                if rows < 1 << 17:
+                    continue
+            cols = [np.concatenate([x.column(c).to_numpy(zero_copy_only=False) for x in part] or [np.zeros(0, dtype=np.int64)]) for c in columns]
+            part, rows = [], 0
+            if held is not None:
+                cols, held = [np.concatenate(c) for c in zip(held, cols, strict=True)], None
+            key, node, told = cols[0], cols[1], cols[columns.index(info)] if info else np.full(len(cols[0]), -1)
+            if not len(key):
+                continue
+            new = np.concatenate([[True], (key[1:] != key[:-1]) | (told[1:] != told[:-1])])
+            again = np.concatenate([[False], node[1:] == node[:-1]]) & ~new
+            first = np.flatnonzero(new)
             group = np.cumsum(new) - 1
-            c = np.bincount(group, weights=~again).astype(np.int64)[group]
-            count[order] = c
-            keep[order[(c > 1)]] = True
-        for lo in range(0, len(keep), 1 << 19):
-            some = np.flatnonzero(keep[lo : lo + (1 << 19)]) + lo
-            if len(some):
-                yield pa.RecordBatch.from_arrays([*[pa.array(cols[c][some]) for c in columns], pa.array(count[some])], [*columns, "c"])
+            size = np.bincount(group, weights=~again).astype(np.int64)
+            if hot is not None and key[0] == hot and told[0] < 0:
+                size[0] += HOT
+            hot, upto = None, len(key)
+            if b is not None and told[-1] < 0:
+                if size[-1] > HOT:
+                    hot = key[-1]
+                else:
+                    upto = first[-1]
+                    held = [c[upto:] for c in cols]
+            c = size[group]
+            keep = (told >= 0) | (c > 1)
+            if info:  # the same row of a copy of the text
+                keep &= ~again
+            at = np.flatnonzero(keep[:upto])
+            if len(at):
+                yield pa.RecordBatch.from_arrays([*[pa.array(x[at]) for x in cols], pa.array(c[at])], [*columns, "c"])
 
     return run
 
@@ -271,70 +307,103 @@ def _needed(n: Column, s: Column) -> Column:
     return F.floor((n + F.when(n <= top, F.floor(4 * n / 3)).otherwise(top)) / 7)
 
 
+def node_of(text: Column) -> Column:
+    """Number of a class of equal texts, unless another class has it too; never negative."""
+    return F.xxhash64(text).bitwiseAND(F.lit((1 << 63) - 1))
+
+
+def classes_of(texts: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """All rows (id, h, node, text), and one row (h, node, rep) for each text: its number and smallest id.
+
+    Classes are told by SHA-256. Should several have one number, they get numbers below 0.
+    """
+    docs = texts.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    docs = docs.withColumn("h", F.unhex(F.sha2(F.encode("text", "UTF-8"), 256))).withColumn("node", node_of(F.col("text")))
+    classes = written(docs.groupBy("h", "node").agg(F.min("id").alias("rep")), "classes")
+    twice = written(classes.join(classes.groupBy("node").count().filter("count > 1").select("node"), "node", "left_semi").select("h"), "twice")
+    fits, n = small(twice, 64)
+    if n:
+        anew = written(twice.withColumn("anew", -1 - F.monotonically_increasing_id()), "anew")
+        anew = F.broadcast(anew) if fits else anew
+        docs, classes = (d.join(anew, "h", "left").withColumn("node", F.coalesce("anew", "node")).drop("anew") for d in (docs, classes))
+    return docs.select("id", "h", "node", "text"), classes.select("h", "node", "rep")
+
+
 def links(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Classes (h, rep, n), verified links (a, b) between representatives, and components (node, component).
+    """Classes of equal texts (h, node, rep, n), verified links (a, b) between nodes, and components (node, component).
 
     The links joined with the classes' copies connect exactly the documents that similar pairs connect.
     """
-    small_batches(texts.sparkSession)
-    docs = texts.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("h", F.sha2(F.encode("text", "UTF-8"), 256))
-    one = docs.groupBy("h").agg(F.min("id").alias("rep"), F.any_value("text").alias("text")).filter("rep IS NOT NULL")
-    signed = one.select(F.struct("rep", F.xxhash64("h").alias("cls")).alias("who"), "text").mapInArrow(_signatures, "key long, node long, n long").repartition("key")
+    docs, classes = classes_of(texts, id_col, text_col)
+    signed = docs.select("node", "text").mapInArrow(_signatures, "key long, node long, n long").repartition("key").sortWithinPartitions("key", "n", "node")
     rows = written(signed.mapInArrow(_buckets(["key", "node", "n"], "n"), "key long, node long, n long, c long"), "buckets")
     scheme = F.col("key").bitwiseAND(F.lit(31).cast("bigint")).cast("int").alias("s")
-    sizes = rows.filter("n >= 0 AND n % 4 = 0").select(F.col("key").alias("cls"), "node", (F.col("n") / 4).cast("bigint").alias("n"))
+    sizes = rows.filter("n >= 0 AND n % 4 = 0").select("node", (F.col("n") / 4).cast("bigint").alias("n"))
     filled = rows.filter("n >= 0 AND n % 4 = 1").select("node", scheme, F.expr("shiftright(n, 32)").alias("filled"), F.expr("shiftright(n & 4294967295L, 2)").alias("wide"))
     shared = rows.filter("n < 0").select("key", "node", "c", scheme)
 
-    # which documents need more than their cold segments, be it that others are hot or that too few are filled
-    hot = shared.filter(F.col("c") > HOT)
-    per = filled.join(sizes.select("node", "n"), "node").withColumn("need", _needed(F.col("n"), F.col("s")) + 1)
-    per = per.join(hot.groupBy("node", "s").agg(F.count("*").alias("hot")), ["node", "s"], "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
-    hard = written(per.filter("filled - hot < need").select("node", "s", "hot", "need", "filled", "wide"), "hard")
-
-    # one-deletion neighbourhoods of those
-    near = _texts(docs, hard.select("node").distinct()).mapInArrow(_deletions, "key long, node long, place int, size int").repartition("key")
+    # who needs segments that others share, and who needs more than those of small buckets
+    hot = F.sum(F.when(F.col("c") > HOT, 1).otherwise(0))
+    state = filled.join(sizes, "node").withColumn("need", _needed(F.col("n"), F.col("s")) + 1)
+    state = state.join(shared.groupBy("node", "s").agg(F.count("*").alias("k"), hot.alias("hot")), ["node", "s"], "left").na.fill(0, ["k", "hot"])
+    state = written(state.filter("filled - k < need"), "state")
+    active = written(shared.join(state.select("node", "s", F.col("n").alias("x"), (F.col("need") - F.col("filled") + F.col("k")).alias("take")), ["node", "s"]), "active")
+    order = F.row_number().over(Window.partitionBy("node", "s").orderBy("c", "key"))
+    cold = active.filter(F.col("c") <= HOT).select("key", "node", "x", F.lit(0).cast("bigint").alias("p"), (order <= F.col("take")).alias("own"))
+
+    # one-deletion neighbourhoods
+    hard = state.filter("filled - hot < need").select("node", "s", "n", "hot", "need", "filled", "wide")
+    near = _texts(docs, classes, hard.select("node").distinct()).mapInArrow(_deletions, "key long, node long, place int, size int").repartition("key").sortWithinPartitions("key", "node")
     near = written(near.mapInArrow(_buckets(["key", "node", "place", "size"], None), "key long, node long, place int, size int, c long"), "near")
-    near = near.withColumn("s", scheme).join(hard.select("node", "s"), ["node", "s"])
+    near = near.withColumn("s", scheme).join(hard.select("node", "s", F.col("n").alias("x")), ["node", "s"])
     lost = near.filter((F.col("c") > HOT) & (F.col("size") > 1)).groupBy("node", "s").agg(F.count_distinct("place").alias("lost"))
     # each hot segment loses its single count and, if wide, its double one; at worst the two sets of places are apart
-    hardest = hard.join(lost, ["node", "s"], "left").filter("filled - hot + wide - hot - coalesce(lost, 0) < need").withColumn("sure", F.expr("filled + wide - coalesce(lost, 0) >= need"))
-    hardest = written(hardest.select("node", "s", "sure"), "hardest")
-    first = _texts(docs, hardest.filter("NOT sure").select("node").distinct()).mapInArrow(_prefixes, "key long, node long")
-    met = (
-        shared.filter(F.col("c") <= HOT).select("key", "node")
-        .unionByName(near.filter(F.col("c") <= HOT).select("key", "node"))
-        .unionByName(hot.join(hardest, ["node", "s"]).select("key", "node"))
-        .unionByName(first)
-    )
-    met = written(met.distinct(), "met")
-
-    # each bucket's smallest member with the others, then all pairs of a bucket that links haven't joined
-    segments = filled.groupBy("node", "s").agg(F.min("filled").alias("filled")).join(shared.groupBy("node", "s").agg(F.collect_set("key").alias("keys")), ["node", "s"], "left")
-    segments = segments.withColumn("keys", F.coalesce("keys", F.array().cast("array<bigint>")))  # a hard document may share no whole segment
-    segments = written(segments.join(sizes.groupBy("node").agg(F.max("n").alias("n")), "node"), "segments")
-    led = met.join(met.groupBy("key").agg(F.min("node").alias("a")), "key").filter("node > a").select("a", F.col("node").alias("b")).distinct()
+    hardest = hard.join(lost, ["node", "s"], "left").filter("filled - hot + wide - hot - coalesce(lost, 0) < need")
+    beside = near.filter(F.col("c") <= HOT).select("key", "node", "x", F.lit(0).cast("bigint").alias("p"), F.lit(True).alias("own")).distinct()
+
+    # the finest partition, for the rest
+    finest = _cheapest(_texts(docs, classes, hardest.select("node").distinct()).mapInArrow(_shingles, "key long, node long, x long"))
+    met = written(cold.unionByName(beside).unionByName(finest), "met")
+
+    # each bucket's most common member with the others, then all pairs of a bucket that links haven't joined
+    segments = written(state.join(active.groupBy("node", "s").agg(F.collect_list("key").alias("keys")), ["node", "s"], "left").select("node", "s", "n", "filled", F.coalesce("keys", F.array().cast("array<bigint>")).alias("keys")), "segments")
+    leads = met.groupBy("key").agg(F.min_by(F.struct(F.col("node").alias("b"), F.col("x").alias("y"), F.col("p").alias("q")), F.struct(F.col("p") / F.col("x"), "node")).alias("lead"))
+    could = 7 * F.least(F.col("x") - F.col("p"), F.col("y") - F.col("q")) >= 3 * (F.col("x") + F.col("y"))
+    led = met.join(leads, "key").select("node", "x", "p", "lead.*").filter((F.col("node") != F.col("b")) & could).select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     led = written(_plausible(led, segments), "led")
-    found = written(_checked(led, docs), "links")
-    label = met.join(components(found), "node", "left").select("key", "node", F.coalesce("component", "node").alias("p"))
-    mixed = label.groupBy("key").agg(F.min("p").alias("lo"), F.max("p").alias("hi")).filter("lo < hi").select("key")
+    found = written(_checked(led, docs, classes), "links")
+    label = met.join(components(found), "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    mixed = label.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).filter("lo < hi").select("key")
     left = written(label.join(mixed, "key", "left_semi"), "left")
-    other = left.select("key", F.col("node").alias("b"), F.col("p").alias("q"))
-    rest = left.select("key", F.col("node").alias("a"), "p").join(other, "key").filter("a < b AND p <> q").select("a", "b").distinct()
+    other = left.select("key", F.col("node").alias("b"), F.col("x").alias("y"), F.col("p").alias("q"), F.col("own").alias("own_b"), F.col("part").alias("part_b"))
+    smaller = (F.col("y") < F.col("x")) | ((F.col("y") == F.col("x")) & (F.col("b") < F.col("node")))
+    rest = left.join(other, "key").filter(smaller & could & (F.col("part") != F.col("part_b")) & (F.col("own") | F.col("own_b")))
+    rest = rest.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
     rest = _plausible(rest, segments).join(led, ["a", "b"], "left_anti")
-    found = written(found.unionByName(_checked(rest, docs)).distinct(), "links")
-    classes = docs.groupBy("h").agg(F.min("id").alias("rep")).withColumn("cls", F.xxhash64("h"))
-    sized = sizes.withColumnRenamed("node", "rep")
-    return classes.join(sized, ["cls", "rep"], "left").select("h", "rep", "n"), found, components(found)
+    found = written(found.unionByName(_checked(rest, docs, classes)).distinct(), "links")
+    return classes.join(sizes, "node", "left"), found, components(found)
+
+
+def _cheapest(shingles: DataFrame) -> DataFrame:
+    """Buckets (key, node, x, p, own) of single shingles: of each document's x, those at the first x // 4 + 1 places.
+
+    Places go by the number of documents that have a shingle; p is a shingle's place. Those that nobody shares come first
+    and are counted only.
+    """
+    often = shingles.groupBy("key").agg(F.count("*").alias("d")).filter("d > 1")
+    common = shingles.join(often, "key")
+    of = Window.partitionBy("node")
+    placed = common.withColumn("p", F.col("x") - F.count("*").over(of) + F.row_number().over(of.orderBy("d", "key")) - 1)
+    return placed.filter("4 * p <= x").select("key", "node", "x", F.col("p").cast("bigint").alias("p"), F.lit(True).alias("own"))
 
 
 def _plausible(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """The pairs (a, b) that can link by what is known without their texts.
 
     In the scheme of the smaller one's band, each shingle in which the two differ spoils one segment at most, so of the
-    segments that either fills all but floor((x + y) / 7) must be equal.
+    segments that either fills all but floor((x + y) / 7) must be equal. Who isn't active there links with nothing.
     """
-    n = segments.groupBy("node").agg(F.max("n").alias("n"))
+    n = segments.select("node", "n").distinct()
     sized = pairs.join(n.select(F.col("node").alias("a"), F.col("n").alias("x")), "a").join(n.select(F.col("node").alias("b"), F.col("n").alias("y")), "b")
     sized = sized.filter(100 * F.least("x", "y") >= 75 * F.greatest("x", "y"))
     sized = sized.withColumn("s", F.floor(F.log2(F.least("x", "y").cast("double") + 0.5)).cast("int").bitwiseAND(F.lit(31)))
@@ -343,30 +412,38 @@ def _plausible(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     return both.filter(F.size(F.array_intersect("a_keys", "b_keys")) >= F.greatest("a_filled", "b_filled") - F.floor((F.col("x") + F.col("y")) / 7)).select("a", "b")
 
 
-def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, text) of some documents, one row for each id and text; the list of nodes is broadcast only while it is small."""
-    fits, _ = small(nodes, 16)
-    nodes = nodes.select(F.col("node").alias("id"))
-    return docs.join(F.broadcast(nodes) if fits else nodes, "id").select(F.col("id").alias("node"), "text")
+def _texts(docs: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of some nodes, once each; the list of nodes is broadcast only while it is small."""
+    nodes = classes.join(nodes, "node").select(F.col("node").alias("of"), "rep")
+    fits, _ = small(nodes, 24)
+    one = docs.join(F.broadcast(nodes) if fits else nodes, (F.col("node") == F.col("of")) & F.col("id").eqNullSafe(F.col("rep")))
+    return one.groupBy("node").agg(F.any_value("text").alias("text"))
 
 
-def _checked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def _checked(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) that link."""
     pairs = written(pairs, "pairs")
-    texts = written(_texts(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), "texts")
+    texts = written(_texts(docs, classes, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()), "texts")
     two = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     return two.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long").distinct()
 
 
-def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_shingles and component_id."""
+def labelled(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, h (SHA-256 of the text), n_shingles, component_id, and the component's smallest text id."""
     classes, _, parts = links(df, id_col, text_col)
-    known = classes.join(parts.withColumnRenamed("node", "rep"), "rep", "left")
+    known = classes.join(parts, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    least = known.groupBy("part").agg(F.min("rep").alias("component_id"))
+    known = written(known.join(least, "part").select("h", "part", "n", "component_id"), "known")
     text = F.coalesce(F.col(text_col), F.lit(""))
     bare = ~F.rlike(text, F.lit("[^\\x20\\x09-\\x0D]"))
-    rows = df.select(F.col(id_col), bare.alias("_bare"), F.sha2(F.encode(text, "UTF-8"), 256).alias("h"))
-    own = F.when(F.col("_bare"), F.col(id_col)).otherwise(F.coalesce("component", "rep")).cast("bigint")
-    return rows.join(known, "h").select(id_col, F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("n_shingles"), own.alias("component_id"))
+    rows = df.select(F.col(id_col), bare.alias("_bare"), F.unhex(F.sha2(F.encode(text, "UTF-8"), 256)).alias("h"))
+    own = F.when(F.col("_bare"), F.col(id_col)).otherwise(F.col("component_id")).cast("bigint")
+    return rows.join(known, "h").select(id_col, "h", F.coalesce(F.col("n").cast("bigint"), F.lit(0)).alias("n_shingles"), own.alias("component_id"), F.when(~F.col("_bare"), F.col("part")).alias("part"))
+
+
+def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_shingles and component_id."""
+    return labelled(df, id_col, text_col).select(id_col, "n_shingles", "component_id")
 
 
 def op5(spark, sf_dir: str) -> DataFrame:

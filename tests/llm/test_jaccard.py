@@ -95,7 +95,87 @@ def test_sample_table(spark):
 def test_empty_and_null_ids(spark):
     assert jaccard.cluster(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     df = spark.createDataFrame([(None, "a b c d e f"), (None, "q"), (4, "a b c d e f")], "doc_id long, text string")
-    assert {(r[0], r[2]) for r in jaccard.cluster(df).collect()} == {(None, 4), (None, None), (4, 4)}
+    assert {tuple(r) for r in jaccard.cluster(df).collect()} == {(None, 2, 4), (None, 1, None), (4, 2, 4)}
+
+
+def brute_rows(texts):
+    """(id, n_shingles, component id) of each row, with rows as documents."""
+    parts = brute(list(enumerate(t for _, t in texts)))
+    least = {}
+    for k, (i, _) in enumerate(texts):
+        least[parts[k][1]] = min(least.get(parts[k][1], i), i)
+    return sorted((i, parts[k][0], least[parts[k][1]]) for k, (i, _) in enumerate(texts))
+
+
+def family(rnd, size, words, edits):
+    """Copies of one origin, each with other words in `edits` places of its own."""
+    base, out = [f"o{rnd.random()}" for _ in range(words)], []
+    for _ in range(size):
+        own = list(base)
+        for at in rnd.sample(range(words), edits):
+            own[at] = f"e{rnd.random()}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_texts_of_one_id(spark):
+    """Ids with several texts, each of which links with another id."""
+    rnd = random.Random(3)
+    texts = []
+    for k in range(30):
+        a, b = family(rnd, 2, 120, 2), family(rnd, 2, 120, 2)
+        texts += [(1000 + k, a[0]), (1000 + k, b[0]), (2000 + k, a[1]), (3000 + k, b[1])]
+    got = jaccard.cluster(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in got) == brute_rows(texts)
+
+
+def test_large_groups_that_do_not_link(spark):
+    """150 texts around one origin: most are too far from it and from each other, some are near it, some are cut off."""
+    rnd = random.Random(4)
+    texts = [t for k in (1, 2, 3, 4, 5, 6) for t in family(random.Random(9), 1, 146, 0) + family(rnd, 1, 146, k)]
+    base = texts[0].split()
+    for k in range(150):
+        own = base[: 90 + k % 30] if k % 10 == 0 else list(base)
+        for at in rnd.sample(range(len(own)), 3 + k % 6):
+            own[at] = f"e{rnd.random()}"
+        texts.append(" ".join(own))
+    check(spark, list(enumerate(texts)))
+
+
+def test_numbers_that_clash(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "node_of", lambda text: jaccard.F.pmod(jaccard.F.xxhash64(text), jaccard.F.lit(40)))
+    rnd = random.Random(6)
+    check(spark, list(enumerate([t for _ in range(40) for t in family(rnd, 3, 60, 1)] + ["", None, "a b"])))
+
+
+def test_buckets_across_batches():
+    """Counts are right up to HOT, whatever the batches; copies of a row count once."""
+    import pyarrow as pa
+
+    rnd = random.Random(8)
+    rows = sorted((k, -1, n) for k in range(300) for n in rnd.choices(range(1000), k=rnd.choice([1, 2, 3, 30, 60, 500])))
+    want = {}
+    for k, _, n in rows:
+        want.setdefault(k, set()).add(n)
+    batches, at = [], 0
+    while at < len(rows):
+        part = rows[at : at + rnd.choice([1, 50, 90_000])]
+        at += len(part)
+        k, t, n = (np.array(x) for x in zip(*part, strict=True))
+        batches.append(pa.RecordBatch.from_arrays([pa.array(k), pa.array(n), pa.array(t)], ["key", "node", "n"]))
+    out = [r for b in jaccard._buckets(["key", "node", "n"], "n")(iter(batches)) for r in b.to_pylist()]
+    assert {(r["key"], r["node"]) for r in out} == {(k, n) for k, v in want.items() if len(v) > 1 for n in v}
+    for r in out:
+        size = len(want[r["key"]])
+        assert r["c"] == size if size <= jaccard.HOT else r["c"] > jaccard.HOT
+
+
+def test_very_long_text(spark):
+    """A text of 300,000 words, a copy of it with a few other words, and its first half."""
+    rnd = random.Random(10)
+    words = [f"l{rnd.randint(0, 10**9)}" for _ in range(300_000)]
+    texts = [" ".join(words), " ".join(near(rnd, words, 0.01)), " ".join(words[:150_000])]
+    check(spark, list(enumerate(texts)))
 
 
 def test_bounds():
