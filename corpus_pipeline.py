@@ -24,13 +24,27 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of the smallest id of each component at Jaccard 0.75, and one row of each id."""
-    groups = written(jaccard.cluster(docs.select("doc_id", "text")), "groups")
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    fits, _ = small(gone, 16)
-    kept = docs.join(F.broadcast(gone) if fits else gone, "doc_id", "left_anti")
-    again = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return kept if not again else kept.filter("doc_id IS NULL").unionByName(kept.filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+    """Keeps one row of each component at Jaccard 0.75: of the smallest id, and of its texts the one of the smallest hash.
+
+    Rows with a null id, and rows without words, which link with nothing, stay.
+    """
+    marked = jaccard.labelled(docs.select("doc_id", "text")).filter("doc_id IS NOT NULL AND part IS NOT NULL")
+    groups = written(marked.groupBy("part", "doc_id", "h").agg(F.count("*").alias("n")), "groups")
+    first = groups.groupBy("part").agg(F.min(F.struct("doc_id", "h")).alias("first"))
+    ranked = groups.join(first, "part").withColumn("stays", F.struct("doc_id", "h") == F.col("first"))
+    gone = written(ranked.filter("NOT stays").select(F.col("doc_id").alias("_of"), F.col("h").alias("_h")), "gone")
+    again = written(ranked.filter("stays AND n > 1").select(F.col("doc_id").alias("_of"), F.col("h").alias("_h")), "again")
+    h = F.unhex(F.sha2(F.encode(F.coalesce("text", F.lit("")), "UTF-8"), 256))
+
+    def met(rows: DataFrame, how: str) -> DataFrame:
+        fits, _ = small(rows, 48)
+        return kept.join(F.broadcast(rows) if fits else rows, (F.col("doc_id") == F.col("_of")) & (h == F.col("_h")), how)
+
+    kept = docs
+    kept = met(gone, "left_anti")
+    if not again.limit(1).count():
+        return kept
+    return met(again, "left_anti").unionByName(met(again, "left_semi").withColumn("_h", h).dropDuplicates(["doc_id", "_h"]).drop("_h"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
