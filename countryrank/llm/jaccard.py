@@ -198,19 +198,30 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, node, place, size): each segment's own key and the keys of its one-deletion neighbourhood."""
-    for ids, texts in _once(batches):
+    """Rows (key, node, place, size): the keys of a document's segments and of their one-deletion neighbourhoods.
+
+    Columns: node, text, its schemes, the keys of its hot segments, and those of them that it stands for. Hot segments are
+    left out; of all documents that share one, one alone emits the keys around it, with size -1, so that they count as hot.
+    """
+    for b in batches:
         parts = []
-        for node, x in zip(ids, shingle_sets(texts), strict=True):
+        sets = shingle_sets([t.encode() for t in b.column(1).to_pylist()])
+        for i, (node, x) in enumerate(zip(b.column(0).to_pylist(), sets, strict=True)):
+            wanted, hot, led = (np.array(b.column(k)[i].as_py() or [], dtype=np.int64) for k in (2, 3, 4))
             for s, m, _ in schemes(len(x)) if len(x) else []:
+                if s not in wanted:
+                    continue
                 place, own, total, member, first = segment_keys(x, s, m)
                 size = np.diff(np.append(first, len(x)))
-                wide = np.repeat(size > 1, size)
+                size = np.where(~np.isin(own, hot), size, np.where(np.isin(own, led), -1, 0))
+                of = np.repeat(size, np.diff(np.append(first, len(x))))
+                wide = (of > 1) | (of < 0)
                 with np.errstate(over="ignore"):
-                    less = (np.repeat(total, size) - member)[wide]
-                at, of = np.repeat(place, size)[wide], np.repeat(size, size)[wide]
-                key = np.concatenate([own, key_of(at, less, s)])
-                parts.append((key, np.full(len(key), node, dtype=np.int64), np.concatenate([place, at]).astype(np.int32), np.concatenate([size, of]).astype(np.int32)))
+                    less = (np.repeat(total, np.diff(np.append(first, len(x)))) - member)[wide]
+                at = np.repeat(place, np.diff(np.append(first, len(x))))[wide]
+                some = size != 0
+                key = np.concatenate([own[some], key_of(at, less, s)])
+                parts.append((key, np.full(len(key), node, dtype=np.int64), np.concatenate([place[some], at]).astype(np.int32), np.concatenate([size[some], of[wide]]).astype(np.int32)))
         if parts:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], ["key", "node", "place", "size"])
 
@@ -229,7 +240,8 @@ def _buckets(columns: list[str], info: str | None):
     """Rows sorted by key, info and node, with the size c of their bucket, single rows left out.
 
     Rows whose column info is 0 or more are no members of a bucket and pass as they are. Of a bucket no more than HOT
-    members are held at once: c is right up to HOT, and some number above it otherwise.
+    members are held at once: c is right up to HOT, and some number above it otherwise. A row of a size below 0 makes its
+    bucket hot.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +264,8 @@ def _buckets(columns: list[str], info: str | None):
             again = np.concatenate([[False], node[1:] == node[:-1]]) & ~new
             first = np.flatnonzero(new)
             group = np.cumsum(new) - 1
-            size = np.bincount(group, weights=~again).astype(np.int64)
+            weight = ~again if info else np.where(cols[columns.index("size")] < 0, HOT + 1, ~again)
+            size = np.bincount(group, weights=weight).astype(np.int64)
             if hot is not None and key[0] == hot and told[0] < 0:
                 size[0] += HOT
             hot, upto = None, len(key)
@@ -347,14 +360,19 @@ def links(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> t
     state = filled.join(sizes, "node").withColumn("need", _needed(F.col("n"), F.col("s")) + 1)
     state = state.join(shared.groupBy("node", "s").agg(F.count("*").alias("k"), hot.alias("hot")), ["node", "s"], "left").na.fill(0, ["k", "hot"])
     state = written(state.filter("filled - k < need"), "state")
-    active = written(shared.join(state.select("node", "s", F.col("n").alias("x"), (F.col("need") - F.col("filled") + F.col("k")).alias("take")), ["node", "s"]), "active")
+    state = state.withColumn("hard", F.expr("filled - hot < need"))
+    active = written(shared.join(state.select("node", "s", "hard", F.col("n").alias("x"), (F.col("need") - F.col("filled") + F.col("k")).alias("take")), ["node", "s"]), "active")
     order = F.row_number().over(Window.partitionBy("node", "s").orderBy("c", "key"))
     cold = active.filter(F.col("c") <= HOT).select("key", "node", "x", F.lit(0).cast("bigint").alias("p"), (order <= F.col("take")).alias("own"))
 
     # one-deletion neighbourhoods
-    hard = state.filter("filled - hot < need").select("node", "s", "n", "hot", "need", "filled", "wide")
-    near = _texts(docs, classes, hard.select("node").distinct()).mapInArrow(_deletions, "key long, node long, place int, size int").repartition("key").sortWithinPartitions("key", "node")
-    near = written(near.mapInArrow(_buckets(["key", "node", "place", "size"], None), "key long, node long, place int, size int, c long"), "near")
+    hard = state.filter("hard").select("node", "s", "n", "hot", "need", "filled", "wide")
+    spread = active.filter(F.col("hard") & (F.col("c") > HOT)).select("key", "node")
+    stands = spread.groupBy("key").agg(F.min("node").alias("node")).groupBy("node").agg(F.collect_list("key").alias("led"))
+    asked = hard.groupBy("node").agg(F.collect_set("s").alias("schemes")).join(spread.groupBy("node").agg(F.collect_list("key").alias("hot")), "node", "left").join(stands, "node", "left")
+    asked = _texts(docs, classes, hard.select("node").distinct()).join(asked, "node").select("node", "text", "schemes", "hot", "led")
+    near = asked.mapInArrow(_deletions, "key long, node long, place int, size int").repartition("key").sortWithinPartitions("key", "node")
+    near = written(near.mapInArrow(_buckets(["key", "node", "place", "size"], None), "key long, node long, place int, size int, c long").filter("size > 0"), "near")
     near = near.withColumn("s", scheme).join(hard.select("node", "s", F.col("n").alias("x")), ["node", "s"])
     lost = near.filter((F.col("c") > HOT) & (F.col("size") > 1)).groupBy("node", "s").agg(F.count_distinct("place").alias("lost"))
     # each hot segment loses its single count and, if wide, its double one; at worst the two sets of places are apart
