@@ -144,6 +144,11 @@ def progress_percent(done: Column, total: Column) -> Column:
     return F.when(total > 0, F.least(F.lit(100), F.floor(done / total * 100)).cast("int")).otherwise(F.lit(0))
 
 
+def trimmed(col: Column) -> Column:
+    """col without white space of any kind at its ends."""
+    return F.regexp_replace(col, "(?U)^[\\s\\uFEFF]+|[\\s\\uFEFF]+$", "")
+
+
 def location_query(term: Column) -> Column:
     return F.concat(F.lit('location:"'), F.regexp_replace(term, r'(["\\])', r"\\$1"), F.lit('"'))
 
@@ -160,6 +165,13 @@ def month_ranges(year: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.struct(m.alias("month"), F.date_format(first(m), "yyyy-MM-dd").alias("low"), F.date_format(F.last_day(first(m)), "yyyy-MM-dd").alias("high")))
 
 
+def day_ranges(year: Column, month: Column) -> Column:
+    """Each day of a month, as text."""
+    first = F.make_date(year, month, F.lit(1))
+    days = F.sequence(first, F.last_day(first))
+    return F.transform(days, lambda d: F.struct(F.dayofmonth(d).alias("day"), F.date_format(d, "yyyy-MM-dd").alias("low"), F.date_format(d, "yyyy-MM-dd").alias("high")))
+
+
 def content_hash(canonical: Column) -> Column:
     """sha256 of a country's canonical JSON: a struct whose fields are declared in the order of their names."""
     return F.sha2(F.to_json(canonical), 256)

@@ -6,6 +6,8 @@ on the normalised term, folded per location, and the verdict is joined back to t
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,22 @@ TERRITORIES = [
 ]
 
 
+#: Short names of regions that count beside their full names.
+SHORT_NAMES = [
+    ("US", "usa"),
+    ("US", "u s a"),
+    ("GB", "uk"),
+    ("GB", "u k"),
+    ("AE", "uae"),
+    ("AE", "u a e"),
+]
+
+
+def region_rows(names: DataFrame) -> DataFrame:
+    """(code, norm) of (code, norm) names of regions, such as alias_rows() or catalog.region_names(), and of SHORT_NAMES."""
+    return names.select("code", "norm").unionByName(names.sparkSession.createDataFrame(SHORT_NAMES, "code string, norm string")).distinct()
+
+
 def territories(spark) -> DataFrame:
     """(norm, code) of the fixed territory names."""
     return spark.createDataFrame(TERRITORIES, "norm string, code string")
@@ -40,7 +58,7 @@ def territories(spark) -> DataFrame:
 
 def location_keys(df: DataFrame, location_col: str = "location") -> DataFrame:
     """(location, raw, normalized, candidates) of the distinct non-empty locations."""
-    raw = F.trim(F.regexp_replace(F.col(location_col), r"^(?U)\s+|(?U)\s+$", ""))
+    raw = text.trimmed(F.col(location_col))
     one = df.select(F.col(location_col).alias("location"), raw.alias("raw")).filter("raw <> ''").distinct()
     bare = one.withColumn("_b", text.strip_marks(F.col("raw")))
     return bare.select("location", "raw", text.fold_location(F.col("_b")).alias("normalized"), text.distinct_candidates(text.location_parts(F.col("_b"))).alias("candidates"))
@@ -105,8 +123,8 @@ def phrase_match(keys: DataFrame, phrases: DataFrame) -> DataFrame:
     return grams.join(phrases.select("code", "norm").distinct(), "norm").select("location", "code", "norm", "pos", "words")
 
 
-def _verdict(accepted: bool, confidence: str, evidence: str, code: Column | None = None, matched: Column | None = None, conflicts: Column | None = None) -> Column:
-    no_text, no_list = F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+def _verdict(accepted: bool, confidence: str, evidence: str, code: Column | None = None, matched: Column | None = None, conflicts: Column | None = None, of: str = "string") -> Column:
+    no_text, no_list = F.lit(None).cast("string"), F.lit(None).cast(f"array<{of}>")
     return F.struct(
         F.lit(accepted).alias("accepted"), (no_text if code is None else code).alias("country_code"), F.lit(confidence).alias("confidence"),
         F.lit(evidence).alias("evidence"), (no_text if matched is None else matched).alias("matched"), (no_list if conflicts is None else conflicts).alias("conflicts"),
@@ -155,7 +173,7 @@ def resolve_locations(keys: DataFrame, catalogue: DataFrame, terms: DataFrame, n
 
 def resolve_location(df: DataFrame, catalogue: DataFrame, terms: DataFrame, location_col: str = "location", names: DataFrame | None = None) -> DataFrame:
     """df with `attribution`. Rows without a location, often the largest group, skip the join."""
-    told = F.trim(F.coalesce(F.col(location_col), F.lit(""))) != ""
+    told = text.trimmed(F.coalesce(F.col(location_col), F.lit(""))) != ""
     verdicts = resolve_locations(location_keys(df.filter(told), location_col), catalogue, terms, names)
     some = df.filter(told).join(verdicts.withColumnRenamed("location", location_col), location_col, "left")
     none = df.filter(~told).withColumn("attribution", _verdict(False, *MISSING))
@@ -168,13 +186,15 @@ def curated_places(candidates: DataFrame, config: DataFrame) -> DataFrame:
     return candidates.join(places, "norm").filter(F.lower("code") != F.col("norm")).select("location", "code", "norm").distinct()
 
 
-def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame, strict: bool = False) -> DataFrame:
+def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame, strict: bool = True) -> DataFrame:
     """(location, code, attribution): whether a location is in the target country `code`; the first rule decides.
 
     config: (code, kind, norm, term, seq) with kinds alias, exact, place, compound, curated, ambiguous. regions: (code,
-    norm) of all country names and aliases. A foreign name inside a longer matched name of the target doesn't count,
-    unless strict. Names come from the catalogue only.
+    norm) of the names of all regions, see region_rows(). Every foreign name that the location holds is a conflict; with
+    strict=False one inside a longer matched name of the target isn't. conflicts lists (code, name), by code, with the
+    shortest name that is held.
     """
+    verdict = partial(_verdict, of="struct<code:string,name:string>")
     wanted = pairs.select("location", "code").distinct()
     keys, config = settled(location_keys(wanted)), settled(config)
     told = wanted.join(keys, "location")
@@ -189,7 +209,8 @@ def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame,
     met = wanted.join(other, "location").filter("code <> other").join(spans, ["location", "code"], "left")
     inside = F.exists("spans", lambda s: (s["pos"] <= F.col("pos")) & (s["pos"] + s["words"] >= F.col("pos") + F.col("words")) & (s["words"] > F.col("words")))
     foreign = met.filter(F.lit(True) if strict else ~F.coalesce(inside, F.lit(False)))
-    foreign = foreign.groupBy("location", "code").agg(F.array_sort(F.collect_set(F.struct(F.col("other").alias("code"), F.col("norm").alias("name")))).alias("foreign"))
+    foreign = foreign.groupBy("location", "code", "other").agg(F.min_by("norm", F.struct(F.length("norm"), "norm")).alias("name"))
+    foreign = foreign.groupBy("location", "code").agg(F.array_sort(F.collect_list(F.struct(F.col("other").alias("code"), "name"))).alias("foreign"))
     curated = phrase_match(keys, kind("curated")).join(kind("curated").select("code", "norm", "seq", "term"), ["code", "norm"]).groupBy("location", "code").agg(F.min_by("term", "seq").alias("curated"))
 
     # codes, compounds and places
@@ -205,22 +226,22 @@ def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame,
     all_ = told
     for part in (first_alias, foreign, curated, whole("compound", "compound"), whole("exact", "exact"), context, place):
         all_ = all_.join(part, ["location", "code"], "left")
-    code, names = F.col("code"), F.transform("foreign", lambda x: x["code"])
+    code, names = F.col("code"), F.col("foreign")
     chain = (
-        F.when((F.col("alias").isNotNull() | F.col("exact").isNotNull()) & F.col("foreign").isNotNull(), _verdict(False, "ambiguous", "multiple-countries", None, None, names))
-        .when(F.col("foreign").isNotNull(), _verdict(False, "unknown", "foreign-country", None, None, names))
-        .when(F.col("alias").isNotNull(), _verdict(True, "high", "explicit-country", code, F.col("alias")))
-        .when(F.col("compound").isNotNull(), _verdict(True, "high", "recognized-place-with-admin", code, F.col("normalized")))
-        .when(F.col("context").isNotNull(), _verdict(True, "high", "country-code-with-place", code, F.coalesce("exact", "context")))
-        .when(F.col("exact").isNotNull(), _verdict(True, "high", "country-code", code, F.col("exact")))
-        .when(F.col("place.unsure") == 1, _verdict(False, "ambiguous", "ambiguous-place", None, F.col("place.norm")))
-        .when(F.col("place.unsure") == 0, _verdict(True, "medium", "recognized-place", code, F.col("place.norm")))
-        .when(F.col("curated").isNotNull(), _verdict(True, "medium", "curated-location", code, F.col("curated")))
-        .otherwise(_verdict(False, "unknown", "unrecognized-location"))
+        F.when((F.col("alias").isNotNull() | F.col("exact").isNotNull()) & F.col("foreign").isNotNull(), verdict(False, "ambiguous", "multiple-countries", None, None, names))
+        .when(F.col("foreign").isNotNull(), verdict(False, "unknown", "foreign-country", None, None, names))
+        .when(F.col("alias").isNotNull(), verdict(True, "high", "explicit-country", code, F.col("alias")))
+        .when(F.col("compound").isNotNull(), verdict(True, "high", "recognized-place-with-admin", code, F.col("normalized")))
+        .when(F.col("context").isNotNull(), verdict(True, "high", "country-code-with-place", code, F.coalesce("exact", "context")))
+        .when(F.col("exact").isNotNull(), verdict(True, "high", "country-code", code, F.col("exact")))
+        .when(F.col("place.unsure") == 1, verdict(False, "ambiguous", "ambiguous-place", None, F.col("place.norm")))
+        .when(F.col("place.unsure") == 0, verdict(True, "medium", "recognized-place", code, F.col("place.norm")))
+        .when(F.col("curated").isNotNull(), verdict(True, "medium", "curated-location", code, F.col("curated")))
+        .otherwise(verdict(False, "unknown", "unrecognized-location"))
     )
     done = all_.select("location", "code", chain.alias("attribution"))
-    bare = wanted.join(keys.select("location"), "location", "left_anti").withColumn("attribution", _verdict(False, *MISSING))
-    missing = pairs.filter("location IS NULL").select("location", "code").distinct().withColumn("attribution", _verdict(False, *MISSING))
+    bare = wanted.join(keys.select("location"), "location", "left_anti").withColumn("attribution", verdict(False, *MISSING))
+    missing = pairs.filter("location IS NULL").select("location", "code").distinct().withColumn("attribution", verdict(False, *MISSING))
     return done.unionByName(bare.filter("location IS NOT NULL")).unionByName(missing)
 
 

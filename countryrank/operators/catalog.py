@@ -2,12 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
 
 
+#: The region beside the ISO list, names that differ from the display names, and other names of countries.
+EXTRA = [("XK", "Kosovo")]
+NAME_OVERRIDES = {
+    "BO": "Bolivia", "BN": "Brunei", "CD": "DR Congo", "CG": "Republic of the Congo", "CI": "Côte d'Ivoire", "CZ": "Czechia", "FM": "Micronesia", "HK": "Hong Kong", "GB": "United Kingdom",
+    "IR": "Iran", "KP": "North Korea", "KR": "South Korea", "LA": "Laos", "MD": "Moldova", "MO": "Macao", "PS": "Palestine", "RU": "Russia", "SY": "Syria", "TZ": "Tanzania",
+    "US": "United States", "VE": "Venezuela", "VN": "Vietnam",
+}
+ALIASES = {
+    "AE": ["UAE", "U.A.E."],
+    "BO": ["Plurinational State of Bolivia"],
+    "BN": ["Brunei Darussalam"],
+    "CD": ["Democratic Republic of the Congo", "DRC", "D.R.C."],
+    "CI": ["Ivory Coast"],
+    "CV": ["Cape Verde"],
+    "CZ": ["Czech Republic"],
+    "FM": ["Federated States of Micronesia"],
+    "GB": ["UK", "U.K.", "Great Britain"],
+    "HK": ["Hong Kong SAR", "Hong Kong S.A.R.", "Hong Kong SAR China", "Hong Kong Special Administrative Region"],
+    "IR": ["Islamic Republic of Iran"],
+    "KP": ["DPRK", "D.P.R.K.", "Democratic People's Republic of Korea"],
+    "KR": ["Republic of Korea", "ROK", "R.O.K."],
+    "LA": ["Lao People's Democratic Republic", "Lao PDR"],
+    "MD": ["Republic of Moldova"],
+    "MO": ["Macau", "Macau SAR", "Macao SAR", "Macao SAR China", "Macao Special Administrative Region"],
+    "MM": ["Burma"],
+    "PS": ["State of Palestine", "Palestinian Territories"],
+    "RU": ["Russian Federation"],
+    "SZ": ["Swaziland"],
+    "TL": ["East Timor"],
+    "TR": ["Turkey", "Türkiye"],
+    "TZ": ["United Republic of Tanzania"],
+    "US": ["USA", "U.S.A.", "United States of America"],
+    "VA": ["Vatican City"],
+    "VE": ["Bolivarian Republic of Venezuela"],
+    "VN": ["Viet Nam"],
+    "XK": ["Republic of Kosovo"],
+}
+
+
+def _display_names(spark: SparkSession, codes: list[str]) -> dict[str, str]:
+    """English names of region codes, as the driver's JVM has them from the public locale data; unknown codes are left out."""
+    locale = spark._jvm.java.util.Locale
+    names = {c: locale("", c).getDisplayCountry(locale.ENGLISH) for c in codes}
+    return {c: n for c, n in names.items() if n and n != c and n != "Unknown Region"}
+
+
+def world(spark: SparkSession) -> DataFrame:
+    """The catalogue of all countries by name: the ISO list and EXTRA, with NAME_OVERRIDES and ALIASES. 250 rows."""
+    names = _display_names(spark, list(spark._jvm.java.util.Locale.getISOCountries())) | dict(EXTRA) | NAME_OVERRIDES
+    rows = [(c, n, ALIASES.get(c, [])) for c, n in names.items()]
+    return country_dim(spark.createDataFrame(rows, "code string, name string, aliases array<string>")).orderBy(F.collate("name", "UNICODE"))
+
+
+def region_names(spark: SparkSession) -> DataFrame:
+    """(code, norm) of the names of all regions that the locale data has, countries or not."""
+    letters = [chr(65 + i) for i in range(26)]
+    rows = list(_display_names(spark, [a + b for a in letters for b in letters]).items())
+    return spark.createDataFrame(rows, "code string, name string").select("code", text.normalize_location(F.col("name")).alias("norm"))
+
+
 def country_dim(source: DataFrame) -> DataFrame:
     """(code, name, slug, flag, aliases) of a (code, name, aliases) list of countries."""
     return source.select("code", "name", text.slugify(F.col("name")).alias("slug"), text.country_flag(F.col("code")).alias("flag"), F.coalesce("aliases", F.array().cast("array<string>")).alias("aliases"))

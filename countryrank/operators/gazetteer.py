@@ -79,10 +79,14 @@ def ambiguous_terms(terms: DataFrame) -> DataFrame:
     return found.join(shared, "norm", "left_semi").select("code", "norm")
 
 
-def geo_counts(terms: DataFrame) -> DataFrame:
-    """Terms of each kind per country, and in total where code is null, in one pass."""
-    kind = lambda k: F.count_if(F.col("kind") == k).alias(f"{k}_terms")
-    return terms.select("code", "kind", "term").distinct().rollup("code").agg(kind("attribution"), kind("discovery"), kind("compound"))
+def geo_counts(terms: DataFrame, source: DataFrame, places: DataFrame) -> DataFrame:
+    """Counts of each country, and in total where code is null: terms of each kind, and, of the nested source (with
+    `code`), states, city records and distinct primary names, and rows of places (with `code`)."""
+    kinds = ["attribution", "discovery", "compound"]
+    per = terms.select("code", "kind", "term").distinct().groupBy("code").agg(*[F.count_if(F.col("kind") == k).alias(f"{k}_terms") for k in kinds])
+    rows = places.groupBy("code").agg(F.count("*").alias("place_rows"))
+    both = per.join(source_counts(source), "code", "full").join(rows, "code", "full")
+    return both.rollup("code").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in both.columns if c != "code"])
 
 
 def source_counts(source: DataFrame) -> DataFrame:

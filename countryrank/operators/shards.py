@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import settled
+
 CAP = 1000
 #: Lower bounds of the follower and repository buckets; each ends before the next.
 FOLLOWERS = [0, 1, 5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 10000, 25000, 50000]
@@ -25,26 +27,28 @@ def star_histogram(df: DataFrame, stars_col: str = "stars") -> DataFrame:
 
 def split_star_ranges(histogram: DataFrame, low: int, high: int, cap: int = CAP) -> DataFrame:
     """(min_stars, max_stars, n): [low, high] halved, the upper half above floor((min + max) / 2), until a range has at
-    most `cap` rows or one value. Every level is a join of the ranges still open with cumulative counts of the histogram.
+    most `cap` rows or one value.
 
-    The number of levels is the logarithm of the range; each works on the histogram only.
+    The ranges around a star value, one for each level, follow from low and high alone. So the histogram is summed once
+    over all levels; ranges over the cap give their halves, and those halves that fit are the result.
     """
-    spark = histogram.sparkSession
-    w = Window.orderBy("stars")
-    known = histogram.filter(F.col("stars").between(low, high)).withColumn("up_to", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    ladder = known.agg(F.sort_array(F.collect_list(F.struct("stars", "up_to"))).alias("a"))  # distinct star values
-    under = lambda x: F.coalesce(F.try_element_at(F.filter("a", lambda p: p["stars"] <= x), F.lit(-1))["up_to"], F.lit(0))
-    todo = spark.range(1).select(F.lit(low).cast("bigint").alias("min_stars"), F.lit(high).cast("bigint").alias("max_stars")).join(F.broadcast(ladder))
-    done, levels = None, max(1, (high - low + 1).bit_length() + 1)
-    for _ in range(levels):
-        sized = todo.withColumn("n", F.when(F.size("a") > 0, under(F.col("max_stars")) - under(F.col("min_stars") - 1)).otherwise(F.lit(0)).cast("bigint"))
-        fits = (F.col("n") <= cap) | (F.col("min_stars") >= F.col("max_stars"))
-        part = sized.filter(fits).select("min_stars", "max_stars", "n")
-        done = part if done is None else done.unionByName(part)
-        mid = F.floor((F.col("min_stars") + F.col("max_stars")) / 2).cast("bigint")
-        halves = F.array(F.struct((mid + 1).alias("lo"), F.col("max_stars").alias("hi")), F.struct(F.col("min_stars").alias("lo"), mid.alias("hi")))
-        todo = sized.filter(~fits).select(F.explode(halves).alias("h"), "a").select(F.col("h.lo").alias("min_stars"), F.col("h.hi").alias("max_stars"), "a")
-    return done
+    levels = max(1, (high - low + 1).bit_length() + 1)
+    mid = lambda r: F.floor((r["lo"] + r["hi"]) / 2).cast("bigint")
+    lower, upper = lambda r: F.struct(r["lo"].alias("lo"), mid(r).alias("hi")), lambda r: F.struct((mid(r) + 1).alias("lo"), r["hi"].alias("hi"))
+    whole = F.struct(F.lit(low).cast("bigint").alias("lo"), F.lit(high).cast("bigint").alias("hi"))
+
+    def step(path: Column, _: Column) -> Column:
+        last = F.element_at(path, -1)
+        return F.when(last["lo"] >= last["hi"], path).otherwise(F.concat(path, F.array(F.when(F.col("stars") > mid(last), upper(last)).otherwise(lower(last)))))
+
+    paths = F.aggregate(F.sequence(F.lit(1), F.lit(levels)), F.array(whole), step)
+    known = histogram.filter(F.col("stars").between(low, high)).select("n", F.explode(paths).alias("r"))
+    sums = known.groupBy("r.lo", "r.hi").agg(F.sum("n").alias("n"))
+    open_ = sums.filter((F.col("n") > cap) & (F.col("lo") < F.col("hi"))).select(F.struct("lo", "hi").alias("r"))
+    halves = open_.select(F.explode(F.array(upper(F.col("r")), lower(F.col("r")))).alias("h")).select("h.lo", "h.hi")
+    made = halves.unionByName(histogram.sparkSession.range(1).select(whole.alias("h")).select("h.lo", "h.hi"))
+    sized = made.join(sums, ["lo", "hi"], "left").select(F.col("lo").alias("min_stars"), F.col("hi").alias("max_stars"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    return sized.filter((F.col("n") <= cap) | (F.col("min_stars") >= F.col("max_stars")))
 
 
 def unresolved_star_counts(histogram: DataFrame, cap: int = CAP) -> DataFrame:
@@ -97,6 +101,18 @@ def facet_shards(df: DataFrame, cap: int = CAP, levels: list[str] | None = None)
 
 
 def batch_chunks(df: DataFrame, size: int, order_cols: list[str], group_cols: list[str]) -> DataFrame:
-    """df with `batch`: chunks of `size` rows in order within each group."""
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("bigint"))
+    """df with `batch`: chunks of `size` rows in order within each group.
+
+    Rows are dealt by ranges of group and order, numbered within each range, and shifted by the counts of the ranges
+    before it, so a large group is numbered by many tasks. The dealt rows are written once.
+    """
+    dealt = settled(df.repartitionByRange(*group_cols, *order_cols).withColumn("_range", F.spark_partition_id()))
+    before = Window.partitionBy(*group_cols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy(*group_cols, "_range").agg(F.count("*").alias("_rows"))
+    starts = counts.select(F.col("_range").alias("_of"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)])
+    inside = Window.partitionBy("_range", *group_cols).orderBy(*order_cols)
+    same = F.col("_range") == F.col("_of")
+    for i, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    out = dealt.withColumn("_n", F.row_number().over(inside)).join(starts, same)
+    return out.select(*df.columns, F.floor((F.col("_start") + F.col("_n") - 1) / size).cast("bigint").alias("batch"))

@@ -32,9 +32,9 @@ BINDINGS = {
         CASE WHEN c_custkey % 13 = 0 THEN 'ZZ' WHEN c_custkey % 2 = 0 THEN lower(code) ELSE concat(' ', code) END AS country_code,
         CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat('0', CAST(c_custkey % 9 AS STRING)) END AS admin1 FROM {customer} JOIN {countries} ON k = c_nationkey""",
     # free-text locations
-    "locations": """SELECT c_custkey AS id, n.code AS own, o.code AS other, CASE c_custkey % 10 WHEN 0 THEN n.name WHEN 1 THEN concat(c_name, ', ', n.name) WHEN 2 THEN c_mktsegment
+    "locations": """SELECT c_custkey AS id, n.code AS own, o.code AS other, CASE c_custkey % 13 WHEN 0 THEN n.name WHEN 1 THEN concat(c_name, ', ', n.name) WHEN 2 THEN c_mktsegment
         WHEN 3 THEN concat(c_mktsegment, ',  ', n.name) WHEN 4 THEN concat(n.name, ' / ', o.name) WHEN 5 THEN lower(n.code) WHEN 6 THEN '' WHEN 7 THEN c_name
-        WHEN 8 THEN concat(c_name, ', ', n.code) ELSE concat('Somewhere near ', c_name, ' & ', n.region) END AS location
+        WHEN 8 THEN concat(c_name, ', ', n.code) WHEN 9 THEN concat(c_name, ', USA') WHEN 10 THEN concat(chr(9), ' ') WHEN 11 THEN chr(160) ELSE concat('Somewhere near ', c_name, ' & ', n.region) END AS location
         FROM {customer} JOIN {countries} n ON n.k = c_nationkey JOIN {countries} o ON o.k = (c_nationkey + 1) % 25""",
     "pairs": "SELECT location, own AS code FROM {locations} UNION SELECT location, other AS code FROM {locations} WHERE id % 2 = 0",
     # owner hits of overlapping searches
@@ -51,7 +51,7 @@ BINDINGS = {
         o_orderdate AS created_at FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
     "histogram": "SELECT stars, count(*) AS n FROM {repos} GROUP BY stars",
     # progress of countries
-    "published": "SELECT code, name, CASE k % 4 WHEN 0 THEN '0.8.0-repository-first' WHEN 1 THEN '0.5.0-resumable-global-crawl' WHEN 2 THEN '0.8.0-repository-first' ELSE '0.2.0-poc' END AS methodology_version, concat('2026-10-0', CAST(1 + k % 9 AS STRING)) AS generated_at, CAST(90 + k AS BIGINT) AS published_repositories FROM {countries} WHERE k % 3 <> 2",
+    "published": "SELECT CASE WHEN k = 15 THEN 'LK' ELSE code END AS code, name, CASE k % 4 WHEN 0 THEN '0.8.0-repository-first' WHEN 1 THEN '0.5.0-resumable-global-crawl' WHEN 2 THEN '0.8.0-repository-first' ELSE '0.2.0-poc' END AS methodology_version, concat('2026-10-0', CAST(1 + k % 9 AS STRING)) AS generated_at, CAST(90 + k AS BIGINT) AS published_repositories FROM {countries} WHERE k % 3 <> 2",
     "progress": "SELECT code, CASE WHEN k % 5 = 0 THEN 'complete' WHEN k % 5 = 1 THEN 'finalize' ELSE 'discovery' END AS phase, CAST(k * 7 AS BIGINT) AS next_term_index, CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE 100 END AS BIGINT) AS terms_total, concat('2026-11-0', CAST(1 + k % 9 AS STRING)) AS updated_at FROM {countries} WHERE k % 2 = 0",
     "repo_progress": "SELECT code, CAST(k AS BIGINT) AS scan_frontier_stars, concat('2026-12-0', CAST(1 + k % 9 AS STRING)) AS updated_at FROM {countries} WHERE k % 3 = 0",
     # summaries of searches

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..operators import attribution, catalog, certify, discovery, gazetteer, ranking, shards, status
-from ..sources import readers, writers
+from ..sources import readers
 from .bindings import bound, with_bindings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,10 @@ def norm(x: str) -> str:
     return rf"trim(regexp_replace(replace(lower(strip_accents(coalesce({x}, ''))), '&', ' and '), '[^\p{{L}}\p{{N}}\p{{M}}]+', ' ', 'g'))"
 
 
+def BLANK(x: str) -> str:
+    return f"trim({x}, ' ' || chr(9) || chr(160))"
+
+
 def squeezed(x: str) -> str:
     return rf"trim(regexp_replace(coalesce({x}, ''), '\s+', ' ', 'g'))"
 
@@ -143,13 +147,13 @@ def _(b):
     return b("documents").select("doc_id", text.clean_term(F.col("text")).alias("term"))
 
 
-CANDIDATES = f"""parts AS (SELECT DISTINCT location FROM {{locations}} WHERE trim(location) <> ''), split AS (SELECT location, unnest(list_concat([location], string_split_regex(location, '[,/|;]+'))) AS p, generate_subscripts(list_concat([location], string_split_regex(location, '[,/|;]+')), 1) AS i FROM parts),
+CANDIDATES = f"""parts AS (SELECT DISTINCT location FROM {{locations}} WHERE {BLANK('location')} <> ''), split AS (SELECT location, unnest(list_concat([location], string_split_regex(location, '[,/|;]+'))) AS p, generate_subscripts(list_concat([location], string_split_regex(location, '[,/|;]+')), 1) AS i FROM parts),
 cand AS (SELECT location, {norm('p')} AS norm, min(i) AS pos FROM split WHERE {norm('p')} <> '' GROUP BY ALL)"""
 
 
 @register("location_candidates", f"WITH {CANDIDATES} SELECT location, string_agg(norm, '|' ORDER BY pos) AS candidates FROM cand GROUP BY location")
 def _(b):
-    one = b("locations").select("location").distinct().filter(F.trim("location") != "")
+    one = b("locations").select("location").distinct().filter(text.trimmed(F.col("location")) != "")
     return one.select("location", F.array_join(text.location_candidates(F.col("location")), "|").alias("candidates"))
 
 
@@ -187,9 +191,9 @@ def _(b):
     return named.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.array_join(text.sort_terms(F.collect_list(F.struct("norm", "term"))), "|").alias("terms"))
 
 
-@register("slugify", "SELECT doc_id, trim(regexp_replace(lower(strip_accents(text[:200])), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM {documents}")
+@register("slugify", "SELECT doc_id, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM {documents}")
 def _(b):
-    return b("documents").select("doc_id", text.slugify(F.substring("text", 1, 200)).alias("slug"))
+    return b("documents").select("doc_id", text.slugify(F.col("text")).alias("slug"))
 
 
 @register("country_flag", "SELECT c_custkey, CASE WHEN c_custkey % 30 > 25 THEN '🌐' ELSE chr(127397 + 65) || chr(CAST(127397 + 65 + c_custkey % 30 AS INT)) END AS flag FROM {customer}")
@@ -234,9 +238,14 @@ def _(b):
     return b("orders").select("o_orderkey", text.location_query(F.concat("o_orderpriority", F.lit('"x\\'))).alias("q"), text.star_range_query(F.col("o_orderkey") % 50, F.col("o_custkey") % 60).alias("r"))
 
 
-@register("shard_dates", "SELECT o_orderkey, m::INT AS month, strftime(make_date(year(o_orderdate), m, 1), '%Y-%m-%d') AS low, strftime(last_day(make_date(year(o_orderdate), m, 1)), '%Y-%m-%d') AS high FROM {orders}, (SELECT unnest(range(1, 13)) AS m) q")
+@register("shard_dates", """WITH o AS (SELECT o_orderkey, year(o_orderdate) AS y, month(o_orderdate) AS mm FROM {orders})
+SELECT o_orderkey, 'month' AS stage, m::INT AS part, strftime(make_date(y, m, 1), '%Y-%m-%d') AS low, strftime(last_day(make_date(y, m, 1)), '%Y-%m-%d') AS high FROM o, (SELECT unnest(range(1, 13)) AS m) q
+UNION ALL SELECT o_orderkey, 'day', d::INT, strftime(make_date(y, mm, d), '%Y-%m-%d'), strftime(make_date(y, mm, d), '%Y-%m-%d') FROM (SELECT *, unnest(range(1, day(last_day(make_date(y, mm, 1))) + 1)) AS d FROM o) q""")
 def _(b):
-    return b("orders").select("o_orderkey", F.explode(text.month_ranges(F.year("o_orderdate"))).alias("m")).select("o_orderkey", "m.month", "m.low", "m.high")
+    o = b("orders").select("o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
+    months = o.select("o_orderkey", F.lit("month").alias("stage"), F.explode(text.month_ranges(F.col("y"))).alias("r")).select("o_orderkey", "stage", F.col("r.month").alias("part"), "r.low", "r.high")
+    days = o.select("o_orderkey", F.lit("day").alias("stage"), F.explode(text.day_ranges(F.col("y"), F.col("m"))).alias("r")).select("o_orderkey", "stage", F.col("r.day").alias("part"), "r.low", "r.high")
+    return months.unionByName(days)
 
 
 NORMED = f"nt AS (SELECT DISTINCT code, kind, term, {norm('term')} AS norm FROM {{raw_terms}} WHERE {norm('term')} <> '')"
@@ -291,7 +300,7 @@ def _(b):
     return attribution.lookup_territory(attribution.candidate_rows(_keys(b)), _territories(b)).select("location", "territory.code", "territory.norm")
 
 
-@register("lookup_iso2", "SELECT DISTINCT location, CASE WHEN upper(location) IN (SELECT code FROM {countries}) THEN upper(location) END AS iso2 FROM {locations} WHERE trim(location) <> ''")
+@register("lookup_iso2", "SELECT DISTINCT location, CASE WHEN upper(location) IN (SELECT code FROM {countries}) THEN upper(location) END AS iso2 FROM {locations} WHERE trim(location, ' ' || chr(9) || chr(160)) <> ''")
 def _(b):
     return attribution.lookup_iso2(_keys(b), b("countries")).select("location", "iso2")
 
@@ -347,16 +356,17 @@ def _config(b) -> DataFrame:
 
 ATTRIBUTED = f"""WITH {CONFIG}, {ALIASES}, f AS (SELECT code, kind, term, {norm('term')} AS norm, min((l, seq)) AS ord FROM cfg WHERE kind NOT IN ('search', 'geography') GROUP BY ALL),
 amb AS (SELECT norm FROM f WHERE kind = 'place' GROUP BY norm HAVING count(DISTINCT code) > 1), pr AS (SELECT DISTINCT location, code, {norm('location')} AS n FROM {{pairs}}),
+rg AS (SELECT * FROM al UNION SELECT unnest(['US', 'US', 'GB', 'GB', 'AE', 'AE']), unnest(['usa', 'u s a', 'uk', 'u k', 'uae', 'u a e'])),
+fr AS (SELECT location, code, string_agg(c || ':' || name, ',' ORDER BY c) AS fs FROM (SELECT pr.location, pr.code, rg.code AS c, arg_min(rg.norm, (length(rg.norm), rg.norm)) AS name FROM pr JOIN rg ON rg.code <> pr.code AND (' ' || n || ' ') LIKE ('% ' || rg.norm || ' %') GROUP BY ALL) q GROUP BY location, code),
 sp AS (SELECT location, code, n, unnest(list_concat([location], string_split_regex(location, '[,/|;]+'))) AS p, generate_subscripts(list_concat([location], string_split_regex(location, '[,/|;]+')), 1) AS i FROM pr),
 cd AS (SELECT location, code, n, {norm('p')} AS norm, min(i) AS pos FROM sp WHERE {norm('p')} <> '' GROUP BY ALL),
 x AS (SELECT pr.*, (SELECT arg_min(term, (ord, term)) FROM f WHERE f.code = pr.code AND kind = 'alias' AND (' ' || n || ' ') LIKE ('% ' || norm || ' %')) AS alias,
-  (SELECT string_agg(DISTINCT al.code, ',' ORDER BY al.code) FROM al WHERE al.code <> pr.code AND (' ' || n || ' ') LIKE ('% ' || norm || ' %')
-    AND NOT EXISTS (SELECT 1 FROM f WHERE f.code = pr.code AND f.kind = 'alias' AND (' ' || f.norm || ' ') LIKE ('% ' || al.norm || ' %') AND length(f.norm) > length(al.norm) AND (' ' || n || ' ') LIKE ('% ' || f.norm || ' %') AND NOT (' ' || replace(' ' || n || ' ', ' ' || f.norm || ' ', ' ~ ') || ' ') LIKE ('% ' || al.norm || ' %'))) AS foreign_codes,
+  (SELECT fs FROM fr WHERE fr.location = pr.location AND fr.code = pr.code) AS foreign_codes,
   (SELECT min(term) FROM f WHERE f.code = pr.code AND kind = 'compound' AND norm = n) AS compound, (SELECT min(term) FROM f WHERE f.code = pr.code AND kind = 'exact' AND norm = n) AS exact,
   (SELECT min(term) FROM f WHERE f.code = pr.code AND kind = 'exact' AND norm <> n AND norm = split_part(n, ' ', -1) AND EXISTS (SELECT 1 FROM cd JOIN f g ON g.code = cd.code AND g.norm = cd.norm AND g.kind IN ('place', 'curated') WHERE cd.location = pr.location AND cd.code = pr.code AND cd.norm <> f.norm AND cd.norm <> n)) AS context,
   (SELECT arg_min([cd.norm, CASE WHEN cd.norm IN (SELECT norm FROM amb) THEN '1' ELSE '0' END], pos) FROM cd WHERE cd.location = pr.location AND cd.code = pr.code AND cd.norm IN (SELECT norm FROM f WHERE f.code = pr.code AND kind = 'place')) AS place,
   (SELECT arg_min(term, (ord, term)) FROM f WHERE f.code = pr.code AND kind = 'curated' AND (' ' || n || ' ') LIKE ('% ' || norm || ' %')) AS curated FROM pr)
-SELECT location, code, v[1] IN ('high', 'medium') AS accepted, v[1] AS confidence, v[2] AS evidence, v[3] AS matched, v[4] AS conflicts FROM (SELECT location, code, CASE WHEN trim(location) = '' THEN ['unknown', 'missing-location', NULL, NULL]
+SELECT location, code, v[1] IN ('high', 'medium') AS accepted, v[1] AS confidence, v[2] AS evidence, v[3] AS matched, v[4] AS conflicts FROM (SELECT location, code, CASE WHEN {BLANK('location')} = '' THEN ['unknown', 'missing-location', NULL, NULL]
   WHEN (alias IS NOT NULL OR exact IS NOT NULL) AND foreign_codes IS NOT NULL THEN ['ambiguous', 'multiple-countries', NULL, foreign_codes] WHEN foreign_codes IS NOT NULL THEN ['unknown', 'foreign-country', NULL, foreign_codes]
   WHEN alias IS NOT NULL THEN ['high', 'explicit-country', alias, NULL] WHEN compound IS NOT NULL THEN ['high', 'recognized-place-with-admin', n, NULL] WHEN context IS NOT NULL THEN ['high', 'country-code-with-place', coalesce(exact, context), NULL]
   WHEN exact IS NOT NULL THEN ['high', 'country-code', exact, NULL] WHEN place[2] = '1' THEN ['ambiguous', 'ambiguous-place', place[1], NULL] WHEN place[2] = '0' THEN ['medium', 'recognized-place', place[1], NULL]
@@ -365,9 +375,9 @@ SELECT location, code, v[1] IN ('high', 'medium') AS accepted, v[1] AS confidenc
 
 @register("attribute_location", ATTRIBUTED)
 def _(b):
-    out = attribution.attribute_location(b("pairs"), _config(b), attribution.alias_rows(catalogue(b)))
+    out = attribution.attribute_location(b("pairs"), _config(b), attribution.region_rows(attribution.alias_rows(catalogue(b))))
     a = "attribution."
-    return out.select("location", "code", a + "accepted", a + "confidence", a + "evidence", a + "matched", F.array_join(F.array_distinct(a + "conflicts"), ",").alias("conflicts"))
+    return out.select("location", "code", a + "accepted", a + "confidence", a + "evidence", a + "matched", F.array_join(F.transform(a + "conflicts", lambda x: F.concat(x["code"], F.lit(":"), x["name"])), ",").alias("conflicts"))
 
 
 @register("curated_places", f"WITH {CONFIG}, {CANDIDATES}, f AS (SELECT DISTINCT code, {norm('term')} AS norm FROM cfg WHERE kind IN ('place', 'curated')) SELECT DISTINCT location, code, cand.norm FROM cand JOIN f ON f.norm = cand.norm WHERE lower(code) <> cand.norm")
@@ -421,11 +431,6 @@ def _(b):
     return status.building_countries(b("progress"), b("repo_progress"))
 
 
-@register("read_published", f"WITH {LIVE} SELECT code, name, methodology_version, generated_at, published_repositories FROM pub")
-def _(b):
-    return readers.current_rankings(b("published"))
-
-
 @register("discovery_terms", f"""WITH {CONFIG}, amb AS (SELECT {norm('term')} AS norm FROM {{raw_terms}} WHERE kind = 'discovery' GROUP BY 1 HAVING count(DISTINCT code) > 1),
 f AS (SELECT code, {norm('term')} AS norm, arg_min(term, (l2, seq, term)) AS term FROM (SELECT *, CASE WHEN kind = 'search' THEN 0 ELSE 1 END AS l2 FROM cfg WHERE kind IN ('search', 'geography')) q GROUP BY ALL)
 SELECT code, norm, term FROM f WHERE norm NOT IN (SELECT norm FROM amb) OR (code, norm) IN (SELECT code, {norm('term')} FROM cfg WHERE kind = 'alias')""")
@@ -478,6 +483,9 @@ enr AS (SELECT * FROM built UNION SELECT code, unnest(['attribution', 'discovery
   UNION SELECT code, 'compound', n || ', ' || admin1 FROM (SELECT code, admin1, unnest([name, ascii_name]) AS n FROM pl WHERE admin1 <> '') q)"""
 
 
+SOURCED = "src AS (SELECT code, count(DISTINCT c_mktsegment)::INT AS states, count(c_custkey)::INT AS city_records, count(DISTINCT c_name)::INT + count(DISTINCT upper(c_name))::INT AS primary_cities, count(DISTINCT c_mktsegment)::INT AS primary_admins FROM {countries} LEFT JOIN {customer} ON k = c_nationkey GROUP BY code)"
+
+
 def _enriched(b) -> DataFrame:
     known = b("countries").select("code", "name")
     return gazetteer.geo_enrich(gazetteer.geo_build(nested(b), known), b("places"), known)
@@ -488,14 +496,13 @@ def _(b):
     return _enriched(b)
 
 
-@register("geo_counts", f"WITH {ENRICHED} SELECT code, count(*) FILTER (kind = 'attribution') AS attribution_terms, count(*) FILTER (kind = 'discovery') AS discovery_terms, count(*) FILTER (kind = 'compound') AS compound_terms FROM enr GROUP BY ROLLUP (code)")
-def _(b):
-    return gazetteer.geo_counts(_enriched(b))
-
-
-@register("read_gazetteer", "SELECT code, count(DISTINCT c_mktsegment)::INT AS states, count(c_custkey)::INT AS city_records, count(DISTINCT c_name)::INT + count(DISTINCT upper(c_name))::INT AS primary_cities, count(DISTINCT c_mktsegment)::INT AS primary_admins FROM {countries} LEFT JOIN {customer} ON k = c_nationkey GROUP BY code")
+@register("geo_counts", f"""WITH {ENRICHED}, per AS (SELECT code, count(*) FILTER (kind = 'attribution') AS a, count(*) FILTER (kind = 'discovery') AS d, count(*) FILTER (kind = 'compound') AS c FROM enr GROUP BY code), {SOURCED},
+  gr AS (SELECT code, count(*) AS g FROM pl GROUP BY code)
+SELECT code, sum(a)::BIGINT AS attribution_terms, sum(d)::BIGINT AS discovery_terms, sum(c)::BIGINT AS compound_terms, sum(states)::BIGINT AS states, sum(city_records)::BIGINT AS city_records, sum(primary_cities)::BIGINT AS primary_cities, sum(primary_admins)::BIGINT AS primary_admins, coalesce(sum(g), 0)::BIGINT AS place_rows
+FROM per FULL JOIN src USING (code) FULL JOIN gr USING (code) GROUP BY ROLLUP (code)""")
 def _(b):
-    return gazetteer.source_counts(nested(b).withColumn("code", F.upper("iso2")))
+    places = catalog.filter_catalog(b("places"), b("countries").select("code"), "country_code")
+    return gazetteer.geo_counts(_enriched(b), nested(b).withColumn("code", F.upper("iso2")), places)
 
 
 @register("resolver_stats", f"WITH {NORMED}, {ALIASES} SELECT (SELECT count(*) FROM {{countries}}) AS countries, (SELECT count(DISTINCT norm) FROM al) AS country_aliases, count(DISTINCT CASE WHEN kind = 'attribution' THEN norm END) AS location_terms, count(DISTINCT CASE WHEN kind = 'compound' THEN norm END) AS compound_terms FROM nt")
@@ -503,11 +510,6 @@ def _(b):
     return gazetteer.resolver_stats(attribution.alias_rows(catalogue(b)), _terms(b))
 
 
-@register("write_geo_index", f"WITH {NORMED} SELECT code, kind, string_agg(term, '|' ORDER BY norm, term) AS terms FROM nt GROUP BY ALL")
-def _(b):
-    return writers.geo_index_rows(_terms(b)).withColumn("terms", F.array_join("terms", "|"))
-
-
 # -- discovery
 
 
@@ -585,13 +587,6 @@ def _(b):
     return discovery.unresolved_shards(rows, most=50).select("country", "term", "query", "reason", "seq")
 
 
-@register("read_owner_pages", "SELECT login, search_term, seq FROM {hits} WHERE search_term IN ('view', 'click', 'purchase')")
-def _(b):
-    pages = b("hits").groupBy("search_term", F.floor(F.col("seq") / 100).alias("page")).agg(F.array_sort(F.collect_list(F.struct("seq", "login"))).alias("nodes"))
-    flat = pages.select("search_term", F.explode("nodes").alias("n")).select("search_term", "n.seq", "n.login")
-    return flat.filter(F.col("search_term").isin("view", "click", "purchase")).select("login", "search_term", "seq")
-
-
 @register("terms_union", "SELECT term, row_number() OVER (ORDER BY l, s, term)::BIGINT AS seq FROM (SELECT term, min(l) AS l, arg_min(s, (l, s)) AS s FROM (SELECT o_orderpriority AS term, 0 AS l, min(o_orderkey) AS s FROM orders GROUP BY 1 UNION ALL SELECT o_orderstatus, 1, min(o_orderkey) FROM orders GROUP BY 1) q GROUP BY term) p")
 def _(b):
     make = lambda c: b("orders").groupBy(F.col(c).alias("term")).agg(F.min("o_orderkey").alias("seq")).select(F.lit("x").alias("code"), F.lit("y").alias("kind"), "term", "seq")
@@ -648,13 +643,6 @@ def _(b):
     return ranking.two_stage_topn(last.withColumn("is_fork", F.lit(False))).select("country", "name_with_owner", "rank")
 
 
-@register("write_rankings", f"""SELECT country, count(*)::INT AS n, min(rank)::INT AS first_rank, sum(stars)::BIGINT AS stars FROM (SELECT *, row_number() OVER {BEST} AS rank FROM {{latest}}) q WHERE rank <= 100 GROUP BY country""")
-def _(b):
-    docs = writers.ranking_documents(ranking.rank_repositories(b("latest")).select("country", "rank", "name_with_owner", "stars"))
-    back = docs.select("country", F.from_json("document", "repositories ARRAY<STRUCT<rank: INT, stars: BIGINT>>").alias("d"))
-    return back.select("country", F.size("d.repositories").alias("n"), F.array_min(F.transform("d.repositories", lambda x: x["rank"])).alias("first_rank"), F.aggregate("d.repositories", F.lit(0).cast("bigint"), lambda a, x: a + x["stars"]).alias("stars"))
-
-
 # -- shards
 
 
@@ -715,13 +703,13 @@ def _(b):
     return certify.certify_countries(b("latest"), frontier, earlier, "now", limit=20)
 
 
-@register("changed_countries", "SELECT DISTINCT country FROM {repos} WHERE seq % 400 = 7")
+@register("changed_countries", "SELECT DISTINCT country FROM {repos}")
 def _(b):
-    return certify.changed_countries(b("repos").filter("seq % 400 = 7"))
+    return certify.changed_countries(b("repos"))
 
 
-@register("resume_progress", "SELECT code, greatest(next_term_index, coalesce(m + 1, 0))::BIGINT AS next_term_index, terms_total, next_term_index + coalesce(n, 0) AS terms_processed, CASE WHEN greatest(next_term_index, coalesce(m + 1, 0)) >= terms_total THEN 'complete' ELSE 'discovery' END AS phase FROM {progress} LEFT JOIN (SELECT country, max(pages) AS m, count(*) AS n FROM {summaries} WHERE seq % 50 = 0 GROUP BY country) q ON country = code")
+@register("resume_progress", "SELECT code, greatest(next_term_index, coalesce(m + 1, 0))::BIGINT AS next_term_index, terms_total, next_term_index + coalesce(n, 0) AS terms_processed, CASE WHEN greatest(next_term_index, coalesce(m + 1, 0)) >= terms_total THEN 'complete' ELSE 'discovery' END AS phase FROM {progress} LEFT JOIN (SELECT country, max(pages) AS m, count(*) AS n FROM {summaries} GROUP BY country) q ON country = code")
 def _(b):
     state = b("progress").withColumn("terms_processed", F.col("next_term_index"))
-    done = b("summaries").filter("seq % 50 = 0").select(F.col("country").alias("code"), F.col("pages").alias("index"))
+    done = b("summaries").select(F.col("country").alias("code"), F.col("pages").alias("index"))
     return status.resume_progress(state, done)

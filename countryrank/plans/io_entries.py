@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators import ranking
+from ..operators import discovery, gazetteer, ranking
 from ..sources import readers, writers
 from ..sources.scratch import scratch
 from ..streaming import pools
-from .entries import BEST, register
+from .entries import BEST, LIVE, NORMED, SOURCED, _terms, catalogue, nested, register
 
 
 def _landed(df: DataFrame, how: str, **options) -> str:
@@ -28,6 +28,54 @@ def _documents(df: DataFrame, key: str) -> str:
     return path
 
 
+@register("read_gazetteer", f"WITH {SOURCED} SELECT * FROM src")
+def _(b):
+    source = nested(b)
+    arrays = source.select(F.concat(F.lit("["), F.to_json(F.struct(*source.columns)), F.lit("]")).alias("value"), F.col("iso2").alias("_file"))
+    path = scratch(source.sparkSession)
+    arrays.repartition("_file").write.partitionBy("_file").option("compression", "gzip").text(path)
+    return gazetteer.source_counts(readers.read_gazetteer(source.sparkSession, path).withColumn("code", F.upper("iso2")))
+
+
+@register("read_owner_pages", "SELECT login, search_term, min(seq) OVER (PARTITION BY search_term, floor(seq / 100)) AS page, (row_number() OVER (PARTITION BY search_term, floor(seq / 100) ORDER BY seq) - 1)::INT AS pos, location FROM {hits}")
+def _(b):
+    nodes = F.array_sort(F.collect_list(F.struct("seq", F.struct(F.lit("User").alias("__typename"), "id", "login", "location").alias("n"))))
+    pages = b("hits").groupBy("search_term", F.floor(F.col("seq") / 100).alias("_page")).agg(F.min("seq").alias("seq"), F.transform(nodes, lambda x: x["n"]).alias("nodes"))
+    landed = pages.select("seq", F.col("search_term").alias("searchTerm"), F.size("nodes").alias("userCount"), "nodes")
+    return readers.read_owner_pages(landed.sparkSession, _landed(landed, "json")).select("login", "search_term", F.col("seq").alias("page"), "pos", "location")
+
+
+@register("read_published", f"WITH {LIVE} SELECT code, name, methodology_version, generated_at, published_repositories FROM pub")
+def _(b):
+    p = b("published")
+    docs = p.select(F.col("methodology_version").alias("methodologyVersion"), F.col("generated_at").alias("generatedAt"), F.struct("code", "name").alias("country"), F.struct(F.col("published_repositories").alias("publishedRepositories")).alias("coverage"), F.col("code").alias("of"))
+    return readers.read_published(p.sparkSession, _documents(docs, "of")).select("code", "name", "methodology_version", "generated_at", "published_repositories")
+
+
+@register("write_geo_index", f"WITH {NORMED} SELECT code, kind, string_agg(term, '|' ORDER BY norm, term) AS terms FROM nt GROUP BY ALL")
+def _(b):
+    terms = _terms(b)
+    spark, path = terms.sparkSession, scratch(terms.sparkSession)
+    writers.write_geo_index(terms, path, least=20)
+    return spark.read.schema("kind string, terms array<string>, code string").parquet(path).select("code", "kind", F.array_join("terms", "|").alias("terms"))
+
+
+@register("write_rankings", f"""WITH p AS (SELECT *, row_number() OVER {BEST} AS rank FROM {{latest}})
+SELECT country AS code, any_value(c.name) AS name, 1::INT AS schema_version, '0.8.0-repository-first' AS methodology_version, count(*) FILTER (rank <= 100)::BIGINT AS n, min(rank)::INT AS first_rank, sum(CASE WHEN rank <= 100 THEN stars END)::BIGINT AS stars,
+  count(DISTINCT owner) FILTER (rank <= 100)::BIGINT AS unique_owners, min(CASE WHEN rank <= 100 THEN stars END)::BIGINT AS cut_off FROM p JOIN {{countries}} c ON c.code = p.country GROUP BY country""")
+def _(b):
+    pool = ranking.repo_pool_topk(b("latest"))
+    ranked = ranking.rank_repositories(pool)
+    coverage = discovery.certified_coverage(ranked, pool)
+    docs = writers.ranking_documents(ranked.select("country", "rank", "name_with_owner", "stars"), catalogue(b), coverage, {"provider": "search pages", "countryBasis": "public owner profile location"}, "2026-11-28T00:00:00Z")
+    spark, path = docs.sparkSession, scratch(docs.sparkSession)
+    writers.write_rankings(docs, path)
+    kind = "schemaVersion INT, methodologyVersion STRING, country STRUCT<code: STRING, name: STRING>, coverage STRUCT<unique_owners: BIGINT, cut_off: BIGINT>, repositories ARRAY<STRUCT<rank: INT, stars: BIGINT>>"
+    back = spark.read.schema(kind).json(path)
+    total = F.aggregate("repositories", F.lit(0).cast("bigint"), lambda a, x: a + x["stars"])
+    return back.select("country.code", "country.name", F.col("schemaVersion").alias("schema_version"), F.col("methodologyVersion").alias("methodology_version"), F.size("repositories").cast("bigint").alias("n"), F.array_min(F.transform("repositories", lambda x: x["rank"])).alias("first_rank"), total.alias("stars"), "coverage.unique_owners", "coverage.cut_off")
+
+
 @register("read_geonames", "SELECT name, ascii_name, alternates, upper(trim(country_code)) AS country_code, admin1 FROM {places} WHERE length(admin1) < 2 OR admin1 <> '04'")
 def _(b):
     p = b("places")

@@ -5,19 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LEAST_COUNTRIES = 240
+from .readers import CURRENT
 
+LEAST_COUNTRIES = 240
+SCHEMA_VERSION = 1
 
-def ranking_documents(ranked: DataFrame, country_col: str = "country") -> DataFrame:
-    """(country, document): the published list of each country, at most its ranking limit, as one JSON text."""
-    rest = ["rank", *[c for c in ranked.columns if c not in ("rank", country_col)]]
-    lists = ranked.groupBy(country_col).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias("repositories"))
-    return lists.select(country_col, F.to_json(F.struct(F.col(country_col).alias("country"), "repositories")).alias("document"))
 
+def ranking_documents(ranked: DataFrame, catalogue: DataFrame, coverage: DataFrame, source: dict[str, str], generated_at: str, methodology: str = CURRENT, country_col: str = "country") -> DataFrame:
+    """(country, document): the published document of each country of the catalogue as one JSON text.
 
-def write_rankings(ranked: DataFrame, path: str, country_col: str = "country") -> None:
-    """One folder for each country, rewritten whole."""
-    ranked.repartition(country_col).write.mode("overwrite").partitionBy(country_col).parquet(path)
+    coverage has a row for each country; its columns are the counters of the document. The list of a country holds at
+    most its ranking limit.
+    """
+    rest = ["rank", *[c for c in ranked.columns if c not in ("rank", country_col)]]
+    lists = ranked.groupBy(F.col(country_col).alias("code")).agg(F.array_sort(F.collect_list(F.struct(*rest))).alias("repositories"))
+    counters = coverage.select(F.col(country_col).alias("code"), F.struct(*[F.col(c) for c in coverage.columns if c != country_col]).alias("coverage"))
+    whole = lists.join(counters, "code", "left").join(catalogue.select("code", "name", "slug"), "code")
+    parts = F.struct(
+        F.lit(SCHEMA_VERSION).alias("schemaVersion"), F.lit(methodology).alias("methodologyVersion"), F.lit(generated_at).alias("generatedAt"), F.struct("code", "name", "slug").alias("country"),
+        F.struct(*[F.lit(v).alias(k) for k, v in source.items()]).alias("source"), "coverage", "repositories",
+    )
+    return whole.select(F.col("code").alias(country_col), F.to_json(parts).alias("document"))
+
+
+def write_rankings(documents: DataFrame, path: str, country_col: str = "country") -> None:
+    """One folder for each country with its document, a JSON text; countries that documents hasn't stay as they are."""
+    rows = documents.select(F.col(country_col).alias("country_code"), F.col("document").alias("value")).repartition("country_code")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("country_code").text(path)
 
 
 def geo_index_rows(terms: DataFrame) -> DataFrame:

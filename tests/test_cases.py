@@ -49,7 +49,7 @@ GLOBAL = {
     "Portland, OR": ("US", "high", "recognized-place-with-admin"), "San Francisco, CA": ("US", "high", "recognized-place-with-admin"), "Portland": (None, "ambiguous", "ambiguous-place"),
     "Georgia": (None, "ambiguous", "ambiguous-place"), "Tbilisi, Georgia": ("GE", "medium", "recognized-place"), "London, UK": ("GB", "high", "explicit-country"), "Hong Kong SAR": ("HK", "high", "explicit-territory"),
     "Puerto Rico": ("PR", "high", "explicit-territory"), "": (None, "unknown", "missing-location"), None: (None, "unknown", "missing-location"), "CA": ("CA", "high", "country-code"), "Toronto / London": (None, "ambiguous", "conflicting-place-evidence"),
-    "on the road": (None, "unknown", "unrecognized-location"), "  ": (None, "unknown", "missing-location"),
+    "on the road": (None, "unknown", "unrecognized-location"), "  ": (None, "unknown", "missing-location"), "\t": (None, "unknown", "missing-location"), "\u00a0 ": (None, "unknown", "missing-location"),
 }
 
 
@@ -57,23 +57,42 @@ def test_global_resolver(spark, world):
     df = spark.createDataFrame([(x,) for x in GLOBAL], "location string")
     got = {r["location"]: (r["attribution"]["country_code"], r["attribution"]["confidence"], r["attribution"]["evidence"]) for r in attribution.resolve_location(df, *world).collect()}
     assert got == GLOBAL
+    out = attribution.attribution_outcomes(attribution.resolve_location(df, *world)).first()
+    assert out["seen"] == out["attributed"] + out["ambiguous"] + out["unknown"] == len(GLOBAL)
+
+
+def test_catalogue(spark):
+    rows = {r["code"]: r for r in catalog.world(spark).collect()}
+    assert len(rows) == 250 and all(len(c) == 2 for c in rows)
+    assert rows["XK"]["name"] == "Kosovo" and rows["HK"]["name"] == "Hong Kong" and "Macau" in rows["MO"]["aliases"] and "AX" in rows
+    assert (rows["CI"]["slug"], rows["LK"]["flag"], rows["JP"]["aliases"]) == ("cote-d-ivoire", "🇱🇰", [])
+    names = [r["name"] for r in catalog.world(spark).collect()]
+    assert names.index("Åland Islands") < names.index("Albania") < names.index("Zimbabwe")
+    asked = spark.createDataFrame([(" lk ",), ("zz",)], "c string")
+    assert [r["name"] for r in catalog.country_lookup(asked, catalog.world(spark), "c").orderBy("c").collect()] == ["Sri Lanka", None]
+    regions = {tuple(r) for r in attribution.region_rows(catalog.region_names(spark)).collect()}
+    assert {("EU", "european union"), ("US", "usa"), ("GB", "u k"), ("IC", "canary islands")} <= regions
 
 
 def test_target_attribution(spark):
     config = [("LK", "alias", "Sri Lanka"), ("LK", "exact", "lk"), ("LK", "place", "Colombo"), ("LK", "place", "Kalutara"), ("LK", "place", "කොළඹ"), ("LK", "curated", "Kandy district"), ("US", "alias", "United States"), ("US", "exact", "us"), ("US", "compound", "Portland, OR"), ("US", "place", "Portland"), ("US", "ambiguous", "portland"), ("AS", "alias", "American Samoa")]
     cfg = gazetteer.normed(spark.createDataFrame([(*c, i) for i, c in enumerate(config)], "code string, kind string, term string, seq int"))
+    config += [("FR", "alias", "France"), ("FR", "place", "Paris")]
+    cfg = gazetteer.normed(spark.createDataFrame([(*c, i) for i, c in enumerate(config)], "code string, kind string, term string, seq int"))
     regions = spark.createDataFrame([("BR", "brazil"), ("SG", "singapore"), ("DE", "germany"), ("LK", "sri lanka"), ("WS", "samoa"), ("AS", "american samoa")], "code string, norm string")
     want = {
         ("Colombo, Sri Lanka", "LK"): (True, "explicit-country"), ("Kalutara", "LK"): (True, "recognized-place"), ("Colombo, LK", "LK"): (True, "country-code-with-place"), ("", "LK"): (False, "missing-location"),
         ("Berlin, Germany", "LK"): (False, "foreign-country"), ("Colombo, Brazil", "LK"): (False, "foreign-country"), ("Sri Lanka / Singapore", "LK"): (False, "multiple-countries"), ("කොළඹ", "LK"): (True, "recognized-place"),
-        ("Portland, OR", "US"): (True, "recognized-place-with-admin"), ("Portland", "US"): (False, "ambiguous-place"), ("American Samoa", "AS"): (True, "explicit-country"), ("lk", "LK"): (True, "country-code"),
+        ("Portland, OR", "US"): (True, "recognized-place-with-admin"), ("Portland", "US"): (False, "ambiguous-place"), ("American Samoa", "AS"): (False, "multiple-countries"), ("Paris, USA", "FR"): (False, "foreign-country"), ("Paris", "FR"): (True, "recognized-place"), ("\t", "FR"): (False, "missing-location"), ("lk", "LK"): (True, "country-code"),
         ("near Kandy  District now", "LK"): (True, "curated-location"), ("nowhere", "LK"): (False, "unrecognized-location"),
     }
     pairs = spark.createDataFrame(list(want), "location string, code string")
-    got = {(r["location"], r["code"]): (r["attribution"]["accepted"], r["attribution"]["evidence"]) for r in attribution.attribute_location(pairs, cfg, regions).collect()}
+    got = {(r["location"], r["code"]): (r["attribution"]["accepted"], r["attribution"]["evidence"]) for r in attribution.attribute_location(pairs, cfg, attribution.region_rows(regions)).collect()}
     assert got == want
-    strict = attribution.attribute_location(pairs.filter("code = 'AS'"), cfg, regions, strict=True).first()
-    assert strict["attribution"]["evidence"] == "multiple-countries"
+    strict = attribution.attribute_location(pairs.filter("code = 'AS'"), cfg, regions).first()["attribution"]
+    assert [tuple(c) for c in strict["conflicts"]] == [("WS", "samoa")]
+    loose = attribution.attribute_location(pairs.filter("code = 'AS'"), cfg, regions, strict=False).first()
+    assert loose["attribution"]["evidence"] == "explicit-country"
 
 
 def test_owner_cuts_keep_ties(spark):

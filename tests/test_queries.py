@@ -26,7 +26,7 @@ def duck():
 def plain(v):
     if isinstance(v, (list, tuple, np.ndarray)):
         return tuple(plain(x) for x in v)
-    if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NA or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
         return None
     if isinstance(v, (bool, np.bool_)):
         return bool(v)
