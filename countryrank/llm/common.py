@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +60,19 @@ def small(df: DataFrame, row_bytes: int, limit_bytes: int = 8 << 20) -> tuple[bo
     return n * row_bytes <= limit_bytes, n
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bounds the rows that enter Python at once, as texts can be long."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= rows:
-        spark.conf.set(name, str(rows))
+def sliced(batches: Iterator, rows: int = 500) -> Iterator:
+    """The same Arrow batches in slices of at most `rows` rows; Spark bounds the bytes of a batch."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names with as many underscores behind them as make them differ from those that are taken, in any case."""
+    used, out = {t.lower() for t in taken}, []
+    for n in names:
+        while n.lower() in used:
+            n += "_"
+        used.add(n.lower())
+        out.append(n)
+    return out
