@@ -5,7 +5,8 @@ its own, and neighbours are joined pairwise up a tree. A join re-encodes a windo
 it until the window's tokens agree with those of both sides; the agreed parts are kept. No cut depends on white space,
 so text that the pre-tokenizer never splits is handled the same way.
 
-Null texts count as empty: no tokens and an empty decoded text. Only the id and the text are read.
+Null texts count as empty: no tokens and an empty decoded text. All other columns pass through, repeated rows stay separate
+rows, and a column with the name of a result is replaced.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 #: Texts of more characters than this are encoded in pieces of this size.
 PIECE = 1 << 16
 #: Characters on each side of a seam that are encoded anew at first; doubled until both sides agree.
@@ -70,8 +73,8 @@ def join(left: list[int], right: list[int], a: str, b: str, enc, table: list[byt
     """Tokens of a + b, given those of a and of b.
 
     The window grows until its tokens agree with the left side on the first half of the window's left part and with the
-    right side on the second half of its right part, and the splice then happens inside the agreed stretch. Each stretch
-    must hold a pre-token boundary that both encodings share, or reach to the start or end of the text.
+    right side on the second half of its right part, and the splice then happens inside the agreed stretch: AGREE equal
+    tokens at equal places, or the start or end of the text.
     """
     if not a or not b:
         return right if not a else left
@@ -182,27 +185,29 @@ def digest_texts(df: DataFrame, ranks_path: str, pattern: str, text_col: str = "
 def _run(df: DataFrame, ranks_path: str, pattern: str, text_col: str, piece: int, out: str, make) -> DataFrame:
     """Short texts in one pass without a shuffle; only the long ones are dealt out in pieces."""
     names = [x.split()[0] for x in out.split(", ")]
-    rest = [c for c in df.columns if c != text_col]
+    rest = [c for c in df.columns if c != text_col and c not in names]
+    said, row = fresh([*rest, *names], "_text", "_row")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in rest)
-    back = [*rest, *names]
+    kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema if f.name in rest)
+    back = [f"`{c}`" for c in (*rest, *names)]
 
     def short(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, table, said = codec(ranks_path, pattern)
+        enc, table, words = codec(ranks_path, pattern)
         for b in batches:
-            made = [make(encode_piece(x, enc), table, said) for x in b["_text"]]
+            made = [make(encode_piece(x, enc), table, words) for x in b[said]]
             yield b[rest].assign(**{n: [m[k] for m in made] for k, n in enumerate(names)})
 
     def long_(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _, table, said = codec(ranks_path, pattern)
+        _, table, words = codec(ranks_path, pattern)
         for b in batches:
-            made = [make([int(i) for i in x], table, said) for x in b["ids"]]
-            yield b[["_row"]].assign(**{n: [m[k] for m in made] for k, n in enumerate(names)})
-
-    few = df.filter(F.length(text) <= piece).select(*rest, text.alias("_text")).mapInPandas(short, f"{kept}, {out}")
-    big = df.filter(F.length(text) > piece).withColumn("_row", F.sha2(F.encode(text, "UTF-8"), 256))  # equal texts are encoded once
-    ids = encode_long(big.select("_row", text.alias("_text")).dropDuplicates(["_row"]), ranks_path, pattern, piece)
-    done = big.drop(text_col).join(ids.mapInPandas(long_, f"_row string, {out}"), "_row").select(*back)
+            made = [make([int(i) for i in x], table, words) for x in b["ids"]]
+            yield pd.DataFrame({row: b["_row"]}).assign(**{n: [m[k] for m in made] for k, n in enumerate(names)})
+
+    quoted = [f"`{c}`" for c in rest]
+    few = df.filter(F.length(text) <= piece).select(*quoted, text.alias(said)).mapInPandas(short, f"{kept}{out}")
+    big = df.filter(F.length(text) > piece).select(*quoted, text.alias(said), F.sha2(F.encode(text, "UTF-8"), 256).alias(row))  # equal texts are encoded once
+    ids = encode_long(big.select(F.col(row).alias("_row"), F.col(said).alias("_text")).dropDuplicates(["_row"]), ranks_path, pattern, piece)
+    done = big.drop(said).join(ids.mapInPandas(long_, f"{row} string, {out}"), row).select(*back)
     return few.select(*back).unionByName(done)
 
 

@@ -7,7 +7,8 @@ short items are found inside documents of any length. A pair is tested only if t
 item, and every pair found is verified on the shingles themselves.
 
 Texts with fewer than 5 words have one shingle, the whole sequence; null and blank texts have none and match nothing.
-Items with equal shingles are searched once and reported each. Extra columns are ignored.
+Items with equal texts are searched once and reported each. Documents are told by their id: rows of one id that hold an
+item equally well are reported once, as are rows with a null id. Extra columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, let, small, table, words, written
+from .common import fold, fresh, let, small, table, words, written
 
 SHINGLE = 5
 THRESHOLD = 75  # hundredths
@@ -106,8 +107,9 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     bad = search(docs.select(both.alias("_who"), F.col(text_col)), items, "_who", text_col).select("_who.id", "_who.cls").distinct()
     bad = written(bad, "bad")
     fits, _ = small(bad, 32)
-    bad = bad.select(F.col("id").alias("_id"), F.col("cls").alias("_cls"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_cls"))
+    of, cls = fresh(docs.columns, "_id", "_cls")
+    bad = bad.select(F.col("id").alias(of), F.col("cls").alias(cls))
+    same = F.col(id_col).eqNullSafe(F.col(of)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(cls))
     return docs.join(F.broadcast(bad) if fits else bad, same, "left_anti")
 
 

@@ -2,7 +2,7 @@
 
 Filters of several widths slide over the bytes of fixed windows, each keeps its largest response, and a softmax reads
 them. The filters act on one-hot bytes, so a response is a sum of table rows and needs no embedding. The network is
-trained in numpy on a bounded sample of labelled rows (TRAIN_DOCS per language, WINDOWS_EACH windows of each); inference
+trained in numpy on a bounded sample of labelled rows (TRAIN_DOCS per language, all windows of each); inference
 covers every window of every whole text and averages their probabilities by their letters.
 
 Null texts and texts without a letter get `und` and score 0, as does everything if there is nothing to learn from.
@@ -18,12 +18,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 WINDOW = 192
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 TRAIN_DOCS = 400
-WINDOWS_EACH = 6
-EPOCHS = 5
+EPOCHS = 3
 NONE = "und"
 
 
@@ -132,18 +133,22 @@ def fold_of(id_col: str, parts: int) -> Column:
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = TRAIN_DOCS) -> dict | None:
-    """Trains on at most per_lang labelled rows of each language, those with the smallest hashes of their ids."""
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col)), F.xxhash64(F.col(text_col)))
-    some = labelled.filter(F.col(lang_col).isNotNull() & F.rlike(F.col(text_col), F.lit("\\p{L}"))).select(id_col, lang_col, text_col)
-    keep = some.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_lang)
-    middle = F.greatest(F.lit(1), F.floor((F.length(text_col) - WINDOW * WINDOWS_EACH) / 2).cast("int"))
-    rows = keep.select(lang_col, "_n", F.substring(F.col(text_col), middle, F.lit(WINDOW * WINDOWS_EACH)).alias("t")).toPandas()
+    """Trains on all windows of at most per_lang labelled rows of each language, those with the smallest hashes.
+
+    Ranks are made of hashes alone, of which a task sends at most per_lang for each language; texts are read for the rows
+    within the bound only. Rows with equal ids and texts have equal hashes: the bound then holds some more of them.
+    """
+    of = F.xxhash64(F.col(id_col), F.col(text_col))
+    some = labelled.filter(F.col(lang_col).isNotNull() & F.rlike(F.col(text_col), F.lit("\\p{L}"))).select(F.col(lang_col).alias("l"), of.alias("h"), F.col(text_col).alias("t"))
+    order = Window.partitionBy("l").orderBy("h")
+    bounds = some.select("l", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_lang).groupBy("l").agg(F.max("h").alias("most"))
+    rows = some.join(F.broadcast(bounds), "l").filter("h <= most").select("l", "h", "t").toPandas()  # one bound for each language
     if rows.empty:
         return None
-    rows = rows.sort_values([lang_col, "_n"], kind="stable")
-    langs = sorted(rows[lang_col].unique())
+    rows = rows.sort_values(["l", "h"], kind="stable").drop_duplicates(["l", "h"])
+    langs = sorted(rows["l"].unique())
     x, owner = windows([t.encode() for t in rows["t"]])
-    y = np.searchsorted(langs, rows[lang_col].to_numpy().astype(str))[owner]
+    y = np.searchsorted(langs, rows["l"].to_numpy().astype(str))[owner]
     letters = (x != 32).mean(axis=1) > 0.4
     return train(x[letters], y[letters], langs) if letters.any() else None
 
@@ -154,6 +159,7 @@ def predict(df: DataFrame, model: dict | None, text_col: str = "text", lang_out:
         return df.withColumn(lang_out, F.lit(NONE)).withColumn(score_out, F.lit(0.0))
     fields = [f for f in df.schema if f.name not in (lang_out, score_out)]
     names = [f.name for f in fields]
+    (said,) = fresh([*names, lang_out, score_out], "_seen")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + f", `{lang_out}` string, `{score_out}` double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,7 +167,7 @@ def predict(df: DataFrame, model: dict | None, text_col: str = "text", lang_out:
         for b in batches:
             for i in range(0, b.num_rows, 1000):  # bounds the windows held at once
                 part = b.slice(i, 1000)
-                texts = [t.encode() for t in part.column("_seen").to_pylist()]
+                texts = [t.encode() for t in part.column(said).to_pylist()]
                 best, sure = np.full(len(texts), len(langs) - 1), np.zeros(len(texts))
                 x, owner = windows(texts)
                 if len(x):
@@ -177,7 +183,7 @@ def predict(df: DataFrame, model: dict | None, text_col: str = "text", lang_out:
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(langs[best], pa.string()), pa.array(np.clip(sure, 0, 1), pa.float64())], [*names, lang_out, score_out])
 
     seen = F.when(F.rlike(F.col(text_col), F.lit("\\p{L}")), F.col(text_col)).otherwise(F.lit(""))
-    return df.select(*names, F.coalesce(seen, F.lit("")).alias("_seen")).mapInArrow(score, schema)
+    return df.select(*[f"`{n}`" for n in names], F.coalesce(seen, F.lit("")).alias(said)).mapInArrow(score, schema)
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ A value found in a text is validated (Luhn sum, calendar date, octets, area code
 and permuted by a keyed Feistel network over exactly those digits. The result has the same format and passes the same
 validation, and equal values get equal pseudonyms in every document. inverse=True gives the values back to who has the key.
 
-Null texts stay null, texts without such values stay as they are, and all other columns pass through unchanged.
+Null texts stay null, texts without such values stay as they are, and all other columns, whatever their names, pass through
+unchanged. Repeated rows stay separate rows and get equal texts.
 """
 
 from __future__ import annotations
@@ -12,23 +13,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import fresh, let
 
 ROUNDS = 8
 #: The character sets that a position can be permuted within.
 DIGITS = "0123456789"
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
-#: Dates are permuted within the 184 * 397 days from this one.
-FIRST_DAY, DAYS = "1900-01-01", (184, 397)
+#: Days from year 1 to 9999, in three ranges that dates stay in: (first day, days by days). The middle one begins in 1900
+#: and ends on 30 December 2099.
+SPANS = [("0001-01-01", 35, 19817), ("1900-01-01", 184, 397), ("2099-12-31", 8, 360677)]
 
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 SECRET = r"\b[0-9a-f]{32,128}\b"
 PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+LOCAL = r"(?<![\w+.(-])(?:\([2-9]\d{2}\) ?|[2-9]\d{2}[.-])[2-9]\d{2}[.-]\d{4}(?![\w-])"
 IP = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
 DATE = r"(?<![\w-])\d{4}-\d{2}-\d{2}(?![\w-])"
 SSN = r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"
 CARD = r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])"
-ANY = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, PHONE, IP, DATE, SSN, CARD))
+ANY = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, PHONE, LOCAL, IP, DATE, SSN, CARD))
 
 
 def _sum(a: Column) -> Column:
@@ -122,7 +125,7 @@ def _phone(x: Column, key: str, inverse: bool) -> Column:
     rest = F.substring(x, F.length(code) + 1, F.length(x))
 
     def run(d: Column) -> Column:
-        north = (code == "+1") & (F.size(d) == 10) & (F.get(d, F.lit(0)) > 1) & (F.get(d, F.lit(3)) > 1)
+        north = code.isin("+1", "") & (F.size(d) == 10) & (F.get(d, F.lit(0)) > 1) & (F.get(d, F.lit(3)) > 1)
         low = F.transform(d, lambda _, i: F.when(north & i.isin(0, 3), F.lit(2)).otherwise(F.lit(0)))
         values = F.zip_with(d, low, lambda v, b: v - b)
         done = feistel(values, F.transform(low, lambda b: F.lit(10) - b), key, "phone", inverse=inverse)
@@ -132,18 +135,37 @@ def _phone(x: Column, key: str, inverse: bool) -> Column:
 
 
 def _ip(x: Column, key: str, inverse: bool) -> Column:
-    def run(o: Column) -> Column:
-        done = feistel(o, F.array_repeat(F.lit(256), 4), key, "ip", inverse=inverse)
-        return F.when(F.array_max(o) < 256, F.array_join(done.cast("array<string>"), ".")).otherwise(x)
+    """An octet that is written with leading zeros keeps its width and one of them."""
 
-    return let(F.split(x, r"\.").cast("array<int>"), run)
+    def run(parts: Column) -> Column:
+        padded = lambda p: F.startswith(p, F.lit("0")) & (F.length(p) > 1)
+        radices = F.transform(parts, lambda p: F.when(padded(p), F.pow(F.lit(10), F.length(p) - 1).cast("int")).otherwise(F.lit(256)))
+        octets = parts.cast("array<int>")
+        done = feistel(octets, radices, key, "ip", inverse=inverse)
+        said = F.zip_with(parts, done, lambda p, v: F.when(padded(p), F.lpad(v.cast("string"), F.length(p), F.lit("0"))).otherwise(v.cast("string")))
+        return F.when(F.exists(F.zip_with(octets, radices, lambda o, r: o >= r), lambda bad: bad), x).otherwise(F.array_join(said, "."))
+
+    return let(F.split(x, r"\."), run)
 
 
 def _date(x: Column, key: str, inverse: bool) -> Column:
-    a, b = DAYS
-    day = F.datediff(F.try_to_timestamp(x, F.lit("yyyy-MM-dd")).cast("date"), F.to_date(F.lit(FIRST_DAY)))
-    moved = lambda n: let(feistel(F.array(F.floor(n / b).cast("int"), (n % b).cast("int")), F.array(F.lit(a), F.lit(b)), key, "date", inverse=inverse), lambda v: F.date_format(F.date_add(F.to_date(F.lit(FIRST_DAY)), F.get(v, F.lit(0)) * b + F.get(v, F.lit(1))), "yyyy-MM-dd"))
-    return let(day, lambda n: F.when((n >= 0) & (n < a * b), moved(n)).otherwise(x))
+    """A real date of the years 1 to 9999, as another one of its range in SPANS."""
+    day = F.datediff(F.try_to_timestamp(x, F.lit("yyyy-MM-dd")).cast("date"), F.to_date(F.lit(SPANS[0][0])))
+    starts = [sum(a * b for _, a, b in SPANS[:i]) for i in range(len(SPANS))]
+
+    def of(n: Column, values: list[int]) -> Column:
+        out = F.lit(values[0])
+        for start, v in list(zip(starts, values, strict=True))[1:]:
+            out = F.when(n >= start, F.lit(v)).otherwise(out)
+        return out
+
+    def moved(n: Column) -> Column:
+        base, a, b = of(n, starts), of(n, [s[1] for s in SPANS]), of(n, [s[2] for s in SPANS])
+        values = F.array(F.floor((n - base) / b).cast("int"), ((n - base) % b).cast("int"))
+        done = feistel(values, F.array(a, b), key, "date", inverse=inverse)
+        return let(done, lambda v: F.date_format(F.date_add(F.to_date(F.lit(SPANS[0][0])), base + F.get(v, F.lit(0)) * b + F.get(v, F.lit(1))), "yyyy-MM-dd"))
+
+    return let(day, lambda n: F.when(n.between(0, sum(a * b for _, a, b in SPANS) - 1), moved(n)).otherwise(x))
 
 
 def _ssn(x: Column, key: str, inverse: bool) -> Column:
@@ -170,7 +192,7 @@ def pseudonym(x: Column, key: str, inverse: bool = False) -> Column:
         .when(full(DATE), _date(x, key, inverse))
         .when(full(SSN), _ssn(x, key, inverse))
         .when(full(IP), _ip(x, key, inverse))
-        .when(F.startswith(x, F.lit("+")), _phone(x, key, inverse))
+        .when(F.startswith(x, F.lit("+")) | full(LOCAL), _phone(x, key, inverse))
         .otherwise(_card(x, key, inverse))
     )
 
@@ -178,7 +200,7 @@ def pseudonym(x: Column, key: str, inverse: bool = False) -> Column:
 def kind(x: Column) -> Column:
     """Name of the kind of a matched value."""
     full = lambda p: F.rlike(x, F.lit(f"^(?:{p})$"))
-    return F.when(F.instr(x, "@") > 0, "email").when(full(r"[0-9a-f]{32,128}"), "secret").when(full(DATE), "date").when(full(SSN), "ssn").when(full(IP), "ip").when(F.startswith(x, F.lit("+")), "phone").otherwise("card")
+    return F.when(F.instr(x, "@") > 0, "email").when(full(r"[0-9a-f]{32,128}"), "secret").when(full(DATE), "date").when(full(SSN), "ssn").when(full(IP), "ip").when(F.startswith(x, F.lit("+")) | full(LOCAL), "phone").otherwise("card")
 
 
 def pseudonymize(df: DataFrame, key: str, text_col: str = "text", inverse: bool = False, found_col: str | None = None) -> DataFrame:
@@ -186,20 +208,31 @@ def pseudonymize(df: DataFrame, key: str, text_col: str = "text", inverse: bool
 
     Texts are split once at the matches; only rows with a digit and a match evaluate the network.
     """
+    pii, new = fresh([*df.columns, *[found_col] * bool(found_col)], "_pii", "_new")
     text = F.col(text_col)
     may = F.rlike(text, F.lit("[0-9@]"))
     cut = F.when(may, F.struct(F.split(text, ANY, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)).alias("hits")))
-    parts = df.withColumn("_pii", cut)
-    hits = F.coalesce(F.col("_pii.hits"), F.array().cast("array<string>"))
+    parts = df.withColumn(pii, cut)
+    hits = F.coalesce(F.col(f"{pii}.hits"), F.array().cast("array<string>"))
     changed = F.when(F.size(hits) > 0, F.transform(hits, lambda h: pseudonym(h, key, inverse))).otherwise(hits)
-    parts = parts.withColumn("_new", changed)
-    joined = F.array_join(F.flatten(F.zip_with(F.col("_pii.gaps"), F.col("_new"), lambda g, h: F.array(g, F.coalesce(h, F.lit(""))))), "")
-    out = parts.withColumn(text_col, F.when(F.size("_new") > 0, joined).otherwise(text))
+    parts = parts.withColumn(new, changed)
+    joined = F.array_join(F.flatten(F.zip_with(F.col(f"{pii}.gaps"), F.col(new), lambda g, h: F.array(g, F.coalesce(h, F.lit(""))))), "")
+    out = parts.withColumn(text_col, F.when(F.size(new) > 0, joined).otherwise(text))
     if found_col:
-        out = out.withColumn(found_col, F.size(F.filter(F.zip_with(hits, F.col("_new"), lambda a, b: a != b), lambda x: x)).cast("bigint"))
-    return out.drop("_pii", "_new")
+        out = out.withColumn(found_col, F.size(F.filter(F.zip_with(hits, F.col(new), lambda a, b: a != b), lambda x: x)).cast("bigint"))
+    return out.drop(pii, new)
+
+
+#: Whoever has the key can invert the pseudonyms; the session's setting KEY_SETTING replaces this public one.
+PUBLIC_KEY, KEY_SETTING = "corpus-key-1", "corpus.pseudonyms.key"
+
+
+def key_of(spark) -> str:
+    """The key of the session."""
+    return spark.conf.get(KEY_SETTING, PUBLIC_KEY)
 
 
-def op9(spark, sf_dir: str, key: str = "corpus-key-1") -> DataFrame:
+def op9(spark, sf_dir: str, key: str | None = None) -> DataFrame:
     """All documents with pseudonyms in place of personal data."""
+    key = key or key_of(spark)
     return pseudonymize(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), key, found_col="n_values")

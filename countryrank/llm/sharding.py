@@ -4,14 +4,17 @@ Records hash into SLOTS slots. Bytes are summed per slot, and a versioned map se
 edits the map; a record never changes its slot. The law of the map is `bytes`: shards hold nearly equal sizes.
 
 Null texts have no bytes and size 1; null ids hash by their size and checksum. Equal rows are interchangeable and each
-gets its own place. Other columns are ignored.
+gets its own place. Groups of equal texts aren't kept together: a group may hold more bytes than a shard, so its records
+hash by their ids and spread over all shards alike. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import shared_dir
+
 SLOTS = 4096
 SHARDS = 16
 
@@ -46,6 +49,26 @@ def slot_map(stats: DataFrame, shards: int = SHARDS) -> DataFrame:
     return rows.select("x.s.virtual_slot", F.col("x.to").cast("int").alias("shard"), "x.s.bytes", "x.s.rows", F.lit(1).alias("map_version"))
 
 
+def store_map(mapping: DataFrame, path: str) -> None:
+    """Adds a version of a map to the stored ones; written versions stay as they are."""
+    mapping.coalesce(1).write.mode("append").partitionBy("map_version").parquet(path)
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A stored version of a map, the newest by default. A map has at most SLOTS rows."""
+    stored = spark.read.schema("virtual_slot int, shard int, bytes long, rows long, map_version int").parquet(path)
+    if version is None:
+        version = stored.agg(F.max("map_version")).first()[0]
+    return stored.filter(F.col("map_version") == version)
+
+
+def rebalance(spark: SparkSession, path: str, to_shards: int) -> DataFrame:
+    """Edits the newest stored map for more shards, stores it as the next version and returns it."""
+    newest = load_map(spark, path)
+    store_map(grow_map(newest, to_shards), path)
+    return load_map(spark, path)
+
+
 def grow_map(current: DataFrame, to_shards: int) -> DataFrame:
     """The next version of a map with more shards: each old shard gives its last slots until its bytes fit the new share.
 
@@ -75,7 +98,9 @@ def place(records: DataFrame, mapping: DataFrame, id_col: str = "doc_id") -> Dat
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
-    """All documents in 16 shards of nearly equal bytes."""
+    """All documents in 16 shards of nearly equal bytes, placed by the stored map."""
+    path = f"{shared_dir(spark)}/slots"
     records = sized(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    placed = place(records, slot_map(slot_stats(records)))
+    store_map(slot_map(slot_stats(records)), path)
+    placed = place(records, load_map(spark, path))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")

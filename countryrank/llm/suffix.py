@@ -5,7 +5,9 @@ Every byte covered by a string of LENGTH bytes that also starts anywhere else go
 * Anchors: of the hashes of all GRAM-byte strings, the least in each window of LENGTH - GRAM + 1 is an anchor. Equal
   strings of LENGTH bytes hold the same anchors at the same places, so occurrences of one anchor meet by its hash.
 * The context of an anchor is all bytes that LENGTH-byte strings around it can have. Occurrences with equal contexts
-  repeat one another whole; tasks and buckets settle those by a fingerprint and send one occurrence of each context on.
+  repeat one another whole; tasks and buckets settle those by two 64-bit hashes, of the anchor and of the context, and send
+  one occurrence of each context on. Bytes of settled contexts aren't compared: the chance of a wrong removal is that of
+  two different contexts with the same 128 bits.
 * Different contexts of one anchor are compared byte by byte: their right parts and their reversed left parts are
   written as strings of SYMBOL-byte symbols, whose suffix arrays give the order of the parts and the bytes that neighbours
   share. Two contexts hold the same string at the same place exactly if both parts share enough.
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, written
+from .common import sliced, written
 from .jaccard import _A, _B, mix
 
 LENGTH = 200
@@ -160,7 +162,7 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     Equal contexts within a batch settle each other; one of them goes on as two.
     """
-    for b in batches:
+    for b in sliced(batches):
         cols: list[list[np.ndarray]] = []
         for i, c, t in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
             raw = t.encode()
@@ -227,7 +229,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the contexts that are still to be compared."""
     names = ["key", "id", "cls", "place", "size", "times", "bytes"]
-    for b in batches:
+    for b in sliced(batches):
         out: list[tuple] = []
         for i, c, t, wanted in zip(*(b.column(k).to_pylist() for k in range(4)), strict=True):
             raw = t.encode()
@@ -355,7 +357,6 @@ def _keyed(df: DataFrame, id_col: str, text_col: str, keep: bool = False) -> Dat
 
 def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, cls, spans): spans of repeated bytes of each text that has some; they may touch and overlap."""
-    small_batches(df.sparkSession, 500)
     docs = _keyed(df, id_col, text_col)
     long = docs.filter(F.octet_length("text") >= LENGTH)
     kind = ", ".join(f"{n} long" for n in ROW)
@@ -386,7 +387,7 @@ def _cut(df: DataFrame, id_col: str, text_col: str, out: str, make) -> DataFrame
     docs = _keyed(df, id_col, text_col, keep=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             rows = []
             for t, s in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
                 raw = t.encode()

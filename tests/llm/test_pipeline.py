@@ -27,7 +27,7 @@ def test_run(spark):
     items = [grams(r["text"]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     kept = {i: r for i, r in kept.items() if not any(q and 100 * len(q & grams(r["text"])) >= 75 * len(q) for q in items)}
     df = spark.createDataFrame([(i, r["text"]) for i, r in kept.items()], "doc_id long, text string")
-    clean = {r["doc_id"]: r["text"] for r in pii.pseudonymize(df, P.PSEUDONYM_KEY).collect()}
+    clean = {r["doc_id"]: r["text"] for r in pii.pseudonymize(df, pii.PUBLIC_KEY).collect()}
     assert any(clean[i] != r["text"] for i, r in kept.items())
     assert not any(re.search(re.escape(v), clean[i]) for i, r in kept.items() for v in re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}|[\w.]+@\w+\.example\.com", r["text"]))
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
