@@ -14,7 +14,6 @@ from countryrank.llm.common import small, table, written
 
 #: A document goes if its language is undetermined or less likely than this.
 LEAST_SURE = 0.4
-PSEUDONYM_KEY = "corpus-key-1"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +52,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with pseudonyms in place of personal data."""
-    return pii.pseudonymize(docs, PSEUDONYM_KEY)
+    """All documents, with pseudonyms in place of personal data under the key of the session."""
+    return pii.pseudonymize(docs, pii.key_of(spark))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
