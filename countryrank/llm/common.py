@@ -67,6 +67,13 @@ def sliced(batches: Iterator, rows: int = 500) -> Iterator:
             yield b.slice(i, rows)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Bounds the rows that enter Python at once. Queries and stages call it on their session; operators leave that alone."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def fresh(taken: list[str], *names: str) -> list[str]:
     """The names with as many underscores behind them as make them differ from those that are taken, in any case."""
     used, out = {t.lower() for t in taken}, []

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, written
+from .common import small, small_batches, written
 from .components import components
 
 SHINGLE = 5
@@ -466,6 +466,7 @@ def cluster(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 def op5(spark, sf_dir: str) -> DataFrame:
     """All documents with their components at Jaccard 0.75 over 5-word shingles."""
+    small_batches(spark)
     return cluster(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import sliced, written
+from .common import sliced, small_batches, written
 from .jaccard import _A, _B, mix
 
 LENGTH = 200
@@ -407,5 +407,6 @@ def _cut(df: DataFrame, id_col: str, text_col: str, out: str, make) -> DataFrame
 
 def op10(spark, sf_dir: str) -> DataFrame:
     """All documents without the bytes of repeated 200-byte strings."""
+    small_batches(spark, 500)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return _cut(docs, "doc_id", "text", "kept_sha256 string", lambda kept: hashlib.sha256(kept).hexdigest())
