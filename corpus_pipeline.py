@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from countryrank.llm import bpe, contamination, jaccard, langid, pii
-from countryrank.llm.common import small, table, written
+from countryrank.llm.common import small, small_batches, table, written
 
 #: A document goes if its language is undetermined or less likely than this.
 LEAST_SURE = 0.4
@@ -18,6 +18,7 @@ LEAST_SURE = 0.4
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language is told; the network learns from a bounded sample of the labelled ones."""
+    small_batches(spark)
     told = langid.predict(docs, langid.fit(docs), lang_out="_lang", score_out="_sure")
     return told.filter((F.col("_lang") != langid.NONE) & (F.col("_sure") >= LEAST_SURE)).select(*docs.columns)
 
@@ -27,6 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows with a null id, and rows without words, which link with nothing, stay.
     """
+    small_batches(spark)
     marked = jaccard.labelled(docs.select("doc_id", "text")).filter("doc_id IS NOT NULL AND part IS NOT NULL")
     groups = written(marked.groupBy("part", "doc_id", "h").agg(F.count("*").alias("n")), "groups")
     first = groups.groupBy("part").agg(F.min(F.struct("doc_id", "h")).alias("first"))
@@ -53,11 +55,13 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms in place of personal data under the key of the session."""
+    small_batches(spark)
     return pii.pseudonymize(docs, pii.key_of(spark))
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of all documents: their number, and digests of the ids and of the text decoded from them."""
+    small_batches(spark)
     import public_tokenizers
 
     out = bpe.digest_texts(docs.select("doc_id", "lang", "source", "text"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
