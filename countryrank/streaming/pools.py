@@ -1,7 +1,7 @@
 """Incremental pools: pages arrive as files, each micro-batch is folded into the pool of the countries it touches.
 
-A pool is a table partitioned by country; a batch reads and rewrites only its own countries. Batches are versioned by
-their id, so one that is run again after a failure gives the same pool.
+A pool is a table partitioned by batch and country; a batch rewrites only its own countries, and of the others and of older
+versions no data are read. Batches are versioned by their id, so one that is run again after a failure gives the same pool.
 """
 
 from __future__ import annotations
@@ -17,10 +17,16 @@ from ..operators import certify, ranking
 
 
 def read_pool(spark: SparkSession, path: str, schema: StructType, country_col: str = "country", before: int | None = None) -> DataFrame:
-    """The newest version of each country's pool, or the newest one before a batch. schema has the column `batch`."""
+    """The newest version of each country's pool, or the newest one before a batch. schema has the column `batch`.
+
+    Which version is the newest follows from the folders' names; the join on them prunes the others.
+    """
     try:
         df = spark.read.schema(schema).parquet(path).select(*schema.names)
-    except AnalysisException:  # no batch has been written yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # no batch has been written yet
         return spark.createDataFrame([], schema)
     df = df if before is None else df.filter(F.col("batch") < before)
     newest = df.groupBy(country_col).agg(F.max("batch").alias("batch"))
@@ -34,7 +40,7 @@ def fold(merge: Callable[[DataFrame, DataFrame], DataFrame], path: str, schema:
         before = read_pool(batch.sparkSession, path, schema, country_col, batch_id)
         touched = certify.changed_countries(batch, country_col)
         merged = merge(before.join(F.broadcast(touched), country_col, "left_semi").drop("batch"), batch)
-        merged.withColumn("batch", F.lit(batch_id).cast("bigint")).select(*schema.names).write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        merged.select(*[n for n in schema.names if n != "batch"]).write.mode("overwrite").partitionBy(country_col).parquet(f"{path}/batch={batch_id}")
 
     return run
 
