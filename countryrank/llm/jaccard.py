@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small, small_batches, written
+from .common import sliced, small, small_batches, written
 from .components import components
 
 SHINGLE = 5
@@ -147,8 +147,8 @@ def key_of(place: np.ndarray, total: np.ndarray, s: int) -> np.ndarray:
     return ((h & ~np.uint64(31)) | np.uint64(s & 31)).view(np.int64)
 
 
-def _text_batches(batches: Iterator[pa.RecordBatch], size: int = 400) -> Iterator[tuple[list, list[bytes]]]:
-    """First column and texts (the second), at most `size` rows and about 4 MB at a time."""
+def _text_batches(batches: Iterator[pa.RecordBatch], size: int = 100) -> Iterator[tuple[list, list[bytes]]]:
+    """First column and texts (the second), at most `size` rows and about 1 MB at a time; a longer text comes alone or last."""
     for b in batches:
         for i in range(0, b.num_rows, size):
             part = b.slice(i, size)
@@ -156,7 +156,7 @@ def _text_batches(batches: Iterator[pa.RecordBatch], size: int = 400) -> Iterato
             lo, total = 0, 0
             for k, t in enumerate(texts):
                 total += len(t)
-                if total > 4 << 20:
+                if total > 1 << 20:
                     yield ids[lo : k + 1], texts[lo : k + 1]
                     lo, total = k + 1, 0
             if lo < len(texts):
@@ -203,7 +203,7 @@ def _deletions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Columns: node, text, its schemes, the keys of its hot segments, and those of them that it stands for. Hot segments are
     left out; of all documents that share one, one alone emits the keys around it, with size -1, so that they count as hot.
     """
-    for b in batches:
+    for b in sliced(batches, 100):
         parts = []
         sets = shingle_sets([t.encode() for t in b.column(1).to_pylist()])
         for i, (node, x) in enumerate(zip(b.column(0).to_pylist(), sets, strict=True)):

@@ -165,8 +165,8 @@ def predict(df: DataFrame, model: dict | None, text_col: str = "text", lang_out:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs = np.array([*model["langs"], NONE], dtype=object)
         for b in batches:
-            for i in range(0, b.num_rows, 1000):  # bounds the windows held at once
-                part = b.slice(i, 1000)
+            for i in range(0, b.num_rows, 200):  # bounds the windows held at once
+                part = b.slice(i, 200)
                 texts = [t.encode() for t in part.column(said).to_pylist()]
                 best, sure = np.full(len(texts), len(langs) - 1), np.zeros(len(texts))
                 x, owner = windows(texts)
