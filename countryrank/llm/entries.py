@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, contamination, jaccard, langid, maxent, passages, pii, quality, sharding, suffix
+from . import bpe, contamination, jaccard, langid, maxent, mixing, negatives, passages, phrases, pii, quality, sharding, suffix
 
 QUERIES = {
     "op1_bpe": bpe.op1,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_language_id": langid.op8,
     "op9_pii_pseudonyms": pii.op9,
     "op10_suffix_dedup": suffix.op10,
+    "op11_hard_negatives": negatives.op11,
+    "op12_source_mix": mixing.op12,
+    "op13_collocations": phrases.op13,
 }
 
-ORACLE_SQL = {"op2_quality_rules": quality.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op6_decontamination": contamination.ORACLE}
+ORACLE_SQL = {"op2_quality_rules": quality.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op6_decontamination": contamination.ORACLE, "op11_hard_negatives": negatives.ORACLE, "op13_collocations": phrases.ORACLE}

@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from countryrank.llm import bpe, contamination, jaccard, langid, maxent, passages, pii, quality, sharding, suffix
+from countryrank.llm import bpe, contamination, jaccard, langid, maxent, mixing, passages, phrases, pii, quality, sharding, suffix
 from countryrank.llm.common import shared_dir
 
 NAMES = """_id _cls _d _t _row _text _n _s _w _l _pii _new _seen _who _bare _h _of h node rep n key id cls part words times ids_ kept spans l t lang_pred score hash item item_id c
@@ -39,6 +39,8 @@ OPERATORS = {
     "passages": lambda d, _: passages.repeats(d),
     "langid": lambda d, _: langid.predict(d, langid.fit(d.withColumn("lang", F.lit("en")))).select("doc_id", "lang_pred"),
     "pii": lambda d, _: pii.pseudonymize(d, "k", found_col="found").select("doc_id", "text", "found"),
+    "mixing": lambda d, _: mixing.taken(*mixing.mix(d.withColumn("source", F.lit("s")))[1:]).select("id", "size", "taken"),
+    "phrases": lambda d, _: phrases.collocations(d.withColumn("lang", F.lit("en")), least=2),
     "suffix": lambda d, _: suffix.dedup(d).select("doc_id", "kept", "n_removed"),
 }
 
