@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from .common import small, table, words, written
 
 WEIGHTS, MOST_REPEATS, BLOCK, SHARD, ROUNDS, SEED = (1, 2, 3), 3, 64, 4096, 16, 12
-#: Rows whose place in the stream of a source one task settles, and the unit of a slot in integer shares.
-BUCKET, UNIT = 1024, 1 << 20
+#: Rows whose place in the stream of a source one task settles, slots that one task makes, and the unit of a slot in integer
+#: shares.
+BUCKET, TASK, UNIT = 1024, 1 << 16, 1 << 20
 _KEY = ["source", "id", "size", "crc"]
 
 
@@ -112,7 +113,8 @@ def slots(src: DataFrame, counts: DataFrame, most: int = MOST_REPEATS, seed: int
     held = src.select("k", "blocks").filter("blocks > 0")
     runs = counts.withColumn("first", sum_(before)).withColumn("place", sum_(inside)).withColumn("all", F.sum("n").over(Window.partitionBy("shard"))).join(F.broadcast(held) if known else held, "k")
     runs = runs.withColumn("stop", F.least(F.col("first") + F.col("n"), F.col("blocks") * most)).filter("stop > first")
-    one = runs.select("*", F.explode(F.sequence("first", F.col("stop") - 1)).alias("j"))
+    tasks = -(-src.agg(F.coalesce(F.sum("share"), F.lit(0))).first()[0] // (TASK * UNIT)) or 1
+    one = runs.repartition(tasks, "shard", "k").select("*", F.explode(F.sequence("first", F.col("stop") - 1)).alias("j"))
     block = permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("k"), F.expr("j div blocks"))
     slot = permuted(F.col("place") + F.col("j") - F.col("first"), F.col("all"), F.lit(seed + 1), F.col("shard"))
     return one.select("shard", slot.alias("slot"), "k", block.alias("block"))
