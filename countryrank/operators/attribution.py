@@ -10,6 +10,7 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import text
 from ..sources.scratch import settled
@@ -134,6 +135,11 @@ def _verdict(accepted: bool, confidence: str, evidence: str, code: Column | None
 MISSING = ("unknown", "missing-location")
 
 
+def missing(of: StructType) -> Column:
+    """The verdict on a location that isn't there, as a struct of the type of other verdicts."""
+    return _verdict(False, *MISSING, of=of["conflicts"].dataType.elementType.simpleString())
+
+
 def resolve_locations(keys: DataFrame, catalogue: DataFrame, terms: DataFrame, names: DataFrame | None = None) -> DataFrame:
     """(location, attribution) of distinct locations against all countries; the first rule that applies decides.
 

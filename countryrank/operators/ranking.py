@@ -105,16 +105,24 @@ def weight(confidence: Column) -> Column:
 def pool_merge(existing: DataFrame, fresh: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
     """One row per owner of both pools: latest fields, strongest attribution (the earlier of equals), all terms, and the
     repository with more stars (the newer of equals). Columns: keys, confidence, terms, stars, repository, seq, others."""
+    return _merged(existing.withColumn("_p", F.lit(0)).unionByName(fresh.withColumn("_p", F.lit(1))), key_cols)
+
+
+def pool_fold(rows: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
+    """One row per owner of rows that arrived in the order of seq, as pool_merge() would make it of them."""
+    return _merged(rows.withColumn("_p", F.lit(0)), key_cols)
+
+
+def _merged(both: DataFrame, key_cols: list[str] | None) -> DataFrame:
     keys = key_cols or ["country", "login"]
-    both = existing.withColumn("_p", F.lit(0)).unionByName(fresh.withColumn("_p", F.lit(1))).filter("repository IS NOT NULL")
     at = F.struct("_p", "seq")
     special = {*keys, "confidence", "terms", "stars", "repository", "_p"}
-    rest = [c for c in existing.columns if c not in special]
+    rest = [c for c in both.columns if c not in special]
     stars = F.coalesce("stars", F.lit(0))
-    return both.groupBy(*keys).agg(
+    return both.filter("repository IS NOT NULL").groupBy(*keys).agg(
         *[F.max_by(c, at).alias(c) for c in rest],
         F.max_by("confidence", F.struct(weight(F.col("confidence")), -F.col("_p"), -F.col("seq"))).alias("confidence"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("terms")))).alias("terms"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("terms")))).alias("terms"),
         F.max_by("stars", F.struct(stars, at)).alias("stars"), F.max_by("repository", F.struct(stars, at)).alias("repository"),
     )
 

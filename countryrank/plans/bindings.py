@@ -42,6 +42,12 @@ BINDINGS = {
         concat('loc', CAST(event_id % 17 AS STRING)) AS location, event_type NOT IN ('error', 'signup') OR user_id % 5 = 0 AS accepted_raw,
         user_id % 4 <> 1 AND event_type NOT IN ('error') AS accepted, CASE WHEN event_type = 'view' THEN 'high' WHEN event_type = 'error' THEN 'unknown' ELSE 'medium' END AS confidence,
         concat('e-', event_type) AS evidence, CAST(floor(value) AS BIGINT) AS stars, concat('A', chr(CAST(65 + user_id % 25 AS INT))) AS country FROM {events}""",
+    # raw search pages of three runs in the order of seq: owners with locations, and owners hit for two target countries
+    "located": """SELECT l.id AS customer, CAST(floor(r.seq * 3 / (m.last + 1)) AS INT) AS page, r.seq, r.name_with_owner, r.owner, r.stars, r.forks, r.is_fork, r.language, l.location, l.own, l.other
+        FROM {repos} r JOIN {customer} ON c_name = r.owner JOIN {locations} l ON l.id = c_custkey JOIN (SELECT max(seq) AS last FROM {repos}) m ON TRUE""",
+    "owner_hits": """SELECT page, own AS code, seq * 2 AS seq, owner AS login, name_with_owner AS repository, stars, language AS term, CASE WHEN page = 1 THEN concat(location, ', ', owner) ELSE location END AS location FROM {located}
+        UNION ALL SELECT page, other, seq * 2 + 1, owner, name_with_owner, stars, language, CASE WHEN page = 2 THEN owner ELSE location END FROM {located}""",
+    "owner_pairs": "SELECT DISTINCT location, code FROM {owner_hits}",
     # candidate pools before and after a date
     "pool_rows": """SELECT n.code AS country, c_name AS login, CAST(o_orderkey AS BIGINT) AS seq, CAST(floor(o_totalprice / 1000) AS BIGINT) AS stars, concat(c_name, '/', CAST(o_orderkey % 20 AS STRING)) AS repository,
         CASE WHEN o_orderkey % 3 = 0 THEN 'high' WHEN o_orderkey % 3 = 1 THEN 'medium' ELSE 'unknown' END AS confidence, o_orderpriority AS term, o_orderdate < TIMESTAMP '1997-01-01 00:00:00' AS old

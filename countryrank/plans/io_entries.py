@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-from ..operators import discovery, gazetteer, ranking
+from ..operators import attribution, discovery, gazetteer, ranking
 from ..sources import readers, writers
-from ..sources.scratch import scratch
+from ..sources.scratch import scratch, settled
 from ..streaming import pools
-from .entries import BEST, LIVE, NORMED, SOURCED, _terms, catalogue, nested, register
+from .entries import ATTRIBUTED, BEST, LIVE, NORMED, RESOLVED, SOURCED, _config, _terms, _territories, catalogue, nested, register
 
 
 def _landed(df: DataFrame, how: str, **options) -> str:
@@ -121,36 +122,58 @@ def _(b):
 @register("write_state", "SELECT country, name_with_owner, CASE WHEN country < 'AF' THEN stars + 1000 ELSE stars END AS stars FROM {latest}")
 def _(b):
     rows = b("latest").select("country", "name_with_owner", "stars")
-    spark, path = rows.sparkSession, scratch(rows.sparkSession)
+    path = scratch(rows.sparkSession)
     writers.write_state(rows, path)
-    writers.write_state(rows.filter("country < 'AF'").withColumn("stars", F.col("stars") + 1000), path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return writers.write_state(rows.filter("country < 'AF'").withColumn("stars", F.col("stars") + 1000), path).read()
 
 
-def _with_batch(df: DataFrame) -> StructType:
-    return StructType([*df.schema.fields, StructField("batch", LongType())])
+PAGES = 3
 
 
-def _streamed(df: DataFrame, merge, pool_columns: list[str]) -> DataFrame:
-    """The pool after a stream over df, landed as JSON files that arrive one by one."""
-    spark, path = df.sparkSession, scratch(df.sparkSession)
-    landed = f"{path}/pages"
-    df.repartition(4, "seq").write.json(landed)
-    source = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 2).json(landed)
-    schema = _with_batch(df.select(*pool_columns))
-    pools.run_stream(source, merge, f"{path}/pool", f"{path}/checkpoint", schema)
-    return pools.read_pool(spark, f"{path}/pool", schema).drop("batch")
+def _unrolled(first: str, step: str) -> str:
+    """p0, p1 and p2: the pool after each run over its page; {k} and {before} in step are the run and the pool before it."""
+    return ", ".join([first.replace("{k}", "0"), *(step.replace("{k}", str(k)).replace("{before}", f"p{k - 1}") for k in range(1, PAGES))])
 
 
-@register("stream_repo_pool", f"SELECT country, name_with_owner, stars FROM (SELECT *, row_number() OVER {BEST} AS r FROM {{latest}}) q WHERE r <= 125")
-def _(b):
-    rows = b("latest").select("country", "name_with_owner", "owner", "seq", "stars", "forks", F.lit(False).alias("is_fork"))
-    return _streamed(rows, pools.merge_repositories, ["country", "name_with_owner", "owner", "seq", "stars", "forks", "is_fork"]).select("country", "name_with_owner", "stars")
+REPO_ROWS = "rows_ AS (SELECT s.*, v[3] AS country FROM {located} s JOIN res ON res.id = s.customer WHERE v[3] IS NOT NULL AND NOT is_fork)"
+REPO_POOL = f"p{{k}} AS (SELECT country, name_with_owner, seq, stars, forks FROM (SELECT *, row_number() OVER {BEST} AS r FROM (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY country, name_with_owner ORDER BY seq DESC) AS n FROM ({{rows}}) q) q WHERE n = 1) q) q WHERE r <= 125)"
+_new = "SELECT country, name_with_owner, seq, stars, forks FROM rows_ WHERE page = {k}"
 
 
-@register("stream_owner_pool", "SELECT country, owner AS login, top_stars AS stars FROM (SELECT *, rank() OVER (PARTITION BY country ORDER BY top_stars DESC) AS r FROM {tops}) q WHERE r <= 20")
+@register("stream_repo_pool", f"{RESOLVED}, {REPO_ROWS}, {_unrolled(REPO_POOL.replace('{rows}', _new), REPO_POOL.replace('{rows}', 'SELECT * FROM {before} UNION ALL ' + _new))} SELECT country, name_with_owner, stars FROM p{PAGES - 1}")
 def _(b):
-    rows = b("tops").select("country", F.col("owner").alias("login"), F.lit("medium").alias("confidence"), F.array(F.col("country")).alias("terms"), F.col("top_stars").alias("stars"), F.col("owner").alias("repository"), F.col("top_stars").alias("seq"))
-    merge = lambda pool, batch: ranking.pool_truncate(ranking.pool_merge(pool, batch.select(*pool.columns)), limit=20)
-    return _streamed(rows, merge, rows.columns).select("country", "login", "stars")
-
+    """Raw pages land in three runs; the stream starts anew for each, from its checkpoint."""
+    raw = b("located")
+    spark, path = raw.sparkSession, scratch(raw.sparkSession)
+    known, terms, names = settled(catalogue(b)), settled(_terms(b)), settled(_territories(b))
+    resolve = partial(attribution.resolve_location, catalogue=known, terms=terms, names=names)
+    node = _repo_struct(owner=F.struct(F.lit("User").alias("__typename"), F.col("owner").alias("login"), F.col("location")))
+    pages = readers.read_repo_pages(spark, f"{path}/pages/*", stream=True)
+    for k in range(PAGES):
+        raw.filter(F.col("page") == k).select("seq", F.array(node).alias("nodes")).write.json(f"{path}/pages/{k}")
+        pools.run_repositories(pages, path, known, resolve)
+    return pools.repository_pool(spark, path).read().select("country", "name_with_owner", "stars")
+
+
+OWNER_ROWS = """rows_ AS (SELECT page, h.code AS country, login, seq, stars, repository, term, v.confidence, CASE v.confidence WHEN 'high' THEN 2 ELSE 1 END AS w FROM {owner_hits} h JOIN verdict v ON v.location = h.location AND v.code = h.code WHERE v.accepted),
+new AS (SELECT page, country, login, max(seq) AS seq, max(stars) AS stars, arg_max(repository, (stars, seq)) AS repository, max(w) AS w, list(DISTINCT term) AS terms FROM rows_ GROUP BY ALL)"""
+OWNER_POOL = """p{k} AS (SELECT * EXCLUDE (r) FROM (SELECT *, rank() OVER (PARTITION BY country ORDER BY stars DESC) AS r FROM (SELECT country, login, max(seq) AS seq, max(stars) AS stars, arg_max(repository, (stars, p)) AS repository, max(w) AS w, list_distinct(flatten(list(terms))) AS terms FROM ({rows}) q GROUP BY ALL) q) q WHERE r <= 20)"""
+_fresh = "SELECT country, login, seq, stars, repository, w, terms, 1 AS p FROM new WHERE page = {k}"
+_told = ATTRIBUTED.replace("{pairs}", "{owner_pairs}")
+VERDICT = _told[: (_at := _told.rindex("SELECT location, code, v[1] IN"))].rstrip() + ", verdict AS (" + _told[_at:] + ")"
+
+
+@register("stream_owner_pool", f"{VERDICT}, {OWNER_ROWS}, {_unrolled(OWNER_POOL.replace('{rows}', _fresh), OWNER_POOL.replace('{rows}', 'SELECT *, 0 AS p FROM {before} UNION ALL ' + _fresh))} SELECT country, login, stars, repository, CASE w WHEN 2 THEN 'high' ELSE 'medium' END AS confidence, array_to_string(list_sort(terms), ',') AS terms FROM p{PAGES - 1}")
+def _(b):
+    raw = b("owner_hits")
+    spark, path = raw.sparkSession, scratch(raw.sparkSession)
+    config, regions = settled(_config(b)), settled(attribution.region_rows(attribution.alias_rows(catalogue(b))))
+    resolve = partial(attribution.attribute_location, config=config, regions=regions)
+    top = F.struct(F.array(F.struct(F.col("repository").alias("nameWithOwner"), F.col("stars").alias("stargazerCount"))).alias("nodes"))
+    node = F.struct(F.lit("User").alias("__typename"), F.col("login"), F.col("location"), top.alias("repositories"))
+    pages = readers.read_owner_pages(spark, f"{path}/pages/*", stream=True)
+    for k in range(PAGES):
+        some = raw.filter(F.col("page") == k).select("seq", F.col("term").alias("searchTerm"), F.struct("code").alias("country"), F.array(node).alias("nodes"))
+        some.write.json(f"{path}/pages/{k}")
+        pools.run_owners(pages, path, resolve, limit=20)
+    return pools.owner_pool(spark, path).read().select("country", "login", "stars", "repository", "confidence", F.array_join("terms", ",").alias("terms"))

@@ -10,7 +10,7 @@ GAZETTEER = f"iso2 STRING, {NAMED}, translations MAP<STRING,STRING>, states ARRA
 INDEX = "country STRUCT<code: STRING, name: STRING, slug: STRING>, attributionTerms ARRAY<STRING>, discoveryTerms ARRAY<STRING>, compoundTerms ARRAY<STRING>, ambiguousTerms ARRAY<STRING>, contentSha256 STRING"
 REPO = "name: STRING, nameWithOwner: STRING, url: STRING, description: STRING, stargazerCount: BIGINT, forkCount: BIGINT, isArchived: BOOLEAN, isFork: BOOLEAN, createdAt: STRING, pushedAt: STRING, homepageUrl: STRING, primaryLanguage: STRUCT<name: STRING>, licenseInfo: STRUCT<name: STRING, spdxId: STRING>"
 OWNER = "__typename: STRING, id: STRING, login: STRING, name: STRING, location: STRING, url: STRING, avatarUrl: STRING"
-OWNER_PAGE = f"seq BIGINT, searchTerm STRING, userCount BIGINT, nodes ARRAY<STRUCT<{OWNER}, repositories: STRUCT<nodes: ARRAY<STRUCT<{REPO}>>>>>"
+OWNER_PAGE = f"seq BIGINT, searchTerm STRING, country STRUCT<code: STRING>, userCount BIGINT, nodes ARRAY<STRUCT<{OWNER}, repositories: STRUCT<nodes: ARRAY<STRUCT<{REPO}>>>>>"
 REPO_PAGE = f"seq BIGINT, repositoryCount BIGINT, nodes ARRAY<STRUCT<{REPO}, owner: STRUCT<{OWNER}>>>"
 STATE = "schemaVersion INT, cycle INT, phase STRING, nextTermIndex BIGINT, updatedAt STRING, country STRUCT<code: STRING>, geography STRUCT<sha256: STRING, termsTotal: BIGINT>, scanFrontierStars BIGINT"
 PUBLISHED = "methodologyVersion STRING, generatedAt STRING, country STRUCT<code: STRING, name: STRING, slug: STRING>, coverage STRUCT<publishedRepositories: BIGINT>"
@@ -18,8 +18,8 @@ PUBLISHED = "methodologyVersion STRING, generatedAt STRING, country STRUCT<code:
 CURRENT, EARLIER = "0.8.0-repository-first", ("LK", "0.2.0-poc")
 
 
-def _json(spark: SparkSession, path: str, schema: str, lines: bool, glob: str | None = None) -> DataFrame:
-    reader = spark.read.schema(f"{schema}, _corrupt_record STRING").option("multiLine", not lines).option("mode", "PERMISSIVE")
+def _json(spark: SparkSession, path: str, schema: str, lines: bool, glob: str | None = None, stream: bool = False) -> DataFrame:
+    reader = (spark.readStream if stream else spark.read).schema(f"{schema}, _corrupt_record STRING").option("multiLine", not lines).option("mode", "PERMISSIVE")
     df = (reader.option("pathGlobFilter", glob) if glob else reader).json(path)
     return df.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
@@ -49,15 +49,16 @@ def _repo(r: str) -> list:
     return [get("nameWithOwner", "name_with_owner"), get("stargazerCount", "stargazer_count"), get("forkCount", "fork_count"), get("isFork", "is_fork"), get("isArchived", "is_archived"), get("description", "description"), get("homepageUrl", "homepage_url"), get("createdAt", "created_at"), get("primaryLanguage.name", "language")]
 
 
-def read_owner_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Owner hits of landed search pages, one JSON page a line, in order of arrival, with the inline best repository."""
-    page = _json(spark, path, OWNER_PAGE, lines=True).select("seq", F.col("searchTerm").alias("search_term"), F.posexplode("nodes").alias("pos", "n"))
-    return page.select("seq", "pos", "search_term", F.col("n.__typename").alias("typename"), "n.id", "n.login", "n.name", "n.location", F.get("n.repositories.nodes", F.lit(0)).alias("top"))
+def read_owner_pages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """Owner hits of landed search pages, one JSON page a line, in order of arrival, with the inline best repository; as a
+    stream of the pages that arrive, if asked."""
+    page = _json(spark, path, OWNER_PAGE, lines=True, stream=stream).select("seq", F.col("searchTerm").alias("search_term"), F.col("country.code").alias("country"), F.posexplode("nodes").alias("pos", "n"))
+    return page.select("seq", "pos", "search_term", "country", F.col("n.__typename").alias("typename"), "n.id", "n.login", "n.name", "n.location", F.get("n.repositories.nodes", F.lit(0)).alias("top"))
 
 
-def read_repo_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Repositories of landed search pages with their owner."""
-    page = _json(spark, path, REPO_PAGE, lines=True).select("seq", F.posexplode("nodes").alias("pos", "n"))
+def read_repo_pages(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """Repositories of landed search pages with their owner; as a stream of the pages that arrive, if asked."""
+    page = _json(spark, path, REPO_PAGE, lines=True, stream=stream).select("seq", F.posexplode("nodes").alias("pos", "n"))
     return page.select("seq", "pos", *_repo("n"), F.col("n.owner.login").alias("owner_login"), F.col("n.owner.location").alias("owner_location"), F.col("n.owner.__typename").alias("owner_type"))
 
 

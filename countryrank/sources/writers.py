@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .readers import CURRENT
+from .versions import Versions
 
 LEAST_COUNTRIES = 240
 SCHEMA_VERSION = 1
@@ -47,6 +50,22 @@ def write_geo_index(terms: DataFrame, path: str, least: int = LEAST_COUNTRIES) -
     geo_index_rows(terms).write.mode("overwrite").partitionBy("code").parquet(path)
 
 
-def write_state(state: DataFrame, path: str, country_col: str = "country") -> None:
-    """Rewrites the countries that state holds and leaves the others as they are."""
-    state.repartition(country_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(country_col).parquet(path)
+def write_state(state: DataFrame, path: str, country_col: str = "country", version: int | None = None) -> Versions:
+    """Replaces the countries that state holds, as the next version of the table at path or as a given one; others stay as
+    they are. The version becomes visible whole, and older ones go; see Versions."""
+    store = Versions(state.sparkSession, path, state.schema, country_col)
+    known = store.versions()
+    store.replace(state.repartition(country_col), (known[-1] + 1 if known else 0) if version is None else version)
+    store.vacuum()
+    return store
+
+
+def write_once(df: DataFrame, path: str) -> bool:
+    """df as a folder that appears by a rename, whole; False if it is there already, and nothing is written."""
+    make, spark = df.sparkSession._jvm.org.apache.hadoop.fs.Path, df.sparkSession
+    end = make(path)
+    files, hidden = end.getFileSystem(spark._jsc.hadoopConfiguration()), make(f"{end.getParent()}/.{uuid.uuid4().hex}")
+    if files.exists(end):
+        return False
+    df.write.parquet(hidden.toString())
+    return bool(files.rename(hidden, end))

@@ -1,62 +1,115 @@
-"""Incremental pools: pages arrive as files, each micro-batch is folded into the pool of the countries it touches.
+"""Streams from raw search pages to pools: pages are attributed as they arrive, and fold into the pools of their countries.
 
-A pool is a table partitioned by batch and country; a batch rewrites only its own countries, and of the others and of older
-versions no data are read. Batches are versioned by their id, so one that is run again after a failure gives the same pool.
+Repositories: one stream. A batch is attributed by the verdict table, and its repositories are merged into the stored pools
+of the countries that it touches. Owners: two streams. The first attributes hits and folds those of a batch to one row an
+owner, which appears as a folder; the second reads these folders one by one and keeps the pools as keyed state.
+
+Every step is numbered by its batch and does nothing the second time, so a stream that stops anywhere and starts again from
+its checkpoint gives the same tables. Folders that a batch makes on its way are removed at its end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from ..operators import certify, ranking
+from ..operators import attribution, certify, ranking
+from ..sources.scratch import cleared, settled
+from ..sources.versions import Versions
+from ..sources.writers import write_once
+from . import owners, verdicts
 
+REPOSITORIES = "country string, name_with_owner string, owner string, seq bigint, stars bigint, forks bigint"
+OUTCOMES = "seen bigint, attributed bigint, ambiguous bigint, unknown bigint"
+Batch = Callable[[DataFrame, int], None]
 
-def read_pool(spark: SparkSession, path: str, schema: StructType, country_col: str = "country", before: int | None = None) -> DataFrame:
-    """The newest version of each country's pool, or the newest one before a batch. schema has the column `batch`.
 
-    Which version is the newest follows from the folders' names; the join on them prunes the others.
-    """
-    try:
-        df = spark.read.schema(schema).parquet(path).select(*schema.names)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        # no batch has been written yet
-        return spark.createDataFrame([], schema)
-    df = df if before is None else df.filter(F.col("batch") < before)
-    newest = df.groupBy(country_col).agg(F.max("batch").alias("batch"))
-    return df.join(F.broadcast(newest), [country_col, "batch"], "left_semi")
+def repository_pool(spark: SparkSession, path: str) -> Versions:
+    return Versions(spark, f"{path}/repositories", REPOSITORIES, "country")
 
 
-def fold(merge: Callable[[DataFrame, DataFrame], DataFrame], path: str, schema: StructType, country_col: str = "country") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that merges a batch into the pools of its countries and writes them as a new version."""
+def owner_pool(spark: SparkSession, path: str) -> Versions:
+    return Versions(spark, f"{path}/owners", owners.OWNERS, "country")
 
-    def run(batch: DataFrame, batch_id: int) -> None:
-        before = read_pool(batch.sparkSession, path, schema, country_col, batch_id)
-        touched = certify.changed_countries(batch, country_col)
-        merged = merge(before.join(F.broadcast(touched), country_col, "left_semi").drop("batch"), batch)
-        merged.select(*[n for n in schema.names if n != "batch"]).write.mode("overwrite").partitionBy(country_col).parquet(f"{path}/batch={batch_id}")
 
-    return run
+def outcomes(spark: SparkSession, path: str) -> Versions:
+    """One row for each batch: what became of its repositories."""
+    return Versions(spark, f"{path}/outcomes", OUTCOMES)
 
 
 def merge_repositories(pool: DataFrame, batch: DataFrame) -> DataFrame:
     """The best repositories of both; the later row of a repository counts. A row that fell out can't return."""
-    both = pool.unionByName(ranking.filter_non_fork(batch).select(*pool.columns))
+    both = pool.unionByName(batch.select(*pool.columns))
     return ranking.repo_pool_topk(ranking.latest_repository(both, ["country", "name_with_owner"]))
 
 
-def merge_owners(pool: DataFrame, batch: DataFrame) -> DataFrame:
-    """The best owners of both pools, with ties."""
-    return ranking.pool_truncate(ranking.pool_merge(pool, batch.select(*pool.columns)))
+def fold_repositories(path: str, catalogue: DataFrame, resolve: Callable[[DataFrame], DataFrame], resolver_version: int = verdicts.RESOLVER_VERSION) -> Batch:
+    """A foreachBatch function from rows of readers.read_repo_pages() to the pools below path."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        pool, seen = repository_pool(spark, path), outcomes(spark, path)
+        if pool.committed(batch_id) and seen.committed(batch_id):
+            return
+        with cleared(spark):
+            known = verdicts.table(spark, path, verdicts.WORLD, resolver_version)
+            rows = ranking.filter_non_fork(batch).select("name_with_owner", F.col("owner_login").alias("owner"), "seq", F.col("stargazer_count").alias("stars"), F.col("fork_count").alias("forks"), F.col("owner_location").alias("location"))
+            told = settled(verdicts.judged(settled(rows), known, resolve, batch_id))
+            mine = settled(attribution.filter_accepted(told, catalogue).withColumn("country", F.col("attribution.country_code")))
+            touched = [r[0] for r in certify.changed_countries(mine).collect()]  # at most those of the catalogue
+            pool.replace(merge_repositories(pool.of_keys(touched, batch_id), mine), batch_id)
+            seen.append(attribution.attribution_outcomes(told), batch_id)
+            for table in (pool, seen, known):
+                table.vacuum()
+
+    return run
+
+
+def fold_owners(path: str, resolve: Callable[[DataFrame], DataFrame], resolver_version: int = verdicts.RESOLVER_VERSION) -> Batch:
+    """A foreachBatch function from rows of readers.read_owner_pages(), each with its target country, to one row for each owner
+    that is accepted there. A batch becomes the folder hits/<batch> below path."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with cleared(spark):
+            known = verdicts.table(spark, f"{path}/targets", verdicts.TARGET, resolver_version)
+            rows = ranking.filter_owner_type(batch).select("login", F.col("country").alias("code"), "location", "seq", "search_term", F.col("top.stargazerCount").alias("stars"), F.col("top.nameWithOwner").alias("repository"))
+            told = verdicts.judged(settled(rows), known, resolve, batch_id).filter("attribution.accepted")
+            one = told.select(F.col("code").alias("country"), "login", "seq", F.coalesce("stars", F.lit(0).cast("bigint")).alias("stars"), "repository", "attribution.confidence", F.array("search_term").alias("terms"))
+            # one file, which the second stream takes as one batch: an owner is in it once
+            write_once(ranking.pool_fold(one).repartition(1), f"{path}/hits/{batch_id:010d}")
+            known.vacuum()
+
+    return run
+
+
+def keep_owners(path: str) -> Batch:
+    """A foreachBatch function that stores the pools that owners.owner_pools() gives."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        pool = owner_pool(batch.sparkSession, path)
+        pool.replace(batch, batch_id)
+        pool.vacuum()
+
+    return run
+
+
+def _run(source: DataFrame, run: Batch, checkpoint: str, mode: str = "append") -> None:
+    source.writeStream.outputMode(mode).foreachBatch(run).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def run_repositories(pages: DataFrame, path: str, catalogue: DataFrame, resolve: Callable[[DataFrame], DataFrame], resolver_version: int = verdicts.RESOLVER_VERSION) -> None:
+    """Folds all pages that are there, in micro-batches, and ends. pages: a stream of readers.read_repo_pages()."""
+    _run(pages, fold_repositories(path, catalogue, resolve, resolver_version), f"{path}/checkpoints/repositories")
 
 
-def run_stream(source: DataFrame, merge, path: str, checkpoint: str, schema) -> None:
-    """Folds all files that are there, in micro-batches, and ends. checkpoint keeps what has been read."""
-    query = source.writeStream.foreachBatch(fold(merge, path, schema)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+def run_owners(pages: DataFrame, path: str, resolve: Callable[[DataFrame], DataFrame], limit: int = ranking.POOL_LIMIT, resolver_version: int = verdicts.RESOLVER_VERSION) -> None:
+    """Attributes all pages that are there, then folds what they gave into the state, and ends. pages: a stream of
+    readers.read_owner_pages(). A batch without an accepted owner leaves an empty folder, which the second stream skips."""
+    spark = pages.sparkSession
+    _run(pages, fold_owners(path, resolve, resolver_version), f"{path}/checkpoints/hits")
+    hits = spark.readStream.schema(owners.OWNERS).option("maxFilesPerTrigger", 1).parquet(f"{path}/hits/*")
+    with owners.keyed_state(spark):
+        _run(owners.owner_pools(hits, limit), keep_owners(path), f"{path}/checkpoints/owners", "update")
