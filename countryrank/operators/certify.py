@@ -23,6 +23,12 @@ def certify_countries(pool: DataFrame, frontier: DataFrame, certified: DataFrame
     return sized.select(country_col, F.col("threshold").cast("bigint").alias("threshold"), "frontier", F.coalesce("certified_at", fresh).alias("certified_at"))
 
 
+def newly_certified(present: DataFrame, before: DataFrame, country_col: str = "country") -> DataFrame:
+    """Rows of certify_countries() whose country is certified now and wasn't before. before: (country, certified_at)."""
+    known = before.filter("certified_at IS NOT NULL").select(country_col)
+    return present.filter("certified_at IS NOT NULL").join(known, country_col, "left_anti")
+
+
 def changed_countries(batch: DataFrame, country_col: str = "country") -> DataFrame:
     """Countries that a batch touches."""
     return batch.select(country_col).distinct()

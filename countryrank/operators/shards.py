@@ -51,6 +51,59 @@ def split_star_ranges(histogram: DataFrame, low: int, high: int, cap: int = CAP)
     return sized.filter((F.col("n") <= cap) | (F.col("min_stars") >= F.col("max_stars")))
 
 
+def dyadic(low: Column, high: Column, levels: int = 63) -> Column:
+    """The aligned power-of-two blocks that make up [low, high] of numbers from 0: an array of (level, prefix), two a level at
+    most; a number x is in one of them if x >> level is its prefix."""
+    block = lambda level, at: F.array(F.struct(level.cast("int").alias("level"), at.alias("prefix")))
+    none = F.array().cast("array<struct<level:int,prefix:bigint>>")
+
+    def step(s: Column, level: Column) -> Column:
+        lo, hi = s["lo"], s["hi"]
+        odd, even = (lo <= hi) & (lo % 2 == 1), (lo <= hi) & (hi % 2 == 0)
+        out = F.concat(s["out"], F.when(odd, block(level, lo)).otherwise(none), F.when(even & ~(odd & (lo == hi)), block(level, hi)).otherwise(none))
+        lo, hi = F.when(odd, lo + 1).otherwise(lo), F.when(even, hi - 1).otherwise(hi)
+        return F.struct(F.when(lo <= hi, F.floor(lo / 2).cast("bigint")).otherwise(F.lit(1).cast("bigint")).alias("lo"), F.when(lo <= hi, F.shiftright(hi, 1)).otherwise(F.lit(0).cast("bigint")).alias("hi"), out.alias("out"))
+
+    start = F.struct(low.cast("bigint").alias("lo"), high.cast("bigint").alias("hi"), none.alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels - 1)), start, step, lambda s: s["out"])
+
+
+def rows_in_ranges(df: DataFrame, ranges: DataFrame, stars_col: str = "stars") -> DataFrame:
+    """df with the range (min_stars, max_stars) that holds its star value, null where none does; a row for each if ranges overlap.
+
+    Ranges are cut into aligned blocks and met by equality, so nothing is compared with every range. Only distinct values are
+    met with the blocks, at those levels that blocks have; rows then take their value's range.
+    """
+    blocks = settled(ranges.select("min_stars", "max_stars", F.explode(dyadic(F.col("min_stars"), F.col("max_stars"))).alias("b")).select("min_stars", "max_stars", "b.*"))
+    levels = [r[0] for r in blocks.select("level").distinct().collect()]  # 63 at most
+    values = df.select(F.col(stars_col).cast("bigint").alias("_v")).filter("_v >= 0").distinct()
+    shifted = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.shiftright("_v", n).alias("prefix")) for n in sorted(levels)]).cast("array<struct<level:int,prefix:bigint>>"))
+    met = values.select("_v", shifted.alias("b")).select("_v", "b.*").join(blocks, ["level", "prefix"]).select("_v", "min_stars", "max_stars")
+    return df.join(met, F.col(stars_col) == F.col("_v"), "left").drop("_v")
+
+
+def scan_queue(ranges: DataFrame, requests: int, page: int = 100) -> DataFrame:
+    """The ranges (min_stars, max_stars, n) that are still open after a number of requests of `page` rows each, spent from the
+    highest range down; an empty range takes one request, and a range is done when all its pages are."""
+    pages = F.greatest(F.lit(1), F.ceil(F.col("n") / page)).cast("bigint")
+    ahead = running(ranges.withColumn("requests", pages), [F.desc("max_stars"), F.desc("min_stars")], F.col("requests"), "before")
+    return ahead.filter(F.col("before") + F.col("requests") > requests).select("min_stars", "max_stars", "n")
+
+
+def running(df: DataFrame, order: list[Column], value: Column, name: str) -> DataFrame:
+    """df with the sum of value over the rows before each one. Rows are dealt by ranges of the order and summed there; what
+    comes to the driver is a sum for each range."""
+    dealt = settled(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).withColumn("_value", value))
+    total, starts = 0, []
+    for r in dealt.groupBy("_range").agg(F.sum("_value").alias("v")).orderBy("_range").collect():
+        starts.append((r["_range"], int(total)))
+        total += r["v"] or 0
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = df.sparkSession.createDataFrame(starts, "_range int, _start long")
+    out = dealt.withColumn(name, F.coalesce(F.sum("_value").over(inside), F.lit(0))).join(F.broadcast(offsets), "_range")
+    return out.withColumn(name, (F.col(name) + F.col("_start")).cast("bigint")).drop("_range", "_start", "_value")
+
+
 def unresolved_star_counts(histogram: DataFrame, cap: int = CAP) -> DataFrame:
     """Single star values that are still over the cap, the highest first."""
     return histogram.filter(F.col("n") > cap).select("stars").orderBy(F.desc("stars"))

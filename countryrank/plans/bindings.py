@@ -20,14 +20,14 @@ BINDINGS = {
     "tops": "SELECT country, owner, CAST(max(stars) AS BIGINT) AS top_stars FROM {latest} GROUP BY country, owner",
     # places of the gazetteer
     "raw_terms": """SELECT code, 'attribution' AS kind, c_name AS term FROM {customer} JOIN {countries} ON k = c_nationkey
-        UNION ALL SELECT code, 'attribution', c_mktsegment FROM {customer} JOIN {countries} ON k = c_nationkey WHERE c_custkey % 3 = 0
+        UNION ALL SELECT code, 'attribution', c_mktsegment FROM {customer} JOIN {countries} ON k = c_nationkey
         UNION ALL SELECT code, 'attribution', s_name FROM {supplier} JOIN {countries} ON k = s_nationkey
         UNION ALL SELECT code, 'attribution', name FROM {countries}
         UNION ALL SELECT code, 'discovery', name FROM {countries}
-        UNION ALL SELECT code, 'discovery', c_mktsegment FROM {customer} JOIN {countries} ON k = c_nationkey WHERE c_custkey % 5 = 0
-        UNION ALL SELECT code, 'discovery', c_name FROM {customer} JOIN {countries} ON k = c_nationkey WHERE c_custkey % 7 = 0
+        UNION ALL SELECT code, 'discovery', c_mktsegment FROM {customer} JOIN {countries} ON k = c_nationkey
+        UNION ALL SELECT code, 'discovery', c_name FROM {customer} JOIN {countries} ON k = c_nationkey
         UNION ALL SELECT code, 'compound', concat(c_mktsegment, ', ', name) FROM {customer} JOIN {countries} ON k = c_nationkey
-        UNION ALL SELECT code, 'compound', concat(c_mktsegment, ', ', region) FROM {customer} JOIN {countries} ON k = c_nationkey WHERE c_custkey % 11 = 0""",
+        UNION ALL SELECT code, 'compound', concat(c_mktsegment, ', ', region) FROM {customer} JOIN {countries} ON k = c_nationkey""",
     "places": """SELECT c_name AS name, upper(c_name) AS ascii_name, concat(c_name, ' Town,', c_mktsegment, ' City,,', c_name) AS alternates,
         CASE WHEN c_custkey % 13 = 0 THEN 'ZZ' WHEN c_custkey % 2 = 0 THEN lower(code) ELSE concat(' ', code) END AS country_code,
         CASE WHEN c_custkey % 4 = 0 THEN '' ELSE concat('0', CAST(c_custkey % 9 AS STRING)) END AS admin1 FROM {customer} JOIN {countries} ON k = c_nationkey""",
@@ -36,7 +36,7 @@ BINDINGS = {
         WHEN 3 THEN concat(c_mktsegment, ',  ', n.name) WHEN 4 THEN concat(n.name, ' / ', o.name) WHEN 5 THEN lower(n.code) WHEN 6 THEN '' WHEN 7 THEN c_name
         WHEN 8 THEN concat(c_name, ', ', n.code) WHEN 9 THEN concat(c_name, ', USA') WHEN 10 THEN concat(chr(9), ' ') WHEN 11 THEN chr(160) ELSE concat('Somewhere near ', c_name, ' & ', n.region) END AS location
         FROM {customer} JOIN {countries} n ON n.k = c_nationkey JOIN {countries} o ON o.k = (c_nationkey + 1) % 25""",
-    "pairs": "SELECT location, own AS code FROM {locations} UNION SELECT location, other AS code FROM {locations} WHERE id % 2 = 0",
+    "pairs": "SELECT location, own AS code FROM {locations} UNION SELECT location, other AS code FROM {locations}",
     # owner hits of overlapping searches
     "hits": """SELECT concat('u', CAST(user_id AS STRING)) AS login, event_type AS search_term, CAST(event_id AS BIGINT) AS seq, CASE WHEN event_id % 3 = 0 THEN NULL ELSE concat('id', CAST(event_id AS STRING)) END AS id,
         concat('loc', CAST(event_id % 17 AS STRING)) AS location, event_type NOT IN ('error', 'signup') OR user_id % 5 = 0 AS accepted_raw,
@@ -59,6 +59,10 @@ BINDINGS = {
     # progress of countries
     "published": "SELECT CASE WHEN k = 15 THEN 'LK' ELSE code END AS code, name, CASE k % 4 WHEN 0 THEN '0.8.0-repository-first' WHEN 1 THEN '0.5.0-resumable-global-crawl' WHEN 2 THEN '0.8.0-repository-first' ELSE '0.2.0-poc' END AS methodology_version, concat('2026-10-0', CAST(1 + k % 9 AS STRING)) AS generated_at, CAST(90 + k AS BIGINT) AS published_repositories FROM {countries} WHERE k % 3 <> 2",
     "progress": "SELECT code, CASE WHEN k % 5 = 0 THEN 'complete' WHEN k % 5 = 1 THEN 'finalize' ELSE 'discovery' END AS phase, CAST(k * 7 AS BIGINT) AS next_term_index, CAST(CASE WHEN k % 6 = 0 THEN 0 ELSE 100 END AS BIGINT) AS terms_total, concat('2026-11-0', CAST(1 + k % 9 AS STRING)) AS updated_at FROM {countries} WHERE k % 2 = 0",
+    # starts, ends and delays of terms
+    "term_events": """SELECT n.code, CAST(o_orderkey AS BIGINT) AS seq, CASE o_orderpriority WHEN '1-URGENT' THEN 'begin' WHEN '2-HIGH' THEN 'begin' WHEN '3-MEDIUM' THEN 'defer' ELSE 'finish' END AS kind, c_mktsegment AS term, CAST(CAST(o_orderdate AS DATE) AS STRING) AS at
+        FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {countries} n ON n.k = c_nationkey""",
+    "term_states": "SELECT code, CAST(k AS BIGINT) AS next_term_index, CAST(k + 1 + k % 7 * 4 AS BIGINT) AS terms_total, CAST(k AS BIGINT) AS terms_processed, CASE WHEN k % 4 = 1 THEN name END AS active_term, CASE WHEN k % 4 = 1 THEN '1990-01-01' END AS active_since, CASE WHEN k % 8 = 3 THEN '1991-02-03' END AS completed_at FROM {countries} WHERE k < 24",
     "repo_progress": "SELECT code, CAST(k AS BIGINT) AS scan_frontier_stars, concat('2026-12-0', CAST(1 + k % 9 AS STRING)) AS updated_at FROM {countries} WHERE k % 3 = 0",
     # summaries of searches
     "summaries": """SELECT n.code AS country, c_mktsegment AS term, CAST(o_orderkey AS BIGINT) AS seq, CAST(floor(o_totalprice / 100) AS BIGINT) AS reported, CAST(o_orderkey % 11 AS BIGINT) AS pages, CAST(o_orderkey % 13 AS BIGINT) AS requests,

@@ -651,13 +651,40 @@ def _(b):
     return shards.capped_buckets(b("lineitem"), "l_suppkey", cap=100)
 
 
-@register("split_star_ranges", """WITH h AS (SELECT stars, count(*) AS n FROM {repos} GROUP BY stars), t(lo, hi, n) AS (SELECT 1::BIGINT, 600::BIGINT, (SELECT sum(n) FROM h WHERE stars BETWEEN 1 AND 600)::BIGINT
- UNION ALL SELECT c.lo, c.hi, coalesce((SELECT sum(n) FROM h WHERE stars BETWEEN c.lo AND c.hi), 0)::BIGINT FROM (SELECT unnest([{'lo': (lo + hi) // 2 + 1, 'hi': hi}, {'lo': lo, 'hi': (lo + hi) // 2}], recursive := true) FROM t WHERE n > 200 AND lo < hi) c)
-SELECT lo AS min_stars, hi AS max_stars, coalesce(n, 0)::BIGINT AS n FROM t WHERE coalesce(n, 0) <= 200 OR lo >= hi""")
-def _(b):
+RANGES = """h AS (SELECT stars, count(*) AS n FROM {repos} GROUP BY stars), t(lo, hi, n) AS (SELECT 1::BIGINT, 600::BIGINT, (SELECT sum(n) FROM h WHERE stars BETWEEN 1 AND 600)::BIGINT
+ UNION ALL SELECT c.lo, c.hi, coalesce((SELECT sum(n) FROM h WHERE stars BETWEEN c.lo AND c.hi), 0)::BIGINT FROM (SELECT unnest([{'lo': (lo + hi) // 2 + 1, 'hi': hi}, {'lo': lo, 'hi': (lo + hi) // 2}], recursive := true) FROM t WHERE n > 200 AND lo < hi) c),
+ ra AS (SELECT lo AS min_stars, hi AS max_stars, coalesce(n, 0)::BIGINT AS n FROM t WHERE coalesce(n, 0) <= 200 OR lo >= hi)"""
+
+
+def _ranges(b) -> DataFrame:
     return shards.split_star_ranges(shards.star_histogram(b("repos")), 1, 600, cap=200)
 
 
+@register("split_star_ranges", f"WITH {RANGES} SELECT * FROM ra")
+def _(b):
+    return _ranges(b)
+
+
+@register("star_range_rows", f"WITH {RANGES} SELECT name_with_owner, seq, stars, min_stars, max_stars FROM {{repos}} LEFT JOIN ra ON stars BETWEEN min_stars AND max_stars")
+def _(b):
+    return shards.rows_in_ranges(b("repos").select("name_with_owner", "seq", "stars"), _ranges(b))
+
+
+#: Ranges from the highest with the requests before them; those not done within REQUESTS are open.
+REQUESTS = 6
+QUEUE = f"{RANGES}, qu AS (SELECT * FROM (SELECT *, sum(greatest(1, ceil(n / 100.0))) OVER (ORDER BY max_stars DESC) AS spent FROM ra) q WHERE spent > {{requests}})"
+QUEUE = QUEUE.replace("{{requests}}", "{requests}")
+
+
+def _queue(b, requests: int = REQUESTS) -> DataFrame:
+    return shards.scan_queue(_ranges(b), requests)
+
+
+@register("scan_queue", f"WITH {QUEUE.replace('{requests}', str(REQUESTS))} SELECT min_stars, max_stars, n FROM qu")
+def _(b):
+    return _queue(b)
+
+
 @register("unresolved_star_counts", "SELECT stars FROM {histogram} WHERE n > 40")
 def _(b):
     return shards.unresolved_star_counts(shards.star_histogram(b("repos")), cap=40)
@@ -689,18 +716,31 @@ def _(b):
 # -- certification and progress
 
 
-@register("star_frontier", "SELECT greatest((SELECT max(stars) FROM {repos} WHERE stars < 400), (SELECT coalesce(max(stars), 0) FROM {histogram} WHERE n > 40)) AS frontier")
+FRONTIER = f"{QUEUE}, fr AS (SELECT greatest(coalesce((SELECT max(max_stars) FROM qu), 0), coalesce((SELECT max(stars) FROM h WHERE n > {{cap}}), 0))::BIGINT AS frontier)"
+
+
+def _frontier(b, cap: int = 40, requests: int = REQUESTS) -> DataFrame:
+    return certify.star_frontier(_queue(b, requests), shards.unresolved_star_counts(shards.star_histogram(b("repos")), cap=cap))
+
+
+def _at(sql: str, requests: int, cap: int = 100_000) -> str:
+    """sql with FRONTIER after a number of requests; no star value of the tables has over 100,000 repositories."""
+    return sql.replace("{requests}", str(requests)).replace("{cap}", str(cap))
+
+
+@register("star_frontier", _at(f"WITH {FRONTIER} SELECT frontier FROM fr", REQUESTS, 40))
 def _(b):
-    queue = b("repos").filter("stars < 400").select(F.col("stars").alias("max_stars"))
-    return certify.star_frontier(queue, shards.unresolved_star_counts(shards.star_histogram(b("repos")), cap=40))
+    return _frontier(b)
+
+
+THRESHOLDS = f"th AS (SELECT country, max(CASE WHEN r = 20 THEN stars END) AS threshold FROM (SELECT *, row_number() OVER {BEST} AS r FROM {{latest}}) q GROUP BY country)"
 
 
-@register("certify_countries", f"""WITH th AS (SELECT country, max(CASE WHEN r = 20 THEN stars END) AS threshold FROM (SELECT *, row_number() OVER {BEST} AS r FROM {{latest}}) q GROUP BY country)
-SELECT th.country, threshold, 440::BIGINT AS frontier, coalesce(CASE WHEN k % 6 = 0 THEN 'before' END, CASE WHEN threshold > 440 THEN 'now' END) AS certified_at FROM th JOIN {{countries}} ON code = th.country""")
+@register("certify_countries", _at(f"""WITH {FRONTIER}, {THRESHOLDS}
+SELECT th.country, threshold, frontier, coalesce(CASE WHEN k % 6 = 0 THEN 'before' END, CASE WHEN threshold > frontier THEN 'now' END) AS certified_at FROM th JOIN {{countries}} ON code = th.country, fr""", 9))
 def _(b):
     earlier = b("countries").filter("k % 6 = 0").select(F.col("code").alias("country"), F.lit("before").alias("certified_at"))
-    frontier = b("repos").filter("stars <= 440").agg(F.max("stars").alias("frontier"))
-    return certify.certify_countries(b("latest"), frontier, earlier, "now", limit=20)
+    return certify.certify_countries(b("latest"), _frontier(b, 100_000, 9), earlier, "now", limit=20)
 
 
 @register("changed_countries", "SELECT DISTINCT country FROM {repos}")
@@ -708,8 +748,15 @@ def _(b):
     return certify.changed_countries(b("repos"))
 
 
-@register("resume_progress", "SELECT code, greatest(next_term_index, coalesce(m + 1, 0))::BIGINT AS next_term_index, terms_total, next_term_index + coalesce(n, 0) AS terms_processed, CASE WHEN greatest(next_term_index, coalesce(m + 1, 0)) >= terms_total THEN 'complete' ELSE 'discovery' END AS phase FROM {progress} LEFT JOIN (SELECT country, max(pages) AS m, count(*) AS n FROM {summaries} GROUP BY country) q ON country = code")
+@register("resume_progress", """WITH e AS (SELECT *, row_number() OVER (PARTITION BY code ORDER BY seq) AS i FROM {term_events}),
+f AS (SELECT code, 0::BIGINT AS i, next_term_index AS nx, terms_total AS total, terms_processed AS p, active_term AS t, active_since AS since, 0::BIGINT AS d, completed_at AS c, NULL::VARCHAR AS u FROM {term_states}
+ UNION ALL SELECT f.code, e.i, CASE WHEN kind = 'finish' AND since IS NOT NULL THEN nx + 1 ELSE nx END, total, CASE WHEN kind = 'finish' AND since IS NOT NULL THEN p + 1 ELSE p END, CASE kind WHEN 'begin' THEN CASE WHEN since IS NULL THEN e.term ELSE t END WHEN 'finish' THEN NULL ELSE t END,
+  CASE kind WHEN 'begin' THEN coalesce(since, e.at) WHEN 'finish' THEN NULL ELSE since END, CASE kind WHEN 'finish' THEN 0 WHEN 'defer' THEN CASE WHEN since IS NULL THEN 0 ELSE d + 1 END ELSE d END,
+  coalesce(c, CASE WHEN kind = 'finish' AND since IS NOT NULL AND nx + 1 >= total THEN e.at END), e.at FROM f JOIN e ON e.code = f.code AND e.i = f.i + 1)
+SELECT code, arg_max(nx, i) AS next_term_index, any_value(total) AS terms_total, arg_max(p, i) AS terms_processed, CASE WHEN max(nx) >= any_value(total) THEN 'complete' ELSE 'discovery' END AS phase, arg_max(CASE WHEN since IS NULL THEN -1 ELSE nx END, i) AS active_index,
+ arg_max(coalesce(t, '-'), i) AS active_term, arg_max(coalesce(since, '-'), i) AS active_since, arg_max(d, i) AS deferrals, max(c) AS completed_at, max(c) AS finalized_at, arg_max(coalesce(u, '-'), i) AS updated_at FROM f GROUP BY code""")
 def _(b):
-    state = b("progress").withColumn("terms_processed", F.col("next_term_index"))
-    done = b("summaries").select(F.col("country").alias("code"), F.col("pages").alias("index"))
-    return status.resume_progress(state, done)
+    """The DuckDB SQL goes event by event."""
+    out = status.resume_progress(b("term_states"), b("term_events"))
+    named = {c: F.coalesce(c, F.lit("-")) for c in ("active_term", "active_since", "updated_at")}
+    return out.withColumns({**named, "active_index": F.coalesce("active_index", F.lit(-1))})

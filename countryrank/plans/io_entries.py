@@ -11,7 +11,7 @@ from ..operators import attribution, discovery, gazetteer, ranking
 from ..sources import readers, writers
 from ..sources.scratch import scratch, settled
 from ..streaming import pools
-from .entries import ATTRIBUTED, BEST, LIVE, NORMED, RESOLVED, SOURCED, _config, _terms, _territories, catalogue, nested, register
+from .entries import ATTRIBUTED, BEST, FRONTIER, LIVE, NORMED, RESOLVED, SOURCED, THRESHOLDS, _at, _config, _frontier, _terms, _territories, catalogue, nested, register
 
 
 def _landed(df: DataFrame, how: str, **options) -> str:
@@ -127,6 +127,20 @@ def _(b):
     return writers.write_state(rows.filter("country < 'AF'").withColumn("stars", F.col("stars") + 1000), path).read()
 
 
+@register("publish_certified", _at(f"WITH {FRONTIER}, {THRESHOLDS}, ", 9) + _at("f2 AS (WITH " + FRONTIER + " SELECT frontier AS later FROM fr)", 15) + """ SELECT country, CASE WHEN threshold > frontier THEN 'first' ELSE 'second' END AS generated_at, 20::BIGINT AS n,
+  CASE WHEN threshold > frontier THEN frontier ELSE later END AS frontier, threshold AS cut_off FROM th, fr, f2 WHERE threshold > frontier OR threshold > later""")
+def _(b):
+    """Two runs of a scan, the second one further down, and a third that finds nothing new."""
+    pool = settled(ranking.repo_pool_topk(b("latest")))
+    spark, path = pool.sparkSession, scratch(pool.sparkSession)
+    known = catalogue(b)
+    for run, (now, requests) in enumerate((("first", 9), ("second", 15), ("third", 15))):
+        writers.publish_certified(pool, _frontier(b, 100_000, requests), known, path, now, run, {"provider": "search pages"}, limit=20)
+    kind = "generatedAt STRING, country STRUCT<code: STRING>, coverage STRUCT<cut_off: BIGINT, frontier: BIGINT>, repositories ARRAY<STRUCT<rank: INT>>"
+    n = F.size("repositories").cast("bigint")
+    return spark.read.schema(kind).json(f"{path}/rankings").select(F.col("country.code").alias("country"), F.col("generatedAt").alias("generated_at"), n.alias("n"), "coverage.frontier", "coverage.cut_off")
+
+
 PAGES = 3
 
 

@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import certify, discovery, ranking
 from .readers import CURRENT
+from .scratch import settled
 from .versions import Versions
 
 LEAST_COUNTRIES = 240
@@ -37,6 +39,31 @@ def write_rankings(documents: DataFrame, path: str, country_col: str = "country"
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("country_code").text(path)
 
 
+CERTIFIED = "country string, threshold bigint, frontier bigint, certified_at string"
+
+
+def publish_certified(pool: DataFrame, frontier: DataFrame, catalogue: DataFrame, path: str, now: str, run: int, source: dict[str, str], limit: int = ranking.RANKING_LIMIT) -> DataFrame:
+    """Certifies the countries of a pool at a frontier and writes the documents of those that are certified for the first time,
+    below path; returns these countries. Others' documents stay as they are, and a run without new ones writes none.
+
+    Documents come before the table of the certified, so a run that stops between them is made up for by the next one.
+    """
+    spark = pool.sparkSession
+    table = Versions(spark, f"{path}/certified", CERTIFIED)
+    before = table.read(run)
+    present = certify.certify_countries(pool, frontier, before.select("country", "certified_at"), now, limit=limit)
+    fresh = settled(certify.newly_certified(present, before).select("country", "threshold", "frontier", "certified_at"))
+    if table.committed(run) or not fresh.limit(1).count():
+        return fresh.limit(0) if not table.committed(run) else table.read(run + 1).join(before, "country", "left_anti")
+    mine = settled(pool.join(F.broadcast(fresh.select("country")), "country", "left_semi"))  # at most the catalogue's countries
+    ranked = ranking.rank_repositories(mine, limit=limit)
+    coverage = discovery.certified_coverage(ranked, mine).join(fresh.select("country", "frontier"), "country")
+    write_rankings(ranking_documents(ranked.select("country", "rank", "name_with_owner", "stars"), catalogue, coverage, source, now), f"{path}/rankings")
+    table.append(fresh, run)
+    table.vacuum()
+    return fresh
+
+
 def geo_index_rows(terms: DataFrame) -> DataFrame:
     """(code, kind, terms): the sorted term lists of each country. terms: (code, kind, norm, term)."""
     return terms.groupBy("code", "kind").agg(F.transform(F.array_sort(F.collect_set(F.struct("norm", "term"))), lambda x: x["term"]).alias("terms"))
