@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..sources.scratch import settled
+from ..sources.versions import Versions
 from .catalog import filter_catalog
+from .shards import positions
 
 NAMES = ["name", "native"]
 
@@ -79,6 +82,47 @@ def ambiguous_terms(terms: DataFrame) -> DataFrame:
     return found.join(shared, "norm", "left_semi").select("code", "norm")
 
 
+PAIRS, CHANGES = "code string, norm string", "norm string, n bigint"
+
+
+def term_tables(spark, path: str) -> tuple[Versions, Versions]:
+    """The discovery terms of each country, and changes of the number of countries that use a term, as stored tables."""
+    return Versions(spark, f"{path}/pairs", PAIRS, "code"), Versions(spark, f"{path}/changes", CHANGES)
+
+
+def _summed(changes: DataFrame) -> DataFrame:
+    return changes.groupBy("norm").agg(F.sum("n").alias("n")).filter("n <> 0")
+
+
+def update_terms(terms: DataFrame, path: str, codes: list[str], version: int) -> DataFrame:
+    """Takes the discovery terms of the countries in `codes` from terms (code, kind, norm) and returns (norm, n), how many more
+    countries use a term than before. Of the stored terms only those of these countries are read.
+
+    Changes come before the countries' terms; the version again, after either, gives the same tables.
+    """
+    pairs, changes = term_tables(terms.sparkSession, path)
+    new = terms.filter((F.col("kind") == "discovery") & F.col("code").isin(codes)).select("code", "norm").distinct()
+    old = pairs.of_keys(codes, version)
+    changed = settled(_summed(new.select("norm", F.lit(1).alias("n")).unionByName(old.select("norm", F.lit(-1).alias("n")))))
+    changes.append(changed, version, fold=_summed)
+    pairs.replace(new, version, gone=codes)
+    pairs.vacuum()
+    changes.vacuum()
+    return changed
+
+
+def kept_ambiguous_terms(spark, path: str) -> DataFrame:
+    """ambiguous_terms() of the tables that update_terms() keeps: a term whose number has fallen to 1 is none any more."""
+    pairs, changes = term_tables(spark, path)
+    return pairs.read().join(_summed(changes.read()).filter("n > 1").select("norm"), "norm", "left_semi").select("code", "norm")
+
+
+def base_order(terms: DataFrame, group_cols: list[str], term_col: str = "term") -> DataFrame:
+    """terms with `pos`, their place in their group in the order of the base gazetteer: that of the root locale without case
+    and accents, then by spelling. Groups are ordered by many tasks; lists are made of them where they are written."""
+    return positions(terms, [F.collate(F.col(term_col), "UNICODE_CI_AI"), F.col(term_col)], group_cols, "pos")
+
+
 def geo_counts(terms: DataFrame, source: DataFrame, places: DataFrame) -> DataFrame:
     """Counts of each country, and in total where code is null: terms of each kind, and, of the nested source (with
     `code`), states, city records and distinct primary names, and rows of places (with `code`)."""

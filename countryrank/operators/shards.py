@@ -13,6 +13,9 @@ FOLLOWERS = [0, 1, 5, 10, 25, 50, 100, 250, 500, 1000, 2500, 5000, 10000, 25000,
 REPOSITORIES = [1, 5, 10, 25, 50, 100, 250, 500]
 #: Facets from the coarsest to the finest.
 LEVELS = ["type", "followers", "repos", "year", "month", "day"]
+#: Fixed value: the first year that searches ask for.
+FIRST_YEAR = 2008
+UNCOVERED = "uncovered"
 
 
 def capped_buckets(df: DataFrame, *cols: str, cap: int = CAP) -> DataFrame:
@@ -130,42 +133,48 @@ def facet_buckets(df: DataFrame) -> DataFrame:
     )
 
 
-def facet_shards(df: DataFrame, cap: int = CAP, levels: list[str] | None = None) -> DataFrame:
-    """(level, facets..., n, capped): the coarsest shards of at most `cap` rows, and the finest ones that are over it.
+def facet_shards(df: DataFrame, cap: int = CAP, levels: list[str] | None = None, years: tuple[int, int] | None = None) -> DataFrame:
+    """(level, facets..., n, capped, covered): the coarsest shards of at most `cap` rows, and the finest ones that are over it.
 
-    Rows are counted once by all facets; the rollup runs over those counts, and a shard is open only if all coarser ones
-    around it are over the cap.
+    Rows are counted once by all facets and rolled up once. A shard is open if its parent is over the cap, which then holds for
+    all above; a parent's rows are the sum of its children's, one window over siblings. years bounds the years that searches
+    ask for, FIRST_YEAR to a given one: where shards are cut by year, rows of other years are one shard that isn't covered.
     """
     levels = levels or LEVELS
-    # null facets count as a bucket of their own, which rollup's null would hide
-    counts = df.groupBy(*[F.coalesce(F.col(c), F.lit("-")).alias(c) for c in levels]).agg(F.count("*").alias("n"))
-    rolled = counts.rollup(*levels).agg(F.sum("n").alias("n"), F.grouping_id().alias("g"))
-    level = F.lit(len(levels)) - F.bit_count("g")
-    rolled = rolled.withColumn("level", level.cast("int"))
-    out = None
-    for k in range(len(levels) + 1):
-        here = rolled.filter(F.col("level") == k)
-        if k:
-            up = rolled.filter((F.col("level") == k - 1) & (F.col("n") > cap)).select(*levels[: k - 1])
-            here = here.join(up, levels[: k - 1], "left_semi") if k > 1 else here.join(up.limit(1), F.lit(True), "left_semi")
-        here = here.filter(F.col("n") <= cap) if k < len(levels) else here
-        out = here if out is None else out.unionByName(here)
-    return out.select("level", *levels, F.col("n").cast("bigint").alias("n"), (F.col("n") > cap).alias("capped"))
-
-
-def batch_chunks(df: DataFrame, size: int, order_cols: list[str], group_cols: list[str]) -> DataFrame:
-    """df with `batch`: chunks of `size` rows in order within each group.
+    cols = [F.coalesce(F.col(c), F.lit("-")) for c in levels]  # null facets are a bucket of their own, which rollup's null would hide
+    if years and "year" in levels:
+        within = F.coalesce(F.col("year").cast("int").between(*years), F.lit(False))
+        cols = [F.when(within, c).otherwise(F.lit(UNCOVERED)) if name in ("year", "month", "day") else c for name, c in zip(levels, cols)]
+    counts = df.groupBy(*[c.alias(name) for name, c in zip(levels, cols)]).agg(F.count("*").alias("n"))
+    rolled = counts.rollup(*levels).agg(F.sum("n").cast("bigint").alias("n"), F.grouping_id().alias("g")).withColumn("level", (F.lit(len(levels)) - F.bit_count("g")).cast("int"))
+    parent = [F.when(F.col("level") > i + 1, F.col(c)) for i, c in enumerate(levels)]
+    above = F.when(F.col("level") > 0, F.sum("n").over(Window.partitionBy("level", *parent)))
+    out = rolled.withColumn("above", above)
+    at = levels.index("year") + 1 if "year" in levels else len(levels)
+    missed = F.coalesce(F.col(levels[at - 1]) == UNCOVERED, F.lit(False))
+    closed = (F.col("n") <= cap) | (F.col("level") == len(levels)) | (missed & (F.col("level") == at))
+    out = out.filter((F.coalesce("above", F.lit(cap + 1)) > cap) & closed & ~(missed & (F.col("level") > at)))
+    return out.select("level", *levels, "n", (F.col("n") > cap).alias("capped"), (~missed).alias("covered"))
+
+
+def positions(df: DataFrame, order: list[Column], group_cols: list[str], name: str) -> DataFrame:
+    """df with the place of each row in the order within its group, from 0.
 
     Rows are dealt by ranges of group and order, numbered within each range, and shifted by the counts of the ranges
     before it, so a large group is numbered by many tasks. The dealt rows are written once.
     """
-    dealt = settled(df.repartitionByRange(*group_cols, *order_cols).withColumn("_range", F.spark_partition_id()))
+    dealt = settled(df.repartitionByRange(*group_cols, *order).withColumn("_range", F.spark_partition_id()))
     before = Window.partitionBy(*group_cols).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     counts = dealt.groupBy(*group_cols, "_range").agg(F.count("*").alias("_rows"))
     starts = counts.select(F.col("_range").alias("_of"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)])
-    inside = Window.partitionBy("_range", *group_cols).orderBy(*order_cols)
+    inside = Window.partitionBy("_range", *group_cols).orderBy(*order)
     same = F.col("_range") == F.col("_of")
     for i, c in enumerate(group_cols):
         same = same & F.col(c).eqNullSafe(F.col(f"_g{i}"))
     out = dealt.withColumn("_n", F.row_number().over(inside)).join(starts, same)
-    return out.select(*df.columns, F.floor((F.col("_start") + F.col("_n") - 1) / size).cast("bigint").alias("batch"))
+    return out.select(*df.columns, (F.col("_start") + F.col("_n") - 1).cast("bigint").alias(name))
+
+
+def batch_chunks(df: DataFrame, size: int, order_cols: list[str], group_cols: list[str]) -> DataFrame:
+    """df with `batch`: chunks of `size` rows in order within each group."""
+    return positions(df, [F.col(c) for c in order_cols], group_cols, "batch").withColumn("batch", F.floor(F.col("batch") / size).cast("bigint"))

@@ -54,7 +54,9 @@ BINDINGS = {
         FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {countries} n ON n.k = c_nationkey""",
     # accounts for shards
     "accounts": """SELECT CASE WHEN c_custkey % 3 = 0 THEN 'Organization' ELSE 'User' END AS account_type, CAST(floor(o_totalprice / 100) AS BIGINT) AS followers, CAST(o_orderkey % 300 AS BIGINT) AS public_repos,
-        o_orderdate AS created_at FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+        o_orderdate + INTERVAL 15 YEAR AS created_at FROM {orders} JOIN {customer} ON o_custkey = c_custkey""",
+    # five spellings of each name
+    "spellings": "SELECT c_mktsegment AS segment, concat(CASE c_custkey % 5 WHEN 0 THEN 'É' WHEN 1 THEN 'e' WHEN 2 THEN 'E' WHEN 3 THEN 'è' ELSE 'Zü' END, 'n', CASE WHEN c_custkey % 2 = 0 THEN upper(c_mktsegment) ELSE c_mktsegment END, ' ', CAST(CAST(floor(c_custkey / 10) AS INT) AS STRING)) AS term FROM {customer}",
     "histogram": "SELECT stars, count(*) AS n FROM {repos} GROUP BY stars",
     # progress of countries
     "published": "SELECT CASE WHEN k = 15 THEN 'LK' ELSE code END AS code, name, CASE k % 4 WHEN 0 THEN '0.8.0-repository-first' WHEN 1 THEN '0.5.0-resumable-global-crawl' WHEN 2 THEN '0.8.0-repository-first' ELSE '0.2.0-poc' END AS methodology_version, concat('2026-10-0', CAST(1 + k % 9 AS STRING)) AS generated_at, CAST(90 + k AS BIGINT) AS published_repositories FROM {countries} WHERE k % 3 <> 2",

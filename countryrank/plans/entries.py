@@ -185,10 +185,15 @@ def _(b):
     return b("places").select("name", F.explode(text.split_alternates(F.col("alternates"))).alias("term"))
 
 
-@register("sort_terms", f"SELECT c_mktsegment AS segment, string_agg(term, '|' ORDER BY n, term) AS terms FROM (SELECT DISTINCT c_mktsegment, c_name AS term, {norm('c_name')} AS n FROM {{customer}}) q GROUP BY 1")
+@register("sort_terms", f"SELECT segment, term, row_number() OVER (PARTITION BY segment ORDER BY n, term) - 1 AS pos FROM (SELECT DISTINCT c_mktsegment AS segment, c_name AS term, {norm('c_name')} AS n FROM {{customer}}) q")
 def _(b):
-    named = b("customer").select("c_mktsegment", F.col("c_name").alias("term")).distinct().withColumn("norm", text.normalize_location(F.col("term")))
-    return named.groupBy(F.col("c_mktsegment").alias("segment")).agg(F.array_join(text.sort_terms(F.collect_list(F.struct("norm", "term"))), "|").alias("terms"))
+    named = b("customer").select(F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("term")).distinct().withColumn("norm", text.normalize_location(F.col("term")))
+    return shards.positions(named, [F.col("norm"), F.col("term")], ["segment"], "pos").drop("norm")
+
+
+@register("base_order", "SELECT segment, term, row_number() OVER (PARTITION BY segment ORDER BY lower(strip_accents(term)), term) - 1 AS pos FROM (SELECT DISTINCT segment, term FROM {spellings}) q")
+def _(b):
+    return gazetteer.base_order(b("spellings").distinct(), ["segment"])
 
 
 @register("slugify", "SELECT doc_id, trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM {documents}")
@@ -701,11 +706,12 @@ def _(b):
     return shards.facet_buckets(b("accounts")).groupBy("type", "followers", "repos").agg(F.count("*").alias("n"))
 
 
-@register("facet_shards", f"""WITH {FACETS}, g AS (SELECT t, f, coalesce(p, '-') AS p, y, m, d FROM fb), c AS (SELECT *, count(*) OVER () AS n0, count(*) OVER (PARTITION BY t) AS n1, count(*) OVER (PARTITION BY t, f) AS n2, count(*) OVER (PARTITION BY t, f, p) AS n3, count(*) OVER (PARTITION BY t, f, p, y) AS n4, count(*) OVER (PARTITION BY t, f, p, y, m) AS n5, count(*) OVER (PARTITION BY t, f, p, y, m, d) AS n6 FROM g),
-l AS (SELECT *, CASE WHEN n0 <= 30 THEN 0 WHEN n1 <= 30 THEN 1 WHEN n2 <= 30 THEN 2 WHEN n3 <= 30 THEN 3 WHEN n4 <= 30 THEN 4 WHEN n5 <= 30 THEN 5 ELSE 6 END AS level FROM c)
-SELECT level::INT AS level, CASE WHEN level >= 1 THEN t END AS type, CASE WHEN level >= 2 THEN f END AS followers, CASE WHEN level >= 3 THEN p END AS repos, CASE WHEN level >= 4 THEN y END AS year, CASE WHEN level >= 5 THEN m END AS month, CASE WHEN level >= 6 THEN d END AS day, count(*) AS n, count(*) > 30 AS capped FROM l GROUP BY ALL""")
+@register("facet_shards", f"""WITH {FACETS}, fc AS (SELECT *, y BETWEEN '2008' AND '2012' AS covered FROM fb), g AS (SELECT t, f, coalesce(p, '-') AS p, CASE WHEN covered THEN y ELSE 'uncovered' END AS y, CASE WHEN covered THEN m ELSE 'uncovered' END AS m, CASE WHEN covered THEN d ELSE 'uncovered' END AS d, covered FROM fc),
+c AS (SELECT *, count(*) OVER () AS n0, count(*) OVER (PARTITION BY t) AS n1, count(*) OVER (PARTITION BY t, f) AS n2, count(*) OVER (PARTITION BY t, f, p) AS n3, count(*) OVER (PARTITION BY t, f, p, y) AS n4, count(*) OVER (PARTITION BY t, f, p, y, m) AS n5, count(*) OVER (PARTITION BY t, f, p, y, m, d) AS n6 FROM g),
+l AS (SELECT *, CASE WHEN n0 <= 30 THEN 0 WHEN n1 <= 30 THEN 1 WHEN n2 <= 30 THEN 2 WHEN n3 <= 30 THEN 3 WHEN n4 <= 30 OR NOT covered THEN 4 WHEN n5 <= 30 THEN 5 ELSE 6 END AS level FROM c)
+SELECT level::INT AS level, CASE WHEN level >= 1 THEN t END AS type, CASE WHEN level >= 2 THEN f END AS followers, CASE WHEN level >= 3 THEN p END AS repos, CASE WHEN level >= 4 THEN y END AS year, CASE WHEN level >= 5 THEN m END AS month, CASE WHEN level >= 6 THEN d END AS day, count(*) AS n, count(*) > 30 AS capped, bool_and(level < 4 OR covered) AS covered FROM l GROUP BY ALL""")
 def _(b):
-    return shards.facet_shards(shards.facet_buckets(b("accounts")), cap=30)
+    return shards.facet_shards(shards.facet_buckets(b("accounts")), cap=30, years=(shards.FIRST_YEAR, 2012))
 
 
 @register("batch_chunks", "SELECT name_with_owner, (floor((row_number() OVER (PARTITION BY country ORDER BY name_with_owner) - 1) / 30))::BIGINT AS batch FROM {latest}")

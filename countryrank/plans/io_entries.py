@@ -127,6 +127,20 @@ def _(b):
     return writers.write_state(rows.filter("country < 'AF'").withColumn("stars", F.col("stars") + 1000), path).read()
 
 
+@register("maintained_terms", f"WITH {NORMED} SELECT DISTINCT code, norm FROM nt WHERE kind = 'discovery' AND norm IN (SELECT norm FROM nt WHERE kind = 'discovery' GROUP BY norm HAVING count(DISTINCT code) > 1)")
+def _(b):
+    """Countries begin with the names of their neighbours too, and come to their own terms in three updates."""
+    terms = settled(_terms(b))
+    spark, path = terms.sparkSession, scratch(terms.sparkSession)
+    codes = sorted(r["code"] for r in b("countries").select("code").collect())
+    own = terms.filter("kind = 'discovery'").select("code", "kind", "norm")
+    near = own.withColumn("code", F.concat(F.lit("A"), F.chr(F.lit(65) + (F.ascii(F.substring("code", 2, 1)) - 64) % 25)))
+    gazetteer.update_terms(own.unionByName(near), path, codes, 0)
+    for k in range(3):
+        gazetteer.update_terms(own, path, codes[k::3], k + 1)
+    return gazetteer.kept_ambiguous_terms(spark, path)
+
+
 @register("publish_certified", _at(f"WITH {FRONTIER}, {THRESHOLDS}, ", 9) + _at("f2 AS (WITH " + FRONTIER + " SELECT frontier AS later FROM fr)", 15) + """ SELECT country, CASE WHEN threshold > frontier THEN 'first' ELSE 'second' END AS generated_at, 20::BIGINT AS n,
   CASE WHEN threshold > frontier THEN frontier ELSE later END AS frontier, threshold AS cut_off FROM th, fr, f2 WHERE threshold > frontier OR threshold > later""")
 def _(b):

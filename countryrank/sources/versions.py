@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,19 +88,24 @@ class Versions:
         out.write.mode("overwrite").partitionBy(self.key).parquet(folder)
         return [n for n in self._names(folder) if n.startswith(f"{self.key}=")]
 
-    def replace(self, df: DataFrame, version: int) -> None:
-        """The parts that df holds are its rows from this version on; other parts stay as they are."""
+    def replace(self, df: DataFrame, version: int, gone: list[str] | None = None) -> None:
+        """The parts that df holds are its rows from this version on; those of the keys in `gone` that it doesn't hold are empty,
+        and other parts stay as they are."""
         if not self.committed(version):
-            self._publish(version, {**self.live(version), **{part: [version] for part in self._write(df, version)}})
+            part = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+            left = {part(self.key, k) for k in gone or []}
+            kept = {p: vs for p, vs in self.live(version).items() if p not in left}
+            self._publish(version, {**kept, **{p: [version] for p in self._write(df, version)}})
 
-    def append(self, df: DataFrame, version: int, most: int = 16) -> None:
-        """Adds rows; a part of `most` versions is written anew as one."""
+    def append(self, df: DataFrame, version: int, most: int = 16, fold: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Adds rows; a part of `most` versions is written anew as one, folded if asked."""
         if self.committed(version):
             return
         live = self.live(version)
         full = {part: vs for part, vs in live.items() if len(vs) >= most}
         if full:
             df = df.select(*self.schema.names).unionByName(self._rows(full))
+            df = fold(df) if fold else df
         new = self._write(df, version)
         self._publish(version, {**live, **{part: [version] if part in full else [*live.get(part, []), version] for part in new}})
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import certify, discovery, ranking
@@ -42,6 +42,11 @@ def write_rankings(documents: DataFrame, path: str, country_col: str = "country"
 CERTIFIED = "country string, threshold bigint, frontier bigint, certified_at string"
 
 
+def certified(spark: SparkSession, path: str) -> Versions:
+    """The countries that publish_certified() has certified."""
+    return Versions(spark, f"{path}/certified", CERTIFIED, "country")
+
+
 def publish_certified(pool: DataFrame, frontier: DataFrame, catalogue: DataFrame, path: str, now: str, run: int, source: dict[str, str], limit: int = ranking.RANKING_LIMIT) -> DataFrame:
     """Certifies the countries of a pool at a frontier and writes the documents of those that are certified for the first time,
     below path; returns these countries. Others' documents stay as they are, and a run without new ones writes none.
@@ -49,7 +54,7 @@ def publish_certified(pool: DataFrame, frontier: DataFrame, catalogue: DataFrame
     Documents come before the table of the certified, so a run that stops between them is made up for by the next one.
     """
     spark = pool.sparkSession
-    table = Versions(spark, f"{path}/certified", CERTIFIED)
+    table = certified(spark, path)
     before = table.read(run)
     present = certify.certify_countries(pool, frontier, before.select("country", "certified_at"), now, limit=limit)
     fresh = settled(certify.newly_certified(present, before).select("country", "threshold", "frontier", "certified_at"))
@@ -59,7 +64,7 @@ def publish_certified(pool: DataFrame, frontier: DataFrame, catalogue: DataFrame
     ranked = ranking.rank_repositories(mine, limit=limit)
     coverage = discovery.certified_coverage(ranked, mine).join(fresh.select("country", "frontier"), "country")
     write_rankings(ranking_documents(ranked.select("country", "rank", "name_with_owner", "stars"), catalogue, coverage, source, now), f"{path}/rankings")
-    table.append(fresh, run)
+    table.replace(fresh, run)
     table.vacuum()
     return fresh
 

@@ -21,8 +21,10 @@ from ..sources.versions import Versions
 from ..sources.writers import write_once
 from . import owners, verdicts
 
-REPOSITORIES = "country string, name_with_owner string, owner string, seq bigint, stars bigint, forks bigint"
+REPOSITORIES = "country string, name_with_owner string, owner string, seq bigint, stars bigint, forks bigint, location string, resolver int"
 OUTCOMES = "seen bigint, attributed bigint, ambiguous bigint, unknown bigint"
+#: Versions between two batches, for what happens to a pool beside its stream.
+STEP = 1000
 Batch = Callable[[DataFrame, int], None]
 
 
@@ -49,24 +51,50 @@ def fold_repositories(path: str, catalogue: DataFrame, resolve: Callable[[DataFr
     """A foreachBatch function from rows of readers.read_repo_pages() to the pools below path."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, version = batch.sparkSession, batch_id * STEP
         pool, seen = repository_pool(spark, path), outcomes(spark, path)
-        if pool.committed(batch_id) and seen.committed(batch_id):
+        if pool.committed(version) and seen.committed(batch_id):
             return
         with cleared(spark):
-            known = verdicts.table(spark, path, verdicts.WORLD, resolver_version)
             rows = ranking.filter_non_fork(batch).select("name_with_owner", F.col("owner_login").alias("owner"), "seq", F.col("stargazer_count").alias("stars"), F.col("fork_count").alias("forks"), F.col("owner_location").alias("location"))
-            told = settled(verdicts.judged(settled(rows), known, resolve, batch_id))
-            mine = settled(attribution.filter_accepted(told, catalogue).withColumn("country", F.col("attribution.country_code")))
-            touched = [r[0] for r in certify.changed_countries(mine).collect()]  # at most those of the catalogue
-            pool.replace(merge_repositories(pool.of_keys(touched, batch_id), mine), batch_id)
+            told, mine, touched = _attributed(settled(rows), path, catalogue, resolve, resolver_version, version)
+            pool.replace(merge_repositories(pool.of_keys(touched, version), mine), version)
             seen.append(attribution.attribution_outcomes(told), batch_id)
-            for table in (pool, seen, known):
+            for table in (pool, seen):
                 table.vacuum()
 
     return run
 
 
+def _attributed(rows: DataFrame, path: str, catalogue: DataFrame, resolve: Callable[[DataFrame], DataFrame], resolver_version: int, version: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """rows with verdicts, those that are accepted with their country, and these countries, which the catalogue bounds."""
+    known = verdicts.table(rows.sparkSession, path, verdicts.WORLD, resolver_version)
+    told = settled(verdicts.judged(rows, known, resolve, version))
+    known.vacuum()
+    mine = attribution.filter_accepted(told, catalogue).withColumn("country", F.col("attribution.country_code")).withColumn("resolver", F.lit(resolver_version))
+    mine = settled(mine)
+    return told, mine, [r[0] for r in certify.changed_countries(mine).collect()]
+
+
+def backfill(spark: SparkSession, path: str, catalogue: DataFrame, resolve: Callable[[DataFrame], DataFrame], resolver_version: int) -> list[str]:
+    """Sends the repositories that another version of the resolver has attributed through attribution again, and returns their
+    former countries, whose certificates no longer hold; see writers.certified(). Other repositories stay as they are, and
+    pools without such rows aren't written unless one moves into them. Run it while the stream rests."""
+    pool = repository_pool(spark, path)
+    with cleared(spark):
+        old = F.coalesce(F.col("resolver") != resolver_version, F.lit(True))
+        rows = settled(pool.read().filter(old))
+        stale = [r[0] for r in certify.changed_countries(rows).collect()]
+        if not stale:
+            return []
+        version = pool.versions()[-1] + 1
+        _, mine, touched = _attributed(rows.drop("country", "resolver"), path, catalogue, resolve, resolver_version, version)
+        keys = sorted({*stale, *touched})
+        pool.replace(merge_repositories(pool.of_keys(keys, version).filter(~old), mine), version, gone=stale)
+        pool.vacuum()
+    return sorted(stale)
+
+
 def fold_owners(path: str, resolve: Callable[[DataFrame], DataFrame], resolver_version: int = verdicts.RESOLVER_VERSION) -> Batch:
     """A foreachBatch function from rows of readers.read_owner_pages(), each with its target country, to one row for each owner
     that is accepted there. A batch becomes the folder hits/<batch> below path."""
