@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text
+from .shards import positions
 
 
 #: The region beside the ISO list, names that differ from the display names, and other names of countries.
@@ -97,8 +98,8 @@ def ordered_terms(*lists: DataFrame) -> DataFrame:
         part = terms.select("code", "kind", "term", F.struct(F.lit(n).alias("list"), F.col("seq").cast("bigint").alias("seq")).alias("at"))
         out = part if out is None else out.unionByName(part)
     first = out.groupBy("code", "kind", "term").agg(F.min("at").alias("at"))
-    place = F.row_number().over(Window.partitionBy("code", "kind").orderBy("at", "term"))
-    return first.select("code", "kind", "term", place.cast("bigint").alias("seq"))
+    placed = positions(first, [F.col("at"), F.col("term")], ["code", "kind"], "seq")  # a country may have many terms
+    return placed.select("code", "kind", "term", (F.col("seq") + 1).alias("seq"))
 
 
 def config_terms(catalogue: DataFrame, index_terms: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -75,9 +75,8 @@ def overrides(b) -> DataFrame:
 
 
 def index_terms(b) -> DataFrame:
-    from pyspark.sql import Window
-
-    return b("raw_terms").distinct().withColumn("seq", F.row_number().over(Window.partitionBy("code", "kind").orderBy("term")))
+    placed = shards.positions(b("raw_terms").distinct(), [F.col("term")], ["code", "kind"], "seq")
+    return placed.withColumn("seq", F.col("seq") + 1)
 
 
 @register("config_terms", f"WITH {CONFIG}, f AS (SELECT code, kind, term, min((l, seq)) AS ord FROM cfg GROUP BY ALL) SELECT code, kind, term, row_number() OVER (PARTITION BY code, kind ORDER BY ord, term)::BIGINT AS seq FROM f")

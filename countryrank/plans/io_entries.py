@@ -86,12 +86,15 @@ def _(b):
     return readers.read_geonames(p.sparkSession, _landed(p.select(short.alias("value")), "text"))
 
 
-@register("read_geo_indexes", "SELECT code, kind, term FROM (SELECT DISTINCT code, kind, term FROM {raw_terms}) q WHERE code <> 'AC'")
+@register("read_geo_indexes", "SELECT code, kind, term, row_number() OVER (PARTITION BY code, kind ORDER BY term) - 1 AS seq FROM (SELECT DISTINCT code, kind, term FROM {raw_terms}) q WHERE code NOT IN ('AC', 'AD')")
 def _(b):
+    """Files are found by their names: that of AD has none of a country, and the document of AC lacks its code."""
     of = lambda k: F.array_sort(F.collect_set(F.when(F.col("kind") == k, F.col("term"))))
     t = b("raw_terms").groupBy("code").agg(of("attribution").alias("attributionTerms"), of("discovery").alias("discoveryTerms"), of("compound").alias("compoundTerms"))
-    docs = t.select(F.when(F.col("code") != "AC", F.struct("code")).alias("country"), "attributionTerms", "discoveryTerms", "compoundTerms", "code")
-    return readers.read_geo_indexes(t.sparkSession, _documents(docs, "code"), glob=None).select("code", "kind", "term")
+    docs = t.select(F.when(F.col("code") != "AC", F.struct("code")).alias("country"), "attributionTerms", "discoveryTerms", "compoundTerms", F.when(F.col("code") == "AD", F.lit("_index")).otherwise(F.col("code")).alias("name"))
+    path = scratch(t.sparkSession)
+    writers.write_named(docs.select("name", F.to_json(F.struct("country", "attributionTerms", "discoveryTerms", "compoundTerms")).alias("value")), path, "name", "value")
+    return readers.read_geo_indexes(t.sparkSession, path).select("code", "kind", "term", F.col("seq").cast("bigint").alias("seq"))
 
 
 def _repo_struct(**more) -> Column:
@@ -183,6 +186,30 @@ def _(b):
     return pools.repository_pool(spark, path).read().select("country", "name_with_owner", "stars")
 
 
+POOL_OF = f"SELECT * EXCLUDE (n, r) FROM (SELECT *, row_number() OVER {BEST} AS r FROM (SELECT *, row_number() OVER (PARTITION BY country, name_with_owner ORDER BY seq DESC) AS n FROM ({{rows}}) q) q WHERE n = 1) q WHERE r <= 125"
+_old = "SELECT 'AA' AS country, name_with_owner, seq, stars, forks, location, 1 AS resolver FROM {located} WHERE page = 0 AND NOT is_fork AND trim(location, ' ' || chr(9) || chr(160)) <> ''"
+_second = "SELECT * FROM b0 UNION ALL SELECT country, name_with_owner, seq, stars, forks, location, 2 FROM rows_ WHERE page = 1"
+_moved = "SELECT * FROM b1 WHERE resolver = 2 UNION ALL SELECT v[3], name_with_owner, seq, stars, forks, b1.location, 2 FROM b1 JOIN (SELECT DISTINCT location, v FROM res) u ON u.location = b1.location WHERE resolver = 1 AND v[3] IS NOT NULL"
+
+
+@register("backfill", f"{RESOLVED}, {REPO_ROWS}, b0 AS ({POOL_OF.replace('{rows}', _old)}), b1 AS ({POOL_OF.replace('{rows}', _second)}) SELECT country, name_with_owner, stars, resolver FROM ({POOL_OF.replace('{rows}', _moved)}) q")
+def _(b):
+    """The first version of the resolver took all places for one country; the second one comes with the second run of pages, and
+    what the first one had attributed is then sent through it."""
+    raw = b("located")
+    spark, path = raw.sparkSession, scratch(raw.sparkSession)
+    known, terms, names = settled(catalogue(b)), settled(_terms(b)), settled(_territories(b))
+    resolve = partial(attribution.resolve_location, catalogue=known, terms=terms, names=names)
+    first = lambda df: resolve(df).withColumn("attribution", F.col("attribution").withField("accepted", F.lit(True)).withField("country_code", F.lit("AA")))
+    node = _repo_struct(owner=F.struct(F.lit("User").alias("__typename"), F.col("owner").alias("login"), F.col("location")))
+    pages = readers.read_repo_pages(spark, f"{path}/pages/*", stream=True)
+    for k, how in enumerate((first, resolve)):
+        raw.filter(F.col("page") == k).select("seq", F.array(node).alias("nodes")).write.json(f"{path}/pages/{k}")
+        pools.run_repositories(pages, path, known, how, k + 1)
+    pools.backfill(spark, path, known, resolve, 2)
+    return pools.repository_pool(spark, path).read().select("country", "name_with_owner", "stars", "resolver")
+
+
 OWNER_ROWS = """rows_ AS (SELECT page, h.code AS country, login, seq, stars, repository, term, v.confidence, CASE v.confidence WHEN 'high' THEN 2 ELSE 1 END AS w FROM {owner_hits} h JOIN verdict v ON v.location = h.location AND v.code = h.code WHERE v.accepted),
 new AS (SELECT page, country, login, max(seq) AS seq, max(stars) AS stars, arg_max(repository, (stars, seq)) AS repository, max(w) AS w, list(DISTINCT term) AS terms FROM rows_ GROUP BY ALL)"""
 OWNER_POOL = """p{k} AS (SELECT * EXCLUDE (r) FROM (SELECT *, rank() OVER (PARTITION BY country ORDER BY stars DESC) AS r FROM (SELECT country, login, max(seq) AS seq, max(stars) AS stars, arg_max(repository, (stars, p)) AS repository, max(w) AS w, list_distinct(flatten(list(terms))) AS terms FROM ({rows}) q GROUP BY ALL) q) q WHERE r <= 20)"""

@@ -92,6 +92,25 @@ def write_state(state: DataFrame, path: str, country_col: str = "country", versi
     return store
 
 
+def write_named(documents: DataFrame, path: str, name_col: str, value_col: str, ending: str = ".json") -> None:
+    """One file <name><ending> in the folder for each document, replacing those of the same names. Documents are as many as the
+    catalogue has countries; tasks write them, and their files are then renamed one by one."""
+    spark = documents.sparkSession
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    hidden = make(f"{path}/.{uuid.uuid4().hex}")
+    rows = documents.select(F.col(name_col).alias("_file"), F.col(value_col).alias("value"))
+    rows.repartition("_file").write.partitionBy("_file").text(hidden.toString())
+    files = hidden.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.listStatus(hidden):
+        name = folder.getPath().getName()
+        if name.startswith("_file="):
+            part = next(f.getPath() for f in files.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-"))
+            end = make(f"{path}/{name.removeprefix('_file=')}{ending}")
+            files.delete(end, False)
+            files.rename(part, end)
+    files.delete(hidden, True)
+
+
 def write_once(df: DataFrame, path: str) -> bool:
     """df as a folder that appears by a rename, whole; False if it is there already, and nothing is written."""
     make, spark = df.sparkSession._jvm.org.apache.hadoop.fs.Path, df.sparkSession
