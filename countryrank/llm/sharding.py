@@ -50,8 +50,9 @@ def slot_map(stats: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def store_map(mapping: DataFrame, path: str) -> None:
-    """Adds a version of a map to the stored ones; written versions stay as they are."""
-    mapping.coalesce(1).write.mode("append").partitionBy("map_version").parquet(path)
+    """Stores a version of a map beside the others. A version that is stored again, as by a driver that runs anew, replaces
+    itself and leaves the others alone, so no slot is in a version twice."""
+    mapping.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("map_version").parquet(path)
 
 
 def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:

@@ -95,3 +95,7 @@ def test_stored_maps(spark):
     assert first.keys() == second.keys() and all(second[s] in (first[s], 4) for s in first)
     assert {r["virtual_slot"]: r["shard"] for r in sharding.load_map(spark, path, 1).collect()} == first
     assert sharding.load_map(spark, path).first()["map_version"] == 2
+    for _ in range(2):  # a driver that runs anew stores its version again
+        sharding.store_map(sharding.slot_map(sharding.slot_stats(records), 4), path)
+    assert {r["virtual_slot"]: r["shard"] for r in sharding.load_map(spark, path, 1).collect()} == first
+    assert sharding.load_map(spark, path, 1).count() == len(first) and sharding.load_map(spark, path, 2).count() == len(second)
