@@ -1,12 +1,13 @@
 """Tables whose versions become visible by a manifest, written last.
 
-    data/version=7/country=US/…    files of one version; a version that no manifest names is not there for readers
-    manifests/00000000000000000007.json    for each part (country=US) the versions that make it up
+    version=7/country=US/…    files of one version; a version that no manifest names is not there for readers
+    _manifests/00000000000000000007.json    for each part (country=US) the versions that make it up
 
 A version is written whole, then named by its manifest, which appears by a rename. A writer that dies before that leaves the
 table as it was, and writing the version again, with the same number, gives the same table; writing one that is named
 already does nothing. Readers open the folders that the newest manifest names and list no others. vacuum() removes what the
-last manifests don't name. One writer at a time: streams have one by their checkpoint.
+last manifests don't name; with the last one alone kept, readers of plain Parquet find the table's rows too. One writer at a
+time: streams have one by their checkpoint.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ class Versions:
 
     def _publish(self, version: int, live: dict[str, list[int]]) -> None:
         """Writes a manifest under another name and renames it, so it is there whole or not at all."""
-        end, hidden = f"{self.path}/manifests/{version:020d}.json", f"{self.path}/manifests/.{uuid.uuid4().hex}"
+        end, hidden = f"{self.path}/_manifests/{version:020d}.json", f"{self.path}/_manifests/.{uuid.uuid4().hex}"
         out = self._fs.create(self._jvm_path(hidden), True)
         out.write(bytearray(json.dumps(live, sort_keys=True).encode()))
         out.close()
@@ -51,7 +52,7 @@ class Versions:
 
     def versions(self) -> list[int]:
         """Numbers of the manifests that are kept."""
-        return [int(n[:-5]) for n in self._names(f"{self.path}/manifests") if n.endswith(".json") and not n.startswith(".")]
+        return [int(n[:-5]) for n in self._names(f"{self.path}/_manifests") if n.endswith(".json") and not n.startswith(".")]
 
     def committed(self, version: int) -> bool:
         return version in self.versions()
@@ -61,7 +62,7 @@ class Versions:
         known = [v for v in self.versions() if before is None or v < before]
         if not known:
             return {}
-        stream = self._fs.open(self._jvm_path(f"{self.path}/manifests/{known[-1]:020d}.json"))
+        stream = self._fs.open(self._jvm_path(f"{self.path}/_manifests/{known[-1]:020d}.json"))
         try:
             return json.loads(bytes(stream.readAllBytes()))
         finally:
@@ -74,13 +75,13 @@ class Versions:
         return self._rows(self.live(before))
 
     def _rows(self, live: dict[str, list[int]]) -> DataFrame:
-        paths = [f"{self.path}/data/version={v}/{part}".rstrip("/") for part, vs in live.items() for v in vs]
+        paths = [f"{self.path}/version={v}/{part}".rstrip("/") for part, vs in live.items() for v in vs]
         if not paths:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).option("basePath", f"{self.path}/data").parquet(*paths).select(*self.schema.names)
+        return self.spark.read.schema(self.schema).option("basePath", self.path).parquet(*paths).select(*self.schema.names)
 
     def _write(self, df: DataFrame, version: int) -> list[str]:
-        folder = f"{self.path}/data/version={version}"
+        folder = f"{self.path}/version={version}"
         out = df.select(*self.schema.names)
         if self.key is None:
             out.write.mode("overwrite").parquet(folder)
@@ -114,17 +115,17 @@ class Versions:
         known = self.versions()
         named = {(v, part) for m in known[-keep:] for part, vs in self.live(m + 1).items() for v in vs}
         for m in known[:-keep]:
-            self._remove(f"{self.path}/manifests/{m:020d}.json")
-        for folder in self._names(f"{self.path}/data"):
+            self._remove(f"{self.path}/_manifests/{m:020d}.json")
+        for folder in [n for n in self._names(self.path) if n.startswith("version=")]:
             v = int(folder.partition("=")[2])
             parts = {part for n, part in named if n == v}
             if known and v <= known[-1]:
                 if not parts:
-                    self._remove(f"{self.path}/data/{folder}")
+                    self._remove(f"{self.path}/{folder}")
                 elif self.key is not None:
-                    for n in self._names(f"{self.path}/data/{folder}"):
+                    for n in self._names(f"{self.path}/{folder}"):
                         if n.startswith(f"{self.key}=") and n not in parts:
-                            self._remove(f"{self.path}/data/{folder}/{n}")
+                            self._remove(f"{self.path}/{folder}/{n}")
 
     def of_keys(self, keys: list[str], before: int | None = None) -> DataFrame:
         """The rows of some keys."""

@@ -84,11 +84,11 @@ def write_geo_index(terms: DataFrame, path: str, least: int = LEAST_COUNTRIES) -
 
 def write_state(state: DataFrame, path: str, country_col: str = "country", version: int | None = None) -> Versions:
     """Replaces the countries that state holds, as the next version of the table at path or as a given one; others stay as
-    they are. The version becomes visible whole, and older ones go; see Versions."""
+    they are. The version becomes visible whole, see Versions, and older ones go, so that the folder is plain Parquet too."""
     store = Versions(state.sparkSession, path, state.schema, country_col)
     known = store.versions()
     store.replace(state.repartition(country_col), (known[-1] + 1 if known else 0) if version is None else version)
-    store.vacuum()
+    store.vacuum(keep=1)
     return store
 
 
