@@ -5,8 +5,9 @@ log P(word | history) = log P(class(word) | history) + log P(word | class(word))
 * Every word belongs to a unit: a frequent word is its own, any other goes by its last two bytes. Units are clustered
   into CLASSES classes by the frequent words that they stand beside.
 * P(class | history) is a maximum-entropy model over hashed n-gram features (one and two words back) and skip features
-  (two back alone, three back alone, one with three back). It is trained on every training document: each partition
-  takes gradient steps over its documents, and the updates are averaged row by row of the weight table through Spark.
+  (two back alone, three back alone, one with three back). It is trained on every training document: each logical
+  shard, of documents dealt by a hash, takes gradient steps over its documents in a fixed order, and the updates are
+  averaged row by row of the weight table through Spark. How the input is partitioned doesn't change a score.
 * P(word | class) = (c + 1) / (N_class + V_class + 1), where the 1 in the last term stands for unseen words.
 
 The unigram base score uses the same counts c over all training tokens. Counts of the HEAD most frequent words go to
@@ -17,10 +18,11 @@ Null texts count as empty: one end token. Repeated ids stay separate rows. Other
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import groupby, repeat
 
 import numpy as np
 import pandas as pd
@@ -43,6 +45,9 @@ END = b"\n"  # no word holds white space
 UNITS = FREQUENT + SUFFIXES + 1  # the last one marks what precedes a text
 #: Slices of the training documents, in the order of the rounds: hash modulo SLICES below these bounds.
 SLICES, ROUNDS = 8, ((0, 1), (1, 8))
+#: Training tokens of a logical shard on average, and the updates of how many shards are summed at once.
+SHARD, FAN = 1 << 22, 256
+UPDATES = "shard long, block int, v binary, n binary"
 
 
 def tokens(text: str) -> list[bytes]:
@@ -221,33 +226,75 @@ def cluster(contexts: np.ndarray, classes: int = CLASSES, rounds: int = 12, seed
     return label
 
 
-def train_weights(train: DataFrame, vocab: Vocabulary, label: np.ndarray, id_col: str = "doc_id") -> np.ndarray:
-    """Weight table after the rounds of distributed gradient updates over all training documents."""
+def _shards(batches: Iterator[pa.RecordBatch], texts: int = 200, chars: int = 1 << 20) -> Iterator[tuple[int, list[str]]]:
+    """(shard, texts) in order, cut by what a shard holds alone: never by the Arrow batches that rows happen to come in."""
+    shard, got, size = None, [], 0
+    for b in batches:
+        for i in range(0, b.num_rows, 500):
+            part = b.slice(i, 500)
+            for k, t in zip(part.column("shard").to_pylist(), part.column("text").to_pylist(), strict=True):
+                if got and (k != shard or len(got) == texts or size >= chars):
+                    yield shard, got
+                    got, size = [], 0
+                shard = k
+                got.append(t)
+                size += len(t)
+    if got:
+        yield shard, got
+
+
+def _added(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the updates and of their counts, in the order of the shards."""
+    b = b.sort_values("shard")
+    v, n = np.zeros((BLOCK, CLASSES)), np.zeros(BLOCK, dtype=np.int64)
+    for x, m in zip(b["v"], b["n"], strict=True):
+        v += np.frombuffer(x, dtype=np.float32).reshape(BLOCK, CLASSES)
+        n += np.frombuffer(m, dtype=np.int64)
+    return v, n
+
+
+def _merge(group: tuple, b: pd.DataFrame) -> pd.DataFrame:
+    v, n = _added(b)
+    return pd.DataFrame({"shard": [group[1]], "block": [group[0]], "v": [v.astype(np.float32).tobytes()], "n": [n.tobytes()]})
+
+
+def _average(b: pd.DataFrame) -> pd.DataFrame:
+    v, n = _added(b)
+    return pd.DataFrame({"block": [b["block"].iloc[0]], "v": [(v / np.maximum(n, 1)[:, None]).astype(np.float32).tobytes()]})
+
+
+def train_weights(train: DataFrame, vocab: Vocabulary, label: np.ndarray, tokens_all: int, id_col: str = "doc_id") -> np.ndarray:
+    """Weight table after the rounds of distributed gradient updates over all training documents.
+
+    The documents of a round are dealt to logical shards by a hash of id and text and sorted within, and as many shards are
+    made as the number of tokens asks for, so the table is the same however the rows were split before.
+    """
     w = np.zeros((ROWS, CLASSES), dtype=np.float32)
-    part = F.pmod(F.xxhash64(F.col(id_col), F.col("text")), F.lit(SLICES))
+    hashed = train.select(F.xxhash64(F.col(id_col), F.col("text")).alias("h"), "text")
+    part = F.pmod(F.col("h"), F.lit(SLICES))
     for low, high in ROUNDS:
-        start = w
+        start, shards = w, max(1, math.ceil(tokens_all * (high - low) / SLICES / SHARD))
 
         def step(batches: Iterator[pa.RecordBatch], start: np.ndarray = start) -> Iterator[pa.RecordBatch]:
-            own, g2, touched = start.copy(), np.zeros(ROWS, dtype=np.float32), np.zeros(ROWS, dtype=np.int64)
-            for _, texts in _batches(batches):
-                _, u, sizes, _ = vocab.look_up(texts)
-                sgd(own, g2, touched, features(u, sizes), label[u])
-            for k in range(0, ROWS, BLOCK):
-                n = touched[k : k + BLOCK]
-                if n.any():
-                    v = (own[k : k + BLOCK] - start[k : k + BLOCK]) * n[:, None].astype(np.float32)
-                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.astype(np.float32).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["block", "v", "n"])
-
-        def average(b: pd.DataFrame) -> pd.DataFrame:
-            n = sum(np.frombuffer(x, dtype=np.int64) for x in b["n"])
-            v = sum(np.frombuffer(x, dtype=np.float32).reshape(BLOCK, CLASSES).astype(np.float64) for x in b["v"])
-            return pd.DataFrame({"block": [b["block"].iloc[0]], "v": [(v / np.maximum(n, 1)[:, None]).astype(np.float32).tobytes()]})
-
-        some = train.filter((part >= low) & (part < high)).select("text")
-        rows = some.mapInArrow(step, "block int, v binary, n binary").groupBy("block").applyInPandas(average, "block int, v binary").collect()
+            for shard, lists in groupby(_shards(batches), key=lambda x: x[0]):
+                own, g2, touched = start.copy(), np.zeros(ROWS, dtype=np.float32), np.zeros(ROWS, dtype=np.int64)
+                for _, texts in lists:
+                    _, u, sizes, _ = vocab.look_up(texts)
+                    sgd(own, g2, touched, features(u, sizes), label[u])
+                for k in range(0, ROWS, BLOCK):
+                    n = touched[k : k + BLOCK]
+                    if n.any():
+                        v = (own[k : k + BLOCK] - start[k : k + BLOCK]) * n[:, None].astype(np.float32)
+                        yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([k], pa.int32()), pa.array([v.astype(np.float32).tobytes()], pa.binary()), pa.array([n.tobytes()], pa.binary())], ["shard", "block", "v", "n"])
+
+        some = hashed.filter((part >= low) & (part < high)).withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)))
+        some = some.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions("shard", "h", "text")
+        rows = some.select("shard", "text").mapInArrow(step, UPDATES)
+        while shards > FAN:
+            rows = rows.groupBy("block", F.floor(F.col("shard") / FAN)).applyInPandas(_merge, UPDATES)
+            shards = math.ceil(shards / FAN)
         w = start.copy()
-        for r in rows:  # ROWS / BLOCK rows of fixed size
+        for r in rows.groupBy("block").applyInPandas(_average, "block int, v binary").collect():  # ROWS / BLOCK rows of fixed size
             w[r["block"] : r["block"] + BLOCK] += np.frombuffer(r["v"], dtype=np.float32).reshape(BLOCK, CLASSES)
     return w
 
@@ -261,7 +308,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     n_all, v_all = int(tot["n"] or 0), int(tot["v"])
     vocab = frequent_words(counts)
     label = cluster(_unit_contexts(train, vocab))
-    weights = train_weights(train, vocab, label, id_col)
+    weights = train_weights(train, vocab, label, n_all, id_col)
     n_class, v_class = _class_totals(counts, vocab, label)
     log_z = np.log10(n_class + v_class + 1.0)
 

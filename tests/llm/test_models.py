@@ -2,11 +2,15 @@
 
 import collections
 import math
+import random
 import zlib
 
+import numpy as np
 import pandas as pd
+from pyspark.sql import functions as F
 
 from countryrank.llm import langid, maxent
+from countryrank.llm.langid import fold_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -68,15 +72,60 @@ def test_rare_words_are_joined(spark, monkeypatch):
     check_base(got, texts, [i % 3 == 2 for i in range(len(texts))])
 
 
-def test_the_model_is_a_distribution(spark):
-    """The probabilities of all words and of an unseen one behind a fixed history add up to 1 within each class."""
-    rnd = __import__("random").Random(1)
-    train = [" ".join(rnd.choice("abcdefgh") for _ in range(30)) for _ in range(50)]
-    words = list("abcdefgh")
-    texts = train + [f"a {w}" for w in words] + ["a", "a zz"]
+def test_scores_by_brute_force(spark, monkeypatch):
+    """Every score as a sum over tokens of log P(class | history) + log P(word | class), and probabilities that add up to 1."""
+    kept = {}
+    for name in ("cluster", "train_weights"):
+        monkeypatch.setattr(maxent, name, lambda *a, f=getattr(maxent, name), n=name, **k: kept.setdefault(n, f(*a, **k)))
+    rnd = random.Random(1)
+    words = [*"abcdefgh", "xa", "yb", "zzz"]
+    train = [" ".join(rnd.choices(words, k=rnd.randint(1, 30))) for _ in range(50)]
+    texts = [*train, "", None, "a b unseen C", " ".join(rnd.choices(words, k=20_000))]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["score"] for r in maxent.score(df, df["doc_id"] >= len(train)).collect()}
-    assert all(s < 0 for s in got.values())
+    counts = collections.Counter(w for t in train for w in [*t.encode().split(), maxent.END])
+    units = {w: i for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0])))}
+    unit = lambda w: units.get(w, maxent.suffix_unit(w))
+    label, weights = kept["cluster"], kept["train_weights"].astype(float)
+    n, v = collections.Counter(), collections.Counter()
+    for w, c in counts.items():
+        n[label[unit(w)]] += c
+        v[label[unit(w)]] += 1
+
+    def classes(u):
+        """P(class | history) of the last of the units u."""
+        rows = [int(f[-1]) for f in maxent.features(np.array(u), np.array([len(u)]))]
+        z = np.exp(weights[[0, *rows]].sum(axis=0))
+        return z / z.sum()
+
+    within = lambda w: (counts[w] + 1) / (n[label[unit(w)]] + v[label[unit(w)]] + 1)
+    for i, t in enumerate(texts[:-1]):
+        u, total = [], 0.0
+        for w in [*(t or "").lower().encode().split(), maxent.END]:
+            u.append(unit(w))
+            total += math.log10(classes(u)[label[unit(w)]] * within(w))
+        assert math.isclose(total, got[i], rel_tol=1e-4), i
+    assert got[len(texts) - 1] < -1000
+    p = classes([0, 1, 2])
+    known = sum(p[label[unit(w)]] * within(w) for w in counts)
+    assert math.isclose(known + sum(p[k] / (n[k] + v[k] + 1) for k in range(maxent.CLASSES)), 1, rel_tol=1e-9)
+
+
+def test_scores_do_not_depend_on_the_split(spark, monkeypatch):
+    """Equal scores over 1, 6 and 40 partitions, rows in any order and Arrow batches of any size, with many shards."""
+    monkeypatch.setattr(maxent, "SHARD", 20_000)
+    monkeypatch.setattr(maxent, "FAN", 3)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    held, name = fold_of("doc_id", 7) == 2, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    want, before = None, spark.conf.get(name)
+    for parts, batch in ((1, "10000"), (6, "7"), (40, "10000")):
+        spark.conf.set(name, batch)
+        try:
+            got = {r["doc_id"]: r["score"] for r in maxent.score(docs.orderBy(F.rand(parts)).repartition(parts), held).collect()}
+        finally:
+            spark.conf.set(name, before)
+        want = want or got
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-6) for k in want)
 
 
 def test_no_rows(spark):
