@@ -7,6 +7,7 @@ from . import bpe, contamination, jaccard, langid, maxent, mixing, negatives, pa
 QUERIES = {
     "op1_bpe": bpe.op1,
     "op2_quality_rules": quality.op2,
+    "quality_ablations": quality.ablation_report,
     "op3_sharding": sharding.op3,
     "op4_lm_scores": maxent.op4,
     "op5_jaccard_join": jaccard.op5,
@@ -20,4 +21,4 @@ QUERIES = {
     "op13_collocations": phrases.op13,
 }
 
-ORACLE_SQL = {"op2_quality_rules": quality.ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op6_decontamination": contamination.ORACLE, "op11_hard_negatives": negatives.ORACLE, "op13_collocations": phrases.ORACLE}
+ORACLE_SQL = {"op2_quality_rules": quality.ORACLE, "quality_ablations": quality.ABLATION_ORACLE, "op5_jaccard_join": jaccard.ORACLE, "op6_decontamination": contamination.ORACLE, "op11_hard_negatives": negatives.ORACLE, "op13_collocations": phrases.ORACLE}
