@@ -13,6 +13,8 @@ item equally well are reported once, as are rows with a null id. Extra columns a
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,9 +22,9 @@ from .common import fold, fresh, let, small, table, words, written
 
 SHINGLE = 5
 THRESHOLD = 75  # hundredths
-#: Bits of the Bloom filter over the index: BITS_EACH for each entry, between these powers of two. With more entries it
-#: lets more shingles through to the join, which decides either way.
-BITS_EACH, BITS_LEAST, BITS_MOST = 128, 1 << 12, 1 << 22
+#: Bits of a Bloom filter over the index: BITS_EACH for each entry, between these powers of two. An index that would leave
+#: less than BITS_FEW for each entry is split by hash, each part with its own filter and scan, so filters never fill up.
+BITS_EACH, BITS_FEW, BITS_LEAST, BITS_MOST = 128, 16, 1 << 12, 1 << 24
 
 
 def _hashes(text: Column) -> Column:
@@ -56,6 +58,14 @@ def index_items(items: DataFrame, item_col: str = "item_id", text_col: str = "te
     return sized.select("item", "q", "need", "size_class", F.explode(F.slice("h", F.lit(1), F.col("q") - F.col("need") + 1)).alias("hash"))
 
 
+def _bits(entries: int) -> int:
+    """Size of a filter over so many entries, a power of two."""
+    bits = BITS_LEAST
+    while bits < min(BITS_MOST, entries * BITS_EACH):
+        bits *= 2
+    return bits
+
+
 def _bloom(index: DataFrame, bits: int) -> Column:
     """A bit array over the hashes of the index as a constant list of longs; `bits` alone sets its size."""
     at = index.select(F.explode(F.array(*[F.pmod(x, F.lit(bits)).cast("int") for x in _probes(F.col("hash"))])).alias("b"))
@@ -67,31 +77,46 @@ def _bloom(index: DataFrame, bits: int) -> Column:
 
 
 def _probes(h: Column) -> list[Column]:
-    return [h, F.call_function("shiftright", h, F.lit(24)), F.call_function("shiftright", h, F.lit(44))]
+    """Three runs of bits of a hash, each of 26 bits or more: the largest filter needs 24."""
+    return [h, F.call_function("shiftright", h, F.lit(19)), F.call_function("shiftright", h, F.lit(38))]
+
+
+def within(h: Column, bloom: Column, bits: int) -> Column:
+    """Whether the filter may hold the hash h."""
+    found = F.lit(True)
+    for x in _probes(h):
+        b = F.pmod(x, F.lit(bits)).cast("int")
+        found = found & (F.call_function("shiftright", F.get(bloom, (b / 64).cast("int")), b % 64).bitwiseAND(F.lit(1).cast("bigint")) == 1)
+    return found
+
+
+def _sieve(bloom: Column, bits: int):
+    """Of the hashes of a text: how many there are, and the distinct ones that the filter lets through."""
+
+    def sift(hashes: Column) -> Column:
+        return F.struct(F.size(hashes).alias("n"), F.array_distinct(F.filter(hashes, lambda h: within(h, bloom, bits))).alias("h"))
+
+    return sift
 
 
 def search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", threshold: int = THRESHOLD) -> DataFrame:
     """(document, item, shared, q) for every item of which a document holds at least the threshold.
 
-    Documents are scanned once: a lambda hashes the shingles and keeps those in the Bloom filter. The few documents with
-    a hit are written down, joined with the index on the hash, pruned by size and verified.
+    Documents are scanned once for each filter, which is once unless the index passes BITS_MOST / BITS_FEW entries: a lambda
+    hashes the shingles and keeps those in the filter. The few documents with a hit are written down, joined with the index
+    on the hash, pruned by size and verified.
     """
-    index = index_items(items, item_col, text_col, threshold)
+    index = written(index_items(items, item_col, text_col, threshold), "index")
     entries = index.count()
-    bits = BITS_LEAST
-    while bits < min(BITS_MOST, entries * BITS_EACH):
-        bits *= 2
-    bloom = _bloom(index, bits)
-
-    def within(h: Column) -> Column:
-        found = F.lit(True)
-        for x in _probes(h):
-            b = F.pmod(x, F.lit(bits)).cast("int")
-            found = found & (F.call_function("shiftright", F.get(bloom, (b / 64).cast("int")), b % 64).bitwiseAND(F.lit(1).cast("bigint")) == 1)
-        return found
-
-    hits = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t"), let(_hashes(F.col(text_col)), lambda a: F.struct(F.size(a).alias("n"), F.array_distinct(F.filter(a, within)).alias("h"))).alias("_s"))
-    hits = written(hits.select("_d", "_t", "_s.n", "_s.h").filter(F.size("h") > 0).withColumn("_row", F.monotonically_increasing_id()), "hits")
+    parts = max(1, math.ceil(entries * BITS_FEW / BITS_MOST))
+    bits, hits = _bits(math.ceil(entries / parts)), None
+    for k in range(parts):
+        bloom = _bloom(index if parts == 1 else index.filter(F.pmod("hash", F.lit(parts)) == k), bits)
+        kept = _sieve(bloom, bits)
+        some = docs.select(F.col(id_col).alias("_d"), F.col(text_col).alias("_t"), let(_hashes(F.col(text_col)), kept).alias("_s"))
+        some = some.select("_d", "_t", "_s.n", "_s.h").filter(F.size("h") > 0)
+        hits = some if hits is None else hits.unionAll(some)
+    hits = written(hits.withColumn("_row", F.monotonically_increasing_id()), "hits")
     pairs = hits.select("_row", "n", F.explode("h").alias("hash")).join(index, "hash").filter("n >= need").select("_row", "item", "need").distinct()
     texts = items.groupBy(fold(F.col(text_col)).alias("t")).agg(F.min(item_col).alias("item"), F.collect_list(item_col).alias("ids"))
     sets = texts.select("item", "ids", shingles(F.col("t")).alias("of_item"))
