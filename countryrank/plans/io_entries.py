@@ -155,7 +155,7 @@ def _(b):
         writers.publish_certified(pool, _frontier(b, 100_000, requests), known, path, now, run, {"provider": "search pages"}, limit=20)
     kind = "generatedAt STRING, country STRUCT<code: STRING>, coverage STRUCT<cut_off: BIGINT, frontier: BIGINT>, repositories ARRAY<STRUCT<rank: INT>>"
     n = F.size("repositories").cast("bigint")
-    return spark.read.schema(kind).json(f"{path}/rankings").select(F.col("country.code").alias("country"), F.col("generatedAt").alias("generated_at"), n.alias("n"), "coverage.frontier", "coverage.cut_off")
+    return writers.certified_documents(spark, path, kind).select(F.col("country.code").alias("country"), F.col("generatedAt").alias("generated_at"), n.alias("n"), "coverage.frontier", "coverage.cut_off")
 
 
 PAGES = 3

@@ -69,6 +69,14 @@ def publish_certified(pool: DataFrame, frontier: DataFrame, catalogue: DataFrame
     return fresh
 
 
+def certified_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The documents that publish_certified() has written below path, read by a schema; no rows while no country is certified."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/rankings")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{path}/rankings")
+
+
 def geo_index_rows(terms: DataFrame) -> DataFrame:
     """(code, kind, terms): the sorted term lists of each country. terms: (code, kind, norm, term)."""
     return terms.groupBy("code", "kind").agg(F.transform(F.array_sort(F.collect_set(F.struct("norm", "term"))), lambda x: x["term"]).alias("terms"))
