@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import text
-from ..sources.scratch import settled
+from ..sources.scratch import large, settled
 
 #: Names of territories that decide before anything else.
 TERRITORIES = [
@@ -47,6 +47,10 @@ SHORT_NAMES = [
 ]
 
 
+#: Phrases that are broadcast at most.
+BROADCAST = 50_000
+
+
 def region_rows(names: DataFrame) -> DataFrame:
     """(code, norm) of (code, norm) names of regions, such as alias_rows() or catalog.region_names(), and of SHORT_NAMES."""
     return names.select("code", "norm").unionByName(names.sparkSession.createDataFrame(SHORT_NAMES, "code string, norm string")).distinct()
@@ -78,13 +82,13 @@ def codes_by(terms: DataFrame, kind: str | None = None) -> DataFrame:
 
 def lookup_terms(candidates: DataFrame, terms: DataFrame) -> DataFrame:
     """candidates with the countries that have the candidate as a place; null if there are none."""
-    return candidates.join(codes_by(terms, "attribution"), "norm", "left")
+    return candidates.join(large(codes_by(terms, "attribution")), "norm", "left")
 
 
 def lookup_compound(keys: DataFrame, terms: DataFrame) -> DataFrame:
     """locations with the countries of the whole location as a compound place."""
     found = codes_by(terms, "compound").select(F.col("norm").alias("normalized"), F.col("codes").alias("compound_codes"))
-    return keys.join(found, "normalized", "left")
+    return keys.join(large(found), "normalized", "left")
 
 
 def alias_rows(catalogue: DataFrame) -> DataFrame:
@@ -114,14 +118,16 @@ def phrase_match(keys: DataFrame, phrases: DataFrame) -> DataFrame:
     """(location, code, norm, pos, words): the phrases (code, norm) that a normalised location holds as whole words.
 
     Token n-grams up to the longest phrase are exploded and joined by equality, so nothing is compared with every phrase.
+    Phrases are broadcast if they are no more than BROADCAST.
     """
-    longest = phrases.agg(F.max(F.size(F.split("norm", " ")))).first()[0] or 0
+    phrases = phrases.select("code", "norm").distinct()
+    n, longest = phrases.agg(F.count("*"), F.coalesce(F.max(F.size(F.split("norm", " "))), F.lit(0))).first()
     tokens = F.split("normalized", " ")
     grams = keys.select("location", tokens.alias("t")).select("location", "t", F.posexplode("t").alias("pos", "_"))
     sizes = F.sequence(F.lit(1), F.least(F.lit(max(longest, 1)), F.size("t") - F.col("pos")))
     grams = grams.select("location", "pos", "t", F.explode(sizes).alias("words"))
     grams = grams.select("location", "pos", "words", F.array_join(F.slice("t", F.col("pos") + 1, F.col("words")), " ").alias("norm"))
-    return grams.join(phrases.select("code", "norm").distinct(), "norm").select("location", "code", "norm", "pos", "words")
+    return grams.join(F.broadcast(phrases) if n <= BROADCAST else large(phrases), "norm").select("location", "code", "norm", "pos", "words")
 
 
 def _verdict(accepted: bool, confidence: str, evidence: str, code: Column | None = None, matched: Column | None = None, conflicts: Column | None = None, of: str = "string") -> Column:
@@ -159,7 +165,7 @@ def resolve_locations(keys: DataFrame, catalogue: DataFrame, terms: DataFrame, n
     evidence = per_code.groupBy("location").agg(F.array_sort(F.collect_list(F.struct("first", "code", "best"))).alias("evidence"))
     all_ = (
         lookup_iso2(lookup_compound(keys, terms), catalogue)
-        .join(lookup_territory(candidates, names), "location", "left").join(flags, "location", "left").join(evidence, "location", "left")
+        .join(large(lookup_territory(candidates, names)), "location", "left").join(large(flags), "location", "left").join(large(evidence), "location", "left")
     )
     n = F.coalesce(F.size("evidence"), F.lit(0))
     top = F.get("evidence", F.lit(0))
@@ -181,7 +187,7 @@ def resolve_location(df: DataFrame, catalogue: DataFrame, terms: DataFrame, loca
     """df with `attribution`. Rows without a location, often the largest group, skip the join."""
     told = text.trimmed(F.coalesce(F.col(location_col), F.lit(""))) != ""
     verdicts = resolve_locations(location_keys(df.filter(told), location_col), catalogue, terms, names)
-    some = df.filter(told).join(verdicts.withColumnRenamed("location", location_col), location_col, "left")
+    some = df.filter(told).join(large(verdicts.withColumnRenamed("location", location_col)), location_col, "left")
     none = df.filter(~told).withColumn("attribution", _verdict(False, *MISSING))
     return some.select(*df.columns, "attribution").unionByName(none.select(*df.columns, "attribution"))
 
@@ -189,7 +195,7 @@ def resolve_location(df: DataFrame, catalogue: DataFrame, terms: DataFrame, loca
 def curated_places(candidates: DataFrame, config: DataFrame) -> DataFrame:
     """(location, code, norm) of candidates that are known or curated places of a country, other than its own code."""
     places = config.filter(F.col("kind").isin("place", "curated")).select("code", "norm").distinct()
-    return candidates.join(places, "norm").filter(F.lower("code") != F.col("norm")).select("location", "code", "norm").distinct()
+    return candidates.join(large(places), "norm").filter(F.lower("code") != F.col("norm")).select("location", "code", "norm").distinct()
 
 
 def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame, strict: bool = True) -> DataFrame:
@@ -201,9 +207,9 @@ def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame,
     shortest name that is held.
     """
     verdict = partial(_verdict, of="struct<code:string,name:string>")
-    wanted = pairs.select("location", "code").distinct()
-    keys, config = settled(location_keys(wanted)), settled(config)
-    told = wanted.join(keys, "location")
+    wanted, config = large(settled(pairs.select("location", "code").distinct())), large(settled(config))
+    keys = large(settled(location_keys(wanted)))
+    told = large(settled(wanted.join(keys, "location")))
     candidates = candidate_rows(keys)
     kind = lambda *k: config.filter(F.col("kind").isin(*k))
 
@@ -212,7 +218,7 @@ def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame,
     first_alias = own.join(kind("alias").select("code", "norm", "seq", "term"), ["code", "norm"]).groupBy("location", "code").agg(F.min_by("term", "seq").alias("alias"))
     spans = own.groupBy("location", "code").agg(F.collect_list(F.struct("pos", "words")).alias("spans"))
     other = phrase_match(keys, regions).select("location", F.col("code").alias("other"), "norm", "pos", "words")
-    met = wanted.join(other, "location").filter("code <> other").join(spans, ["location", "code"], "left")
+    met = wanted.join(other, "location").filter("code <> other").join(large(spans), ["location", "code"], "left")
     inside = F.exists("spans", lambda s: (s["pos"] <= F.col("pos")) & (s["pos"] + s["words"] >= F.col("pos") + F.col("words")) & (s["words"] > F.col("words")))
     foreign = met.filter(F.lit(True) if strict else ~F.coalesce(inside, F.lit(False)))
     foreign = foreign.groupBy("location", "code", "other").agg(F.min_by("norm", F.struct(F.length("norm"), "norm")).alias("name"))
@@ -224,14 +230,14 @@ def attribute_location(pairs: DataFrame, config: DataFrame, regions: DataFrame,
     last = told.withColumn("last", F.element_at(F.split("normalized", " "), -1)).filter("last <> normalized")
     context = last.join(kind("exact").select("code", F.col("norm").alias("last"), F.col("term").alias("context"), "seq"), ["code", "last"])
     near = candidates.join(kind("place", "curated").select("code", "norm").distinct(), "norm")
-    context = context.join(near, ["location", "code"]).filter("norm <> last AND norm <> normalized").groupBy("location", "code").agg(F.min_by("context", "seq").alias("context"))
+    context = context.join(large(near), ["location", "code"]).filter("norm <> last AND norm <> normalized").groupBy("location", "code").agg(F.min_by("context", "seq").alias("context"))
     state = F.max(F.when(F.col("kind") == "ambiguous", 1).otherwise(0))
     place = candidates.join(kind("ambiguous", "place").select("code", "norm", "kind").distinct(), "norm").groupBy("location", "code", "pos", "norm").agg(state.alias("unsure"))
     place = place.groupBy("location", "code").agg(F.min(F.struct("pos", "norm", "unsure")).alias("place"))
 
     all_ = told
     for part in (first_alias, foreign, curated, whole("compound", "compound"), whole("exact", "exact"), context, place):
-        all_ = all_.join(part, ["location", "code"], "left")
+        all_ = all_.join(large(part), ["location", "code"], "left")
     code, names = F.col("code"), F.col("foreign")
     chain = (
         F.when((F.col("alias").isNotNull() | F.col("exact").isNotNull()) & F.col("foreign").isNotNull(), verdict(False, "ambiguous", "multiple-countries", None, None, names))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = {"region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages", "labels"}
 
@@ -79,7 +80,8 @@ def bound(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = BINDINGS[name]
     names = set(re.findall(r"\{(\w+)\}", sql))
-    return spark.sql(sql, **{n: bound(spark, sf_dir, n) for n in names})
+    made = spark.sql(sql, **{n: bound(spark, sf_dir, n) for n in names})
+    return F.broadcast(made) if name == "countries" else made  # 25 rows, which Spark may take for more than a grown table
 
 
 def with_bindings(sql: str) -> str:

@@ -34,6 +34,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def large(df: DataFrame) -> DataFrame:
+    """df, which joins don't broadcast, unless the other side is F.broadcast(): written tables look small, as their files are
+    compressed, but a broadcast table goes through the driver as it is."""
+    return df.hint("merge")
+
+
 @contextmanager
 def cleared(spark: SparkSession) -> Iterator[None]:
     """Removes the folders that scratch() and settled() make in the block at its end; what reads them must be done by then."""

@@ -1,10 +1,25 @@
 """What keeps queries whole on grown tables."""
 
+import re
+
+
+from countryrank.operators import attribution
 from countryrank.plans import entries, io_entries
 
 SF = "/root/testdata/sf0.001"
 
 
+def test_places_are_not_broadcast(spark):
+    """Tables of places and locations grow; only the phrases, which are counted first, go through the driver."""
+    config = spark.createDataFrame([("LK", "alias", "sri lanka", "Sri Lanka", 1), ("LK", "place", "colombo", "Colombo", 1), ("LK", "exact", "lk", "lk", 1)], "code string, kind string, norm string, term string, seq long")
+    regions = spark.createDataFrame([("LK", "sri lanka"), ("DE", "germany")], "code string, norm string")
+    pairs = spark.createDataFrame([("Colombo", "LK"), ("Colombo, LK", "LK"), ("Berlin, Germany", "LK"), (" ", "LK")], "location string, code string")
+    out = attribution.attribute_location(pairs, config, regions)
+    keys = re.findall(r"BroadcastHashJoin \[(.*?)\], \[", out._jdf.queryExecution().executedPlan().toString())
+    assert keys and all(re.fullmatch(r"norm#\d+", k) for k in keys)
+    assert sorted((r[0], r[1].evidence) for r in out.select("location", "attribution").collect()) == [(" ", "missing-location"), ("Berlin, Germany", "foreign-country"), ("Colombo", "recognized-place"), ("Colombo, LK", "country-code-with-place")]
+
+
 def test_no_certified_country_gives_no_rows(spark, monkeypatch):
     monkeypatch.setattr(io_entries, "_frontier", lambda b, *_: spark.createDataFrame([(10**9,)], "frontier long"))
     assert entries.QUERIES["publish_certified"](spark, SF).collect() == []
