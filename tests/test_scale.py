@@ -2,6 +2,7 @@
 
 import re
 
+from pyspark.sql import functions as F
 
 from countryrank.operators import attribution
 from countryrank.plans import entries, io_entries
@@ -23,3 +24,10 @@ def test_places_are_not_broadcast(spark):
 def test_no_certified_country_gives_no_rows(spark, monkeypatch):
     monkeypatch.setattr(io_entries, "_frontier", lambda b, *_: spark.createDataFrame([(10**9,)], "frontier long"))
     assert entries.QUERIES["publish_certified"](spark, SF).collect() == []
+
+
+def test_pages_are_written_once_and_read_apart(spark):
+    raw = io_entries._by_page(spark.range(30).select((F.col("id") % 3).cast("int").alias("page"), F.col("id").alias("seq")))
+    one = raw.filter("page = 1")
+    assert one.count() == 10 and {re.search(r"page=(\d)", f)[1] for f in raw.inputFiles()} == {"0", "1", "2"}
+    assert "PartitionFilters: [isnotnull(page" in one._jdf.queryExecution().toString()
