@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import re
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -13,10 +16,20 @@ SEPARATORS = "[,/|;]+"
 GLOBE = "🌐"
 
 
-@F.pandas_udf(StringType())
-def strip_marks(values: pd.Series) -> pd.Series:
+_MARKS = re.compile("[\u0300-\u036f]")
+#: Texts that are Python strings at once.
+SLICE = 64
+
+
+def _bare(text: str | None) -> str | None:
+    return text if text is None or text.isascii() else unicodedata.normalize("NFC", _MARKS.sub("", unicodedata.normalize("NFKD", text)))
+
+
+@F.arrow_udf(StringType())
+def strip_marks(values: pa.Array) -> pa.Array:
     """NFKD, then without the marks U+0300 to U+036F, then NFC. Other marks, such as vowel signs, stay."""
-    return values.str.normalize("NFKD").str.replace("[\u0300-\u036f]", "", regex=True).str.normalize("NFC")
+    done = [pa.array([_bare(t) for t in values.slice(i, SLICE).to_pylist()], pa.string()) for i in range(0, len(values), SLICE)]
+    return pa.concat_arrays(done or [pa.array([], pa.string())])
 
 
 def fold_location(bare: Column) -> Column:

@@ -1,9 +1,13 @@
 """What keeps queries whole on grown tables."""
 
 import re
+import tracemalloc
+import unicodedata
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from countryrank.functions import text
 from countryrank.operators import attribution
 from countryrank.plans import entries, io_entries
 
@@ -26,6 +30,19 @@ def test_no_certified_country_gives_no_rows(spark, monkeypatch):
     assert entries.QUERIES["publish_certified"](spark, SF).collect() == []
 
 
+def test_marks_are_stripped_in_slices():
+    said = ["Zürich", None, "", "plain", "éa", "ﬁn", "กำ", "Ω" * 4000]
+    want = [t and unicodedata.normalize("NFC", "".join(c for c in unicodedata.normalize("NFKD", t) if not 0x300 <= ord(c) <= 0x36F)) for t in said]
+    assert text.strip_marks.func(pa.array(said)).to_pylist() == want
+    assert text.strip_marks.func(pa.array([], pa.string())).to_pylist() == []
+    many = pa.array(["é" * 4000] * 1500)
+    tracemalloc.start()
+    done = text.strip_marks.func(many)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(done) == 1500 and done[1499].as_py() == "e" * 4000 and most < 4 << 20
+
+
 def test_pages_are_written_once_and_read_apart(spark):
     raw = io_entries._by_page(spark.range(30).select((F.col("id") % 3).cast("int").alias("page"), F.col("id").alias("seq")))
     one = raw.filter("page = 1")
