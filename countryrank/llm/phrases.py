@@ -2,13 +2,15 @@
 
 * Words are counted per language; those below the least count can't be in a candidate and break phrases like the signs
   between pieces. The others get dense ids, across languages, so an id tells its language.
-* A phrase of 2 to 4 ids is packed, with zeros behind, into two halves of 2 x `bits` bits. A Feistel network permutes the
-  packed number. Its first bits, the quotient, name the filter's slot, and all the others, the remainder, are kept in full:
+* Tasks find the id of a word by a 64-bit key of it and its language. Whether two words of the table, rare ones too, have one
+  key is looked up first; if so, and for dictionaries of more than WORDS_MOST words, ids come to the texts by a join instead.
+* A phrase of 2 to 4 ids is packed into two halves, which are as wide as phrases of its length need. A Feistel network permutes
+  the packed number. Its first bits, the quotient, name the filter's slot, and all the others, the remainder, are kept in full:
   counts are of phrases, not of hashes, and the network run backwards gives the ids again.
-* A filter is sorted. It is stored as the bits of occupied slots, the bits that end a slot's run, the remainders in as few
-  bytes as hold them, and the counts in a byte, larger ones apart. Tasks count runs of words, cut the filter into ranges of
-  the quotient, and send each range to the task that merges it. Quotients are spread evenly, whatever the phrases are, and
-  the number of ranges grows with the number of words, so a range has a bounded size.
+* A filter holds phrases of one length and is sorted. It is stored as the bits of occupied slots, the bits that end a slot's
+  run, the remainders in as few bytes as hold them, and the counts in a byte, larger ones apart. Tasks count runs of words, cut
+  the filter into ranges of the quotient, and send each range to the task that merges it. Quotients are spread evenly, whatever
+  the phrases are, and the number of ranges grows with the number of words, so a range has a bounded size.
 * Candidates, cuts and containing phrases are then joined by ids, with decimal arithmetic.
 
 Null texts are empty, a null language is `und`, and copies count as often as they occur. A text without words, and an empty
@@ -18,8 +20,10 @@ names don't matter. Bytes that aren't UTF-8 don't occur in Spark's strings.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,27 +31,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
+from .jaccard import _A, _POWER, mix
 
 LEAST, LONGEST, TOP, COVER = 30, 4, 2000, 80
-#: Words that a task counts at once, entries of a range aimed at, and the size up to which a dictionary goes to all tasks.
-BUFFER, RANGE, WORDS_MOST, BYTES_MOST = 1 << 20, 1 << 19, 1 << 18, 8 << 20
-SLICE = 1 << 20
+#: Words that a task counts at once, entries of a range aimed at, and the words up to which a dictionary goes to all tasks, at
+#: 12 bytes each.
+BUFFER, RANGE, WORDS_MOST = 1 << 21, 1 << 19, 1 << 22
+SLICE = 1 << 17
 _BREAK = b"."
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + 9 * _BREAK)
 _KEYS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
 
 
-def tokens(text: bytes | None) -> Iterator[list[bytes]]:
-    """The words of a text and, as `.`, its breaks, a slice at a time; no word is cut."""
+def slices(text: bytes | None) -> Iterator[bytes]:
+    """A text in slices; no word is cut."""
     text, at = text or b"", 0
     while at < len(text):
         end = at + SLICE
         while end < len(text) and text[end] not in b" \t.":
             end += 1
-        yield text[at:end].translate(_TABLE).replace(_BREAK, b" . ").split()
+        yield text[at:end]
         at = end
 
 
+def tokens(text: bytes | None) -> Iterator[list[bytes]]:
+    """The words of a text and, as `.`, its breaks, a slice at a time."""
+    for some in slices(text):
+        yield some.translate(_TABLE).replace(_BREAK, b" . ").split()
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Partial (lang, word, n)."""
     seen: dict[str, Counter] = {}
@@ -85,6 +97,107 @@ def numbered(counts: DataFrame) -> DataFrame:
     return written(kept.withColumn("p", part).join(first, "p").select("lang", "word", "n", (F.col("m").bitwiseAND(F.lit((1 << 33) - 1)) + F.col("s")).alias("id")), "dictionary")
 
 
+# -- keys of words
+
+#: 0 for bytes of words, 1 for those between words, 2 for breaks; and the values of the bytes of words, A-Z in lower case.
+_KIND = np.array([2 if _TABLE[i] == _BREAK[0] else int(_TABLE[i] in b" ") for i in range(256)], dtype=np.uint8)
+_VALUE = np.where(_KIND == 0, np.frombuffer(_TABLE, np.uint8).astype(np.uint64) + np.uint64(1), np.uint64(0))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n - 1, x, np.uint64)])) for x in (int(_POWER), pow(int(_POWER), -1, 1 << 64)))
+
+
+_kept_powers = cache(_powers)
+
+
+def hashed(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:
+    """(hash of each word, place of its first byte, whether a break is before it, whether one is behind the last) of a text."""
+    flat = np.frombuffer(text, np.uint8)
+    kind, inside = _KIND[flat], np.zeros(len(flat) + 2, bool)
+    np.equal(kind, 0, out=inside[1:-1])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edge[::2], edge[1::2]
+    n = 1 << max(len(flat).bit_length(), SLICE.bit_length())
+    forth, back = (_kept_powers if n <= 4 * SLICE else _powers)(n)
+    sums = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(_VALUE[flat] * forth[: len(flat)], out=sums[1:])
+    breaks = np.cumsum(kind == 2, dtype=np.int64)
+    before = breaks[starts]
+    own = mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64) * _A)
+    return own, starts, np.diff(before, prepend=0) > 0, len(flat) > 0 and bool(breaks[-1] > (before[-1] if len(before) else 0))
+
+
+@cache
+def _salt(lang: str) -> np.uint64:
+    return np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
+
+
+def keys_of(own: np.ndarray, starts: np.ndarray, langs: list[str], firsts: list[int]) -> np.ndarray:
+    """Keys of words by their hashes; texts of these languages begin at the bytes `firsts`."""
+    n = np.diff(np.append(np.searchsorted(starts, firsts), len(starts)))
+    return mix(own + np.repeat(np.array([_salt(x) for x in langs], np.uint64), n))
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, id) of (lang, word, id)."""
+    for b in batches:
+        for i in range(0, b.num_rows, 10_000):
+            langs, words, ids = (b.column(k)[i : i + 10_000] for k in range(3))
+            words = words.to_pylist()
+            firsts = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+            own, starts, _, _ = hashed(_BREAK.join(words))
+            yield pa.RecordBatch.from_arrays([pa.array(keys_of(own, starts, langs.to_pylist(), firsts).view(np.int64)), ids], ["key", "id"])
+
+
+def keyed(words: DataFrame) -> DataFrame:
+    """(key, id) of words (lang, word, id)."""
+    return words.select("lang", "word", "id").mapInArrow(_keyed, "key long, id long")
+
+
+def _encoded(keys: np.ndarray, ids: np.ndarray) -> Callable:
+    """Texts (lang, text) to pieces of the ids of their words by sorted keys; 0 for other words, breaks and the ends of texts."""
+
+    def block(pieces: list[bytes], langs: list[str], firsts: list[int]) -> np.ndarray:
+        own, starts, broken, behind = hashed(b"".join(pieces))
+        key = keys_of(own, starts, langs, firsts)
+        at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        out = np.zeros(len(key) + np.count_nonzero(broken) + behind, np.uint64)
+        out[np.arange(len(key)) + np.cumsum(broken)] = np.where(keys[at] == key, ids[at], 0)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        pieces, langs, firsts, size = [], [], [], 0
+        for b in batches:
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
+                for some in slices(text.as_py()):
+                    pieces.append(some)
+                    langs.append(lang)
+                    firsts.append(size)
+                    size += len(some)
+                    if size >= SLICE:
+                        yield block(pieces, langs, firsts)
+                        pieces, langs, firsts, size = [], [], [], 0
+                pieces.append(_BREAK)
+                langs.append(lang)
+                firsts.append(size)
+                size += 1
+        if pieces:
+            yield block(pieces, langs, firsts)
+
+    return run if len(keys) else lambda batches: iter(())
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Texts (text, words, ids), each with the ids of its words, to pieces as of _encoded()."""
+    for b in batches:
+        for i in range(b.num_rows):
+            own = dict(zip(b.column("words")[i].as_py() or [], b.column("ids")[i].as_py() or []))
+            for some in tokens(b.column("text")[i].as_py()):
+                yield np.fromiter((own.get(w, 0) for w in some), np.uint64, len(some))
+            yield np.zeros(1, np.uint64)
+
+
 # -- packed phrases and their permutation
 
 
@@ -110,15 +223,17 @@ def restore(high: np.ndarray, low: np.ndarray, bits: int) -> tuple[np.ndarray, n
     return high, low
 
 
-def packed(ids: np.ndarray, stop: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """All phrases of 2 to LONGEST ids that begin before `stop`; id 0 breaks them."""
+def packed(ids: np.ndarray, stop: int, bits: int, least: int = 2, most: int = LONGEST) -> tuple[np.ndarray, np.ndarray]:
+    """All phrases of `least` to `most` ids that begin before `stop`; id 0 breaks them."""
     b = np.uint64(bits)
     a = np.concatenate([ids, np.zeros(LONGEST, np.uint64)])
     w = [a[i : i + stop] for i in range(LONGEST)]
     high, low = [], []
     ok = w[0] > 0
-    for n in range(2, LONGEST + 1):
+    for n in range(2, most + 1):
         ok = ok & (w[n - 1] > 0)
+        if n < least:
+            continue
         high.append((w[0][ok] << b) | w[1][ok])
         low.append(((w[2][ok] << b) if n > 2 else np.zeros(ok.sum(), np.uint64)) | (w[3][ok] if n > 3 else np.uint64(0)))
     return np.concatenate(high), np.concatenate(low)
@@ -130,6 +245,34 @@ def unpacked(high: np.ndarray, low: np.ndarray, bits: int) -> list[np.ndarray]:
     return [high >> b, high & mask, low >> b, low & mask]
 
 
+def narrow(m: int, bits: int) -> int:
+    """The `bits` that a pair of halves has which holds phrases of m ids alone."""
+    return -(-m * bits // LONGEST)
+
+
+def narrowed(high: np.ndarray, low: np.ndarray, m: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Packed phrases of m ids in halves of 2 x narrow() bits."""
+    b, half, mask = np.uint64(bits), 2 * narrow(m, bits), np.uint64((1 << bits) - 1)
+    if m == 2:
+        return high >> b, high & mask
+    if m == 3:
+        rest = ((high & mask) << b) | (low >> b)  # the last two ids
+        return ((high >> b) << np.uint64(2 * bits - half)) | (rest >> np.uint64(half)), rest & np.uint64((1 << half) - 1)
+    return high, low
+
+
+def widened(high: np.ndarray, low: np.ndarray, m: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """narrowed() backwards."""
+    b, half, mask = np.uint64(bits), 2 * narrow(m, bits), np.uint64((1 << bits) - 1)
+    if m == 2:
+        return (high << b) | low, np.zeros(len(low), np.uint64)
+    if m == 3:
+        more = np.uint64(2 * bits - half)
+        rest = ((high & np.uint64((1 << int(more)) - 1)) << np.uint64(half)) | low
+        return ((high >> more) << b) | (rest >> b), (rest & mask) << b
+    return high, low
+
+
 def summed(high: np.ndarray, low: np.ndarray, n: np.ndarray | None, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct pairs in order with their sums."""
     if not len(high):
@@ -144,7 +287,12 @@ def summed(high: np.ndarray, low: np.ndarray, n: np.ndarray | None, bits: int) -
         at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         high, low = key[at] >> np.uint64(2 * bits), key[at] & np.uint64((1 << 2 * bits) - 1)
     else:
-        order = np.lexsort((low, high))
+        first = (high << np.uint64(64 - 2 * bits)) | (low >> np.uint64(4 * bits - 64))
+        order = first.argsort(kind=None if n is None else "stable")
+        same = first[order]
+        same = np.flatnonzero(same[1:] == same[:-1])
+        if (low[order[same]] > low[order[same + 1]]).any():  # pairs that differ in their last bits alone
+            order = np.lexsort((low, high))
         high, low, n = high[order], low[order], None if n is None else n[order]
         at = np.flatnonzero(np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]))
         high, low = high[at], low[at]
@@ -169,22 +317,25 @@ def stored(high: np.ndarray, low: np.ndarray, n: np.ndarray, bits: int, ranges:
     half = 2 * bits
     q = min(max(1, len(n).bit_length() - 1), half - ranges)  # bits of the quotient
     rest = half - ranges - q
+    joint = rest + half <= 64
     slot = (high >> np.uint64(rest)) & np.uint64((1 << q) - 1)
     ends = np.append(slot[1:] != slot[:-1], True)
     occupied = np.zeros(1 << q, bool)
     occupied[slot.astype(np.int64)] = True
     wide = n >= 255
-    head = np.array([len(n), q, wide.sum()], "<i8").tobytes()
+    head = np.array([len(n), q, wide.sum()], "<i4").tobytes()
+    remainder = high & np.uint64((1 << rest) - 1)
     return b"".join([
-        head, np.packbits(occupied).tobytes(), np.packbits(ends).tobytes(), _bytes_of(high & np.uint64((1 << rest) - 1), -(-rest // 8)), _bytes_of(low, -(-half // 8)),
+        head, np.packbits(occupied).tobytes(), np.packbits(ends).tobytes(),
+        *([_bytes_of((remainder << np.uint64(half)) | low, -(-(rest + half) // 8))] if joint else [_bytes_of(remainder, -(-rest // 8)), _bytes_of(low, -(-half // 8))]),
         np.minimum(n, 255).astype(np.uint8).tobytes(), n[wide].astype("<i8").tobytes(),
     ])
 
 
 def loaded(data: bytes, bits: int, ranges: int, part: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """stored() backwards."""
-    m, q, wide = np.frombuffer(data, "<i8", 3)
-    half, at = 2 * bits, 24
+    m, q, wide = np.frombuffer(data, "<i4", 3)
+    half, at = 2 * bits, 12
     rest = half - ranges - int(q)
 
     def cut(size: int) -> bytes:
@@ -195,18 +346,27 @@ def loaded(data: bytes, bits: int, ranges: int, part: int) -> tuple[np.ndarray,
     occupied = np.unpackbits(np.frombuffer(cut(-(-(1 << int(q)) // 8)), np.uint8), count=1 << int(q))
     ends = np.unpackbits(np.frombuffer(cut(-(-int(m) // 8)), np.uint8), count=int(m))
     slot = np.flatnonzero(occupied)[np.cumsum(ends) - ends].astype(np.uint64)
-    width = -(-rest // 8)
-    remainder = _numbers(cut(int(m) * width), width) if width else np.zeros(m, np.uint64)
-    low = _numbers(cut(int(m) * -(-half // 8)), -(-half // 8))
+    if rest + half <= 64:
+        width = -(-(rest + half) // 8)
+        both = _numbers(cut(int(m) * width), width)
+        remainder, low = both >> np.uint64(half), both & np.uint64((1 << half) - 1)
+    else:
+        width = -(-rest // 8)
+        remainder = _numbers(cut(int(m) * width), width) if width else np.zeros(m, np.uint64)
+        low = _numbers(cut(int(m) * -(-half // 8)), -(-half // 8))
     n = np.frombuffer(cut(int(m)), np.uint8).astype(np.int64)
     n[n == 255] = np.frombuffer(cut(8 * int(wide)), "<i8")
     prefix = np.uint64(part << (half - ranges)) if ranges else np.uint64(0)
     return prefix | (slot << np.uint64(rest)) | remainder, low, n
 
 
-def _filters(words: dict[str, dict[bytes, int]] | None, bits: int, ranges: int) -> Callable:
-    """(part, filter): the counts of the phrases of some words, cut by range. words: ids by language, or None where each row
-    brings those of its text, as `words` and `ids`."""
+def _cuts(ranges: int, m: int, bits: int) -> int:
+    """Bits of the ranges of phrases of m ids."""
+    return min(ranges, 2 * narrow(m, bits) - 1)
+
+
+def _filters(encoded: Callable, bits: int, ranges: int) -> Callable:
+    """(part, filter): the counts of the phrases of some words, cut by length and range. encoded: to pieces of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer, size = [], 0
@@ -216,22 +376,20 @@ def _filters(words: dict[str, dict[bytes, int]] | None, bits: int, ranges: int)
             ids = np.concatenate(buffer)
             stop = len(ids) if last else max(0, len(ids) - LONGEST + 1)  # later ones begin before what comes next
             buffer, size = [ids[stop:]], len(ids) - stop
-            high, low, n = summed(*permute(*packed(ids, stop, bits), bits), None, bits)
-            part = (high >> np.uint64(2 * bits - ranges)).astype(np.int64) if ranges else np.zeros(len(n), np.int64)
-            cuts = np.searchsorted(part, np.arange((1 << ranges) + 1)) if len(n) * 4 > 1 << ranges else np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(n))
-            some = [(int(part[i]), stored(high[i:j], low[i:j], n[i:j], bits, ranges)) for i, j in zip(cuts, cuts[1:]) if j > i]
-            for k in range(0, len(some), 256):
-                yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in some[k : k + 256]], pa.int64()), pa.array([f for _, f in some[k : k + 256]], pa.binary())], ["part", "filter"])
-
-        for b in batches:
-            for i in range(b.num_rows):
-                own = words.get(b.column("lang")[i].as_py(), {}) if words is not None else dict(zip(b.column("words")[i].as_py() or [], b.column("ids")[i].as_py() or []))
-                for some in tokens(b.column("text")[i].as_py()):
-                    buffer.append(np.fromiter((own.get(w, 0) for w in some), np.uint64, len(some)))
-                    size += len(some)
-                    if size >= BUFFER:
-                        yield from flush(False)
-                buffer.append(np.zeros(1, np.uint64))
+            for m in range(2, LONGEST + 1):
+                own, cut = narrow(m, bits), _cuts(ranges, m, bits)
+                high, low, n = summed(*permute(*narrowed(*packed(ids, stop, bits, m, m), m, bits), own), None, own)
+                part = (high >> np.uint64(2 * own - cut)).astype(np.int64)
+                cuts = np.searchsorted(part, np.arange((1 << cut) + 1)) if len(n) * 4 > 1 << cut else np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(n))
+                some = [(int(part[i]) * (LONGEST + 1) + m, stored(high[i:j], low[i:j], n[i:j], own, cut)) for i, j in zip(cuts, cuts[1:]) if j > i]
+                for k in range(0, len(some), 256):
+                    yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in some[k : k + 256]], pa.int64()), pa.array([f for _, f in some[k : k + 256]], pa.binary())], ["part", "filter"])
+
+        for ids in encoded(batches):
+            buffer.append(ids)
+            size += len(ids)
+            if size >= BUFFER:
+                yield from flush(False)
         if size:
             yield from flush(True)
 
@@ -239,21 +397,21 @@ def _filters(words: dict[str, dict[bytes, int]] | None, bits: int, ranges: int)
 
 
 def _merged(bits: int, ranges: int, least: int) -> Callable:
-    """Filters, in the order of their ranges, to the phrases (w1 to w4, f) of each range that occur often enough."""
+    """Filters, in the order of their parts, to the phrases (w1 to w4, f) of each part that occur often enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, entries = None, [], 0
+        now, m, own, held, entries = None, 2, 0, [], 0
 
         def merge() -> None:
             nonlocal held, entries
-            held = [summed(*(np.concatenate(x) for x in zip(*held)), bits)]
+            held = [summed(*(np.concatenate(x) for x in zip(*held)), own)]
             entries = len(held[0][2])
 
         def out() -> pa.RecordBatch:
             merge()
             high, low, n = held[0]
             ok = n >= least
-            ids = unpacked(*restore(high[ok], low[ok], bits), bits)
+            ids = unpacked(*widened(*restore(high[ok], low[ok], own), m, bits), bits)
             return pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in ids), pa.array(n[ok])], ["w1", "w2", "w3", "w4", "f"])
 
         for b in batches:
@@ -261,8 +419,9 @@ def _merged(bits: int, ranges: int, least: int) -> Callable:
                 if part != now and held:
                     yield out()
                     held, entries = [], 0
-                now = part
-                held.append(loaded(data.as_py(), bits, ranges, part))
+                now, m = part, part % (LONGEST + 1)
+                own = narrow(m, bits)
+                held.append(loaded(data.as_py(), own, _cuts(ranges, m, bits), part // (LONGEST + 1)))
                 entries += len(held[-1][2])
                 if entries > 4 * len(held[0][2]) + 4 * RANGE:
                     merge()
@@ -276,7 +435,7 @@ def _merged(bits: int, ranges: int, least: int) -> Callable:
 
 
 def _with_ids(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """(text, words, ids): each text with the ids of its words, by a join; for dictionaries too large to send to all tasks."""
+    """(text, words, ids): each text with the ids of its words, by a join; for dictionaries too large to send to all tasks, and equal keys."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -294,20 +453,20 @@ def _with_ids(docs: DataFrame, words: DataFrame) -> DataFrame:
     return kept.join(lists, "row").select("text", "words", "ids")
 
 
-def phrase_counts(docs: DataFrame, words: DataFrame, total: int, least: int = LEAST, words_most: int = WORDS_MOST, entries: int = RANGE) -> DataFrame:
+def phrase_counts(docs: DataFrame, counts: DataFrame, words: DataFrame, total: int, least: int = LEAST, words_most: int = WORDS_MOST, entries: int = RANGE) -> DataFrame:
     """(w1, w2, w3, w4, f): phrases of 2 to 4 words by ids, 0 behind the end, that occur `least` times or more. docs: (lang,
-    text) in bytes; words: numbered(); total: the number of all words."""
-    spark = docs.sparkSession
-    n, size = words.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("word") + F.octet_length("lang")), F.lit(0))).first()
+    text) in bytes; counts: word_counts(); words: numbered(); total: the number of all words."""
+    n = words.count()
     bits = max(4, int(n).bit_length())
-    ranges = min(max(0, (3 * total // entries).bit_length()), 2 * bits - 1)
-    if n <= words_most and size <= BYTES_MOST:
-        ids: dict[str, dict[bytes, int]] = {}
-        for r in words.select("lang", "word", "id").toArrow().to_pylist():
-            ids.setdefault(r["lang"], {})[r["word"]] = r["id"]
-        filters = docs.mapInArrow(_filters(ids, bits, ranges), "part long, filter binary")
+    ranges = max(0, (total // entries).bit_length())
+    fits = n <= words_most and keyed(counts.withColumn("id", F.lit(0).cast("bigint"))).groupBy("key").count().filter("count > 1").isEmpty()
+    if fits:
+        got = keyed(words).toArrow()
+        keys, ids = got["key"].to_numpy().view(np.uint64), got["id"].to_numpy().astype(np.uint32)
+        order = keys.argsort()
+        filters = docs.mapInArrow(_filters(_encoded(keys[order], ids[order]), bits, ranges), "part long, filter binary")
     else:
-        filters = _with_ids(docs, words).mapInArrow(_filters(None, bits, ranges), "part long, filter binary")
+        filters = _with_ids(docs, words).mapInArrow(_filters(_listed, bits, ranges), "part long, filter binary")
     return filters.repartition("part").sortWithinPartitions("part").mapInArrow(_merged(bits, ranges, least), "w1 long, w2 long, w3 long, w4 long, f long")
 
 
@@ -323,7 +482,7 @@ def collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text",
     langs = counts.groupBy("lang").agg(F.sum("n").alias("n"))
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     words = numbered(counts.filter(F.col("n") >= least))
-    grams = written(phrase_counts(docs, words, total, least, **how), "phrases")
+    grams = written(phrase_counts(docs, counts, words, total, least, **how), "phrases")
     w = [F.col(f"w{i + 1}") for i in range(LONGEST)]
     length = 2 + (F.col("w3") > 0).cast("int") + (F.col("w4") > 0).cast("int")
     grams = grams.select(F.struct(*w).alias("p"), "f", length.alias("m"), *w)
